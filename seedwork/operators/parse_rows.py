@@ -115,7 +115,7 @@ def _unused(df: DataFrame, name: str) -> str:
 def parse_lines(df: DataFrame, line: str, fields: Sequence[Field], out: str = "parsed", reason: str = "reason") -> DataFrame:
     """Add ``out`` (struct of typed fields, null for failing rows) and ``reason`` (null for good rows) to ``df``."""
     schema = T.StructType([T.StructField(f.name, f.type) for f in fields] + [T.StructField(_CORRUPT, T.StringType())])
-    text = F.regexp_replace(F.col(line), r"[\r\n]+\z", "")
+    text = F.rtrim(F.col(line), F.lit("\r\n"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "nullValue": "NA", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
@@ -128,8 +128,10 @@ def parse_lines(df: DataFrame, line: str, fields: Sequence[Field], out: str = "p
     held = df.withColumn(raw, text).withColumn(got, read_of(F.col(raw)))
     text, read = F.col(raw), F.col(got)
 
-    # Stage 2: suspects are split exactly; for the rest a plain split at commas is exact.
-    held = held.withColumn(cut, F.when(text.isNotNull() & quoting_ok(text), exact_fields(text)))
+    # Stage 2: what the read calls corrupt, and what holds a quote, is a suspect and goes through the exact splitter. A row
+    # that is neither has the right number of unquoted fields, and a plain split at commas is exact for it.
+    clean = read[_CORRUPT].isNull() & text.isNotNull() & ~F.contains(text, F.lit('"'))
+    held = held.withColumn(cut, F.when(clean, F.split(text, ",", -1)).when(text.isNotNull() & quoting_ok(text), exact_fields(text)))
     split = F.col(cut)
 
     wrong = F.lit(False)
@@ -143,7 +145,6 @@ def parse_lines(df: DataFrame, line: str, fields: Sequence[Field], out: str = "p
         .when(F.size(split) != len(fields), COLUMN_COUNT)
         .when(wrong, INVALID_VALUE)
     )
-    clean = read[_CORRUPT].isNull() & ~F.contains(text, F.lit('"'))
 
     def exact(i: int, f: Field) -> Column:
         value = F.trim(F.get(split, F.lit(i)))
@@ -177,10 +178,12 @@ PASSPORT = (
 def good_rows(df: DataFrame, line: str = "raw_line", fields: Sequence[Field] = PASSPORT, keep: Sequence[str] = ("line_id",)) -> DataFrame:
     """The typed rows of the good lines, with the ``keep`` columns of the input."""
     parsed = parse_lines(df, line, fields, "__parsed", "__reason")
-    return parsed.where(F.col("__reason").isNull()).select(*keep, *[F.col(f"__parsed.{f.name}").alias(f.name) for f in fields])
+    # A generator, not a filter: a filter would be pushed below the columns it rests on and evaluate them a second time.
+    one = F.when(F.col("__reason").isNull(), F.array("__parsed"))
+    return parsed.select(*keep, F.inline(one))
 
 
 def bad_rows(df: DataFrame, line: str = "raw_line", fields: Sequence[Field] = PASSPORT, keep: Sequence[str] = ("line_id",), reason: str = "reason") -> DataFrame:
     """The failing lines: the ``keep`` columns and the reason."""
     parsed = parse_lines(df, line, fields, "__parsed", "__reason")
-    return parsed.where(F.col("__reason").isNotNull()).select(*keep, F.col("__reason").alias(reason))
+    return parsed.select(*keep, F.explode(F.array_compact(F.array("__reason"))).alias(reason))
