@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedwork.llm.bpe import encode
+from seedwork.llm.abuse import THRESHOLD, rates, score
+from seedwork.llm.bpe import count_tokens, encode
 from seedwork.llm.digest import digests, estimate, merge, percentiles
+from seedwork.llm.mixing import Tilt, mix, shares
 from seedwork.llm.tracks import split_tracks
 from seedwork.session import durable, table
 
@@ -46,7 +48,34 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_percentiles, p2_days, p3_found, p3_pieces, p7_ids)}
+def _mixed(spark: SparkSession, sf: str) -> tuple[DataFrame, list[Tilt]]:
+    tokens = durable(count_tokens(table(spark, sf, "documents"), carry=("source",)))
+    return mix(tokens, table(spark, sf, "source_targets"))
+
+
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Rate and copies of every document."""
+    return _mixed(spark, sf)[0]
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and actual shares per source."""
+    return shares(*_mixed(spark, sf))
+
+
+def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return score(table(spark, sf, "documents"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_scores(spark, sf).where(F.col("score") >= THRESHOLD).select("doc_id").distinct()
+
+
+def p9_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return rates(p9_scores(spark, sf))
+
+
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_days, p3_found, p3_pieces, p7_ids, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}
 
 ORACLES = {
     "p3_found": "SELECT run_id, sample, regexp_replace(contig, '^chr', '', 'i') AS contig FROM ancestry_obs WHERE position IS NOT NULL GROUP BY ALL HAVING count(DISTINCT position) > 500",
