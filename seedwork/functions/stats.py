@@ -41,19 +41,23 @@ def binomial_log(a: Column, n: Column, p: Column, floor: float = 1e-9) -> Column
     return a * F.log(q) + (n - a) * F.log(1 - q)
 
 
-def pooled_llr(n: Column, a: Column, eps: Column | float, plants: int = 6) -> Column:
+def pooled_llr(n: str, a: str, eps: str | float, plants: int = 6) -> Column:
     """Log-likelihood ratio of a pool of ``plants`` backcross plants: j of 2 * plants haplotypes carry the allele, j ~ Bin(plants, 1/2), against
-    error alone. The reads' binomial coefficient cancels; no reads give 0."""
-    e = _col(eps)
-    hap = 2 * plants
+    error alone. ``n``, ``a`` and ``eps`` are column names (or a number for eps). The reads' binomial coefficient cancels; no reads give 0.
+
+    There is no branch in it, so that code generation evaluates each of the repeated terms once; and it is one parsed text, since building it
+    call by call takes longer than running it on small tables.
+    """
+    e = eps if isinstance(eps, str) else f"{eps!r}D"
     terms = []
     for j in range(plants + 1):
         weight = math.lgamma(plants + 1) - math.lgamma(j + 1) - math.lgamma(plants - j + 1) + plants * math.log(0.5)
-        f = j / hap
-        p = f * (1 - e) + (1 - f) * e
-        terms.append(F.lit(weight) + a * F.log(p) + (n - a) * F.log1p(-p))
-    alone = a * F.log(e) + (n - a) * F.log1p(-e)
-    return F.when(n == 0, F.lit(0.0)).otherwise(log_sum_exp(terms) - alone)
+        f = j / (2 * plants)
+        p = f"({f!r}D * (1D - {e}) + {1 - f!r}D * {e})"
+        terms.append(f"({weight!r}D + {a} * ln({p}) + ({n} - {a}) * log1p(-{p}))")
+    top = f"greatest({', '.join(terms)})"
+    total = " + ".join(f"exp({t} - {top})" for t in terms)
+    return F.expr(f"({top} + ln({total}) - ({a} * ln({e}) + ({n} - {a}) * log1p(-{e}))) * cast({n} > 0 as int)")
 
 
 def binomial_upper_tail(a: Column, n: Column, p: Column | float) -> Column:

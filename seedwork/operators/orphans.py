@@ -36,8 +36,9 @@ def bloom_words(keys: DataFrame, key: str, bits: int, hashes: int) -> DataFrame:
     """One row, one column ``words``: the filter as an array of 64-bit words. Null keys are left out; no keys give all zeros."""
     places = keys.where(F.col(key).isNotNull()).select(F.explode(F.array(*_positions(F.col(key), bits, hashes))).alias("p"))
     word = places.groupBy((F.floor(F.col("p") / 64)).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))).alias("b"))
-    filled = word.agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m"))  # at most bits / 64 entries
-    return filled.select(F.transform(F.sequence(F.lit(0), F.lit(bits // 64 - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("words"))
+    every = keys.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("w")).join(word, "w", "left")
+    filled = every.agg(F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))).alias("a"))  # bits / 64 entries
+    return filled.select(F.transform("a", lambda x: x["b"]).alias("words"))
 
 
 def bloom_size(n: int, rate: float = 0.01, max_bits: int = 1 << 26) -> tuple[int, int]:

@@ -77,9 +77,10 @@ def quoting_ok(line: Column) -> Column:
     """
     pieces = _quote_pieces(line)
     n = F.size(pieces)
-    starts = F.transform(pieces, lambda p, i: (i % 2 == 1) | (i == 0) | (p == "") | p.startswith(","))
-    ends = F.transform(pieces, lambda p, i: (i % 2 == 1) | (i == n - 1) | (p == "") | p.endswith(","))
-    ok = F.forall(starts, lambda x: x) & F.forall(ends, lambda x: x)
+    # Nothing but the piece and its place is used inside the lambdas: anything else would be worked out again for every piece.
+    after = F.transform(F.slice(pieces, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda p, i: (i % 2 == 0) | (p == "") | p.startswith(","))
+    before = F.transform(F.slice(pieces, F.lit(1), F.greatest(n - 1, F.lit(0))), lambda p, i: (i % 2 == 1) | (p == "") | p.endswith(","))
+    ok = F.forall(after, lambda x: x) & F.forall(before, lambda x: x)
     return ~F.contains(line, F.lit('"')) | ((n % 2 == 1) & ok)
 
 

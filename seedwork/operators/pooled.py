@@ -51,7 +51,7 @@ def zero_class(pools: DataFrame, site: Sequence[str], o: TierOptions = TierOptio
     """Adds to the pool rows: total (depth of the site), llr0 (of the donor), in_zero, n0, a0, eps and no_zero_class."""
     here = Window.partitionBy(*site)
     donor = Window.partitionBy(*site, "donor")
-    rows = pools.withColumn("total", F.sum("n").over(here)).withColumn("llr0", F.sum(pooled_llr(F.col("n"), F.col("a"), o.eps0, o.plants)).over(donor))
+    rows = pools.withColumn("__l", pooled_llr("n", "a", o.eps0, o.plants)).withColumn("total", F.sum("n").over(here)).withColumn("llr0", F.sum("__l").over(donor)).drop("__l")
     rows = rows.withColumn("in_zero", F.col("llr0") < o.zero_llr)
     rows = rows.withColumn("n0", F.sum(F.when(F.col("in_zero"), F.col("n")).otherwise(0)).over(here)).withColumn("a0", F.sum(F.when(F.col("in_zero"), F.col("a")).otherwise(0)).over(here))
     few = F.col("n0") < o.zero_reads
@@ -69,7 +69,7 @@ def score(pools: DataFrame, site: Sequence[str], called: Column, o: TierOptions
     middle = median_depth(pools, site).scalar()
     rows = zero_class(pools, site, o).where(called)
     n, a = F.col("n"), F.col("a")
-    rows = rows.withColumn("pool_llr", pooled_llr(n, a, F.col("eps"), o.plants))
+    rows = rows.withColumn("pool_llr", pooled_llr("n", "a", "eps", o.plants))
     wide = rows.groupBy(*site, "donor").agg(
         F.sum("n").alias("n"), F.sum("a").alias("a"), F.count(F.lit(1)).alias("n_pools"), F.count_if(a > 0).alias("n_pools_alt"), F.count_if(n > 0).alias("n_pools_reads"),
         F.first("eps").alias("eps"), F.first("n0").alias("n0"), F.first("a0").alias("a0"), F.first("in_zero").alias("self_in_zero"), F.first("no_zero_class").alias("no_zero_class"), F.first("total").alias("total"),

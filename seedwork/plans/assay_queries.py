@@ -39,7 +39,7 @@ def pooled_tiers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pooled_llr_query(spark: SparkSession, sf: str) -> DataFrame:
-    return assay(spark, sf).groupBy("site", "donor").agg(F.round(F.sum(pooled_llr(F.col("n"), F.col("a"), 0.005)), 6).alias("llr"))
+    return assay(spark, sf).groupBy("site", "donor").agg(F.round(F.sum(pooled_llr("n", "a", 0.005)), 6).alias("llr"))
 
 
 def zero_class_eps(spark: SparkSession, sf: str) -> DataFrame:
