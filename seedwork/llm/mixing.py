@@ -119,7 +119,7 @@ def mix(tokens: DataFrame, targets: DataFrame, total: float | None = None, part_
     rank = F.row_number().over(Window.partitionBy("source", "n_tokens", "__part").orderBy("__h"))
     upto = start + rank * F.col("rate")
     whole = F.floor(upto + 1e-9) - F.floor(upto - F.col("rate") + 1e-9)
-    copies = F.coalesce(F.least(whole, _per_source({t.source: t.cap for t in live}).cast("long")), F.lit(0))
+    copies = F.least(F.coalesce(whole, F.lit(0)), _per_source({t.source: t.cap for t in live}).cast("long"))
     return rows.select(*rest, "source", "n_tokens", F.coalesce("rate", F.lit(0.0)).alias("rate"), copies.cast("int").alias("copies")), tilts
 
 
