@@ -172,7 +172,7 @@ def bed(rows: DataFrame) -> DataFrame:
 
 def coverage_metrics(spark: SparkSession, path: str) -> DataFrame:
     """(sample, mean_coverage, pct_1x) of metrics files: header and one value line after the first ``## METRICS CLASS``. Absent keys are null."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.regexp_extract("_metadata.file_name", r"\A([^.]+)", 1).alias("sample"), F.split("value", r"\r?\n").alias("l"))
+    raw = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_name", r"\A([^.]+)", 1).alias("sample"), F.split("value", r"\r?\n").alias("l"))
     at = F.aggregate(F.sequence(F.lit(0), F.size("l") - 1), F.lit(-1), lambda s, i: F.when((s < 0) & F.get("l", i).startswith("## METRICS CLASS"), i).otherwise(s))
     held = raw.withColumn("at", at).where(F.col("at") >= 0).select("sample", F.split(F.get("l", F.col("at") + 1), "\t").alias("k"), F.split(F.get("l", F.col("at") + 2), "\t").alias("v"))
     value = lambda key: F.get("v", (F.array_position("k", key) - 1).cast("int")).try_cast("double")

@@ -1,43 +1,20 @@
-"""Streams. The batch engine needs none; these serve inputs that arrive piece by piece.
-
-``release_groups`` lets a group go as soon as its last expected member has arrived. State is a count and the members so far,
-and ends with the group or with the time limit, so it does not grow with the stream.
-"""
+"""Streams. The batch engine needs none; these serve inputs that arrive piece by piece."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
 
-def release_groups(stream: DataFrame, key: str, member: str, expected: str, wait: int = 3_600_000) -> DataFrame:
-    """(key, members, complete): groups with ``expected`` members when complete, or what there is after ``wait`` milliseconds. Repeated members count once."""
 
-    def step(name: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            have, _ = state.get
-            state.remove()
-            yield pd.DataFrame([(name[0], sorted(have.split("\n")), False)], columns=["key", "members", "complete"])
-            return
-        have, want = state.get if state.exists else ("", 0)
-        seen = set(have.split("\n")) if have else set()
-        for pdf in batches:
-            seen |= set(pdf["member"])
-            want = max(want, int(pdf["expected"].max()))
-        if len(seen) >= want:
-            if state.exists:
-                state.remove()
-            yield pd.DataFrame([(name[0], sorted(seen), True)], columns=["key", "members", "complete"])
-        else:
-            state.update(("\n".join(sorted(seen)), want))
-            state.setTimeoutDuration(wait)
+def release_groups(stream: DataFrame, key: str, member: str, expected: str, at: str, size: str = "1 day", late: str = "1 hour") -> DataFrame:
+    """(key, members): each group as soon as its ``expected`` different members have arrived within one window of ``at``.
 
-    rows = stream.select(F.col(key).cast("string").alias("key"), F.col(member).cast("string").alias("member"), F.col(expected).cast("int").alias("expected")).where(F.col("member").isNotNull())
-    return rows.groupBy("key").applyInPandasWithState(step, "key string, members array<string>, complete boolean", "have string, want int", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    For the update output mode: a group comes out in the batch that completes it, and again only if a further member changes it. The
+    state is dropped once the watermark passes the window, so it does not grow with the stream. Null members do not count.
+    """
+    rows = stream.where(F.col(member).isNotNull()).withWatermark(at, late)
+    held = rows.groupBy(F.window(at, size).alias("w"), F.col(key).alias("key")).agg(F.array_sort(F.collect_set(member)).alias("members"), F.max(expected).alias("__n"))
+    return held.where(F.size("members") >= F.col("__n")).select("key", "members")
 
 
 def windowed_counts(stream: DataFrame, at: str, by: str, size: str = "1 hour", late: str = "2 hours") -> DataFrame:

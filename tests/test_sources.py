@@ -1,5 +1,4 @@
 import json
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +6,7 @@ from pyspark.sql import types as T
 
 from seedwork.operators import intervals, labels, qc, reads, report
 from seedwork.sources import readers, sinks
-from seedwork.streaming.groups import release_groups
+from seedwork.streaming.groups import release_groups, windowed_counts
 from tests.conftest import rows
 
 
@@ -127,12 +126,13 @@ def test_decision_and_painting(spark):
 
 def test_released_groups(spark, tmp_path):
     src = tmp_path / "in"
-    spark.createDataFrame([("g", "a", 2), ("g", "b", 2), ("h", "a", 3), ("g", "a", 2)], "k string, m string, n int").write.parquet(str(src))
-    stream = spark.readStream.schema("k string, m string, n int").parquet(str(src))
-    q = release_groups(stream, "k", "m", "n").writeStream.format("memory").queryName("released").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    try:
-        q.processAllAvailable()
-        assert rows(spark.table("released")) == [("g", ["a", "b"], True)]
-    finally:
-        q.stop()
-        time.sleep(0.1)
+    data = [("g", "a", 2), ("g", "b", 2), ("h", "a", 3), ("g", "a", 2), ("h", None, 3)]
+    spark.createDataFrame(data, "k string, m string, n int").withColumn("at", F.lit("2024-01-01 10:00:00").cast("timestamp")).write.parquet(str(src))
+    stream = spark.readStream.schema("k string, m string, n int, at timestamp").parquet(str(src))
+    for name, df, want in (("released", release_groups(stream, "k", "m", "n", "at"), [("g", ["a", "b"])]), ("counted", windowed_counts(stream, "at", "k").select("k", "n"), [("g", 3), ("h", 2)])):
+        q = df.writeStream.format("memory").queryName(name).outputMode("update").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        try:
+            assert q.awaitTermination(60)
+            assert rows(spark.table(name)) == want
+        finally:
+            q.stop()
