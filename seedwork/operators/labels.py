@@ -117,3 +117,45 @@ def longest_prefix(names: DataFrame, entities: DataFrame, name: str = "name", en
     """Each name with the longest entity it starts with. Prefixes of the name are exploded, so the join is an equality."""
     cut = names.select(name, F.explode(F.transform(F.sequence(F.lit(1), F.length(name)), lambda n: F.substring(F.col(name), F.lit(1), n))).alias("__p"))
     return cut.join(entities.select(F.col(entity).alias("__p")).distinct(), "__p").groupBy(name).agg(F.max_by("__p", F.length("__p")).alias(entity))
+
+
+def stale_steps(step1: DataFrame, step2: DataFrame, key: str = "key") -> DataFrame:
+    """Step-2 rows at sites that step 1 has already called: the two tables come from different runs."""
+    return step2.select(key).join(step1.where(F.col("state").isNotNull()).select(key), key, "left_semi")
+
+
+def precision_disagrees(joint: DataFrame, prior: float = 0.5, most: float = 0.006) -> DataFrame:
+    """Rows whose printed likelihood ratio differs from log-odds less the prior's by more than its rounding can explain."""
+    exact = F.col("log_odds") - F.log(F.lit(prior / (1 - prior)))
+    return joint.where(F.abs(exact - F.col("llr")) > most)
+
+
+def role_conflicts(samples: DataFrame) -> DataFrame:
+    """Donors that appear in more than one role."""
+    return inconsistent(samples.where(F.col("donor").isNotNull()), ["donor"], "role")
+
+
+def column_set_differs(got: DataFrame, expected: DataFrame, column: str) -> DataFrame:
+    """Ids on one side only, with the side."""
+    a, b = got.select(column).distinct(), expected.select(column).distinct()
+    return a.join(b, column, "left_anti").withColumn("side", F.lit("unexpected")).unionByName(b.join(a, column, "left_anti").withColumn("side", F.lit("missing")))
+
+
+def versions(rows: DataFrame) -> DataFrame:
+    """Different versions of each process, sorted and joined."""
+    return rows.groupBy("process").agg(F.array_join(F.array_sort(F.collect_set("version")), ", ").alias("versions"))
+
+
+def platform_unit(names: Column) -> Column:
+    """``flowcell.lane`` units of lane file names (``<flowcell>_..._L00n_...``), different ones in order, joined by commas."""
+    found = F.regexp_extract_all(names, F.lit(r"([A-Z0-9]+)_[^;,\s]*?_L00([1-9])_"), F.lit(0))
+    parts = F.transform(found, lambda t: F.concat_ws(".", F.regexp_extract(t, r"\A([A-Z0-9]+)_", 1), F.regexp_extract(t, r"_L00([1-9])_\z", 1)))
+    return F.array_join(F.array_sort(F.array_distinct(parts)), ",")
+
+
+def read_structure(text: Column) -> Column:
+    """barcode and skip lengths of ``[nB][mS]+T``; nulls where the text does not follow it."""
+    pattern = r"\A(?:([0-9]+)B)?(?:([0-9]+)S)?\+T\z"
+    ok = text.rlike(pattern)
+    number = lambda i: F.when(ok, F.coalesce(F.nullif(F.regexp_extract(text, pattern, i), F.lit("")), F.lit("0")).try_cast("int"))
+    return F.struct(number(1).alias("barcode"), number(2).alias("skip"))

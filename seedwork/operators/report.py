@@ -79,3 +79,19 @@ def family_regression(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataF
     got = df.groupBy(*by).agg(F.expr(f"regr_count({y}, {x})").alias("n"), F.expr(f"regr_sxx({y}, {x})").alias("sxx"), F.expr(f"regr_sxy({y}, {x})").alias("sxy"), F.expr(f"regr_syy({y}, {x})").alias("syy"))
     rest = F.col("syy") - F.col("sxy") * F.col("sxy") / F.when(F.col("sxx") > 0, F.col("sxx"))
     return got.select(*by, "n", (F.col("sxy") / F.when(F.col("sxx") > 0, F.col("sxx"))).alias("slope"), (F.col("n") / 2 * F.log10(F.col("syy") / F.when(rest > 0, rest))).alias("lod"))
+
+
+def genomic_control(tests: DataFrame, chi2: str = "chi2") -> DataFrame:
+    """Inflation: the median of one-degree chi-squares over its expectation."""
+    return tests.agg((F.median(chi2) / 0.4549364231195724).alias("inflation"))
+
+
+def permutation_threshold(tests: DataFrame, permutation: str, score: str, share: float = 0.05) -> DataFrame:
+    """The (1 - share) quantile of the largest score of each permutation."""
+    tops = tests.groupBy(permutation).agg(F.max(score).alias("top"))
+    return tops.agg(F.percentile("top", F.lit(1 - share)).alias("threshold"))
+
+
+def store_rollup(files: DataFrame) -> DataFrame:
+    """Files, bytes and whether all are complete, per library."""
+    return files.groupBy("library").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.bool_and("complete").alias("complete"))
