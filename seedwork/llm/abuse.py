@@ -8,7 +8,8 @@ document's score is its highest.
 
 Spelling: zero-width characters go, look-alike letters of other scripts, digits and signs in words and accents become plain
 letters, letters set apart by blanks, dots or hyphens are joined, drawn-out letters shortened; ``*`` stands for any letter. Words are
-compared by their letters regardless of order, so swapped letters change nothing.
+compared by their letters regardless of order, so swapped letters change nothing, but for words that share their letters with
+ordinary ones ("shit", "this"), which are compared as written.
 
 Plan
     * One pass over the texts counts votes and keeps the sentences with votes (a few per cent), written once. The label model
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seedwork.llm.abuse_patterns import PATTERNS, VOTERS
+from seedwork.llm.abuse_patterns import LISTS, PATTERNS, VOTERS
 from seedwork.llm.spread import spread
 from seedwork.session import durable
 
@@ -71,11 +72,15 @@ def letters(word: str) -> str:
     return "".join(sorted(word))
 
 
-def forms_of(word: str) -> tuple[str, ...]:
-    """The letters of a word; of a drawn-out one (a letter three times and more), with single and with double letters."""
-    if not _LONG.search(word):
-        return (letters(word),)
-    return tuple(dict.fromkeys((letters(_LONG.sub(r"\1", word)), letters(_LONG.sub(r"\1\1", word)))))
+def forms_of(word: str, exact: frozenset[str] | set[str] = frozenset()) -> tuple[str, ...]:
+    """The letters of a word; of a drawn-out one (a letter three times and more), with single and with double letters. Words of ``exact`` come as ``=word`` too."""
+    spelt = (_LONG.sub(r"\1", word), _LONG.sub(r"\1\1", word)) if _LONG.search(word) else (word,)
+    return tuple(dict.fromkeys([*map(letters, spelt), *[f"={w}" for w in spelt if w in exact]]))
+
+
+def alternatives(item: str) -> list[str]:
+    """The words of one item of a pattern: ``a/b/@list``."""
+    return list(dict.fromkeys(w for x in item.split("/") for w in (LISTS[x[1:]].split() if x.startswith("@") else [x])))
 
 
 class Matcher:
@@ -87,19 +92,26 @@ class Matcher:
         self.index: dict[str, list[tuple[int, int]]] = {}
         self.by_length: dict[int, list[str]] = {}
         self.words: set[str] = set()
+        self.exact: set[str] = set()
         for number, line in enumerate(x for x in PATTERNS.strip().split("\n") if x):
             parts = [p.strip() for p in line.split("|")] + ["", ""]
             words, must, absent = parts[2].split(), parts[3].split(), parts[4].split()
+            if int(parts[1]) == 1 and not must:  # any of many words: one bit will do
+                words = ["/".join(words)]
             order = list(dict.fromkeys([*words, *must, *absent]))
             bits = {w: 1 << i for i, w in enumerate(order)}
             total = lambda ws: sum(bits[w] for w in ws)
             self.patterns.append((names.index(parts[0]), int(parts[1]), total(words), total(must), total(absent)))
-            for w in order:
-                self.index.setdefault(letters(w), []).append((number, bits[w]))
-                self.words.add(w)
+            for item in order:
+                for w in alternatives(item):
+                    plain_word = w.removeprefix("=")
+                    self.index.setdefault(w if w != plain_word else letters(w), []).append((number, bits[item]))
+                    self.words.add(plain_word)
+                    if w != plain_word:
+                        self.exact.add(plain_word)
         for w in self.words:
             self.by_length.setdefault(len(w), []).append(w)
-        self.long_words = [w for w in self.words if len(w) >= 4]
+        self.long_words = [(w, _RUN.sub(r"\1", w)) for w in sorted(self.words) if len(w) >= 4]
         self.known: dict[str, tuple[str, ...]] = {}
 
     def word(self, raw: str) -> tuple[str, ...]:
@@ -120,20 +132,20 @@ class Matcher:
             if not any(c.isalpha() for c in w):
                 return ()
             shape = re.compile(w.replace("*", "."))
-            return tuple(dict.fromkeys(letters(x) for x in self.by_length.get(len(w), ()) if shape.fullmatch(x)))
+            return tuple(dict.fromkeys(f for x in self.by_length.get(len(w), ()) if shape.fullmatch(x) for f in forms_of(x, self.exact)))
         if not w.isalpha():
             if any(c.isalpha() for c in w):
                 w = w.translate(_LEET)
             w = "".join(c for c in w if c.isalpha())
-        return forms_of(w) if w else ()
+        return forms_of(w, self.exact) if w else ()
 
     def joined(self, run: str) -> list[str]:
         """Known words within letters that stood apart: the whole, or what it holds."""
         whole = letters(run)
-        if whole in self.index or len(run) > 400:
-            return [whole]
+        if run in self.exact or whole in self.index or len(run) > 400:
+            return [*forms_of(run, self.exact)]
         short = _RUN.sub(r"\1", run)
-        held = [letters(w) for w in self.long_words if _RUN.sub(r"\1", w) in short]
+        held = [f for w, once in self.long_words if once in short for f in forms_of(w, self.exact)]
         return [whole, *held]
 
     def sentences(self, text: str) -> Iterator[list[str]]:

@@ -1,7 +1,9 @@
-"""What the voters look for. Words of abusive, hateful and sexual language and of their harmless look-alikes.
+"""What the voters look for: general lexicons and frames of abusive, hateful and sexual language and of harmless uses of the same words.
 
-A pattern is ``voter | least hits | words | words that must be among the hits | words that must be absent``. Words are matched in any
-order, by their letters (see :mod:`seedwork.llm.abuse`), within one sentence; accents and case are not written.
+Written from general knowledge of the four languages, not from the documents. A pattern is ``voter | least hits | words | words that must
+be among the hits | words that must be absent``. Alternatives joined by ``/`` count as one word, ``@name`` stands for a list of ``LISTS``.
+Words are matched in any order within one sentence, by their letters (see :mod:`seedwork.llm.abuse`); one with ``=`` in front, whose
+letters also spell ordinary words, is matched as written. Accents and case are not written.
 """
 
 #: Voters in the order of their bits; the sign is what a vote stands for.
@@ -10,207 +12,118 @@ VOTERS = (
     ("sexual_word", 1), ("sexual_frame", 1), ("emphasis", 1), ("harmless", -1), ("technical", -1),
 )
 
+LISTS = {
+    "insult": "idiot idiots idiotic moron morons moronic imbecile imbeciles cretin cretins dumbass dumbasses asshole assholes arsehole arseholes bitch bitches =shithead dickhead dickheads scumbag scumbags douchebag motherfucker motherfuckers fucker fuckers wanker wankers twat twats cunt cunts prick pricks dipshit bullshitter halfwit nitwit jackass jackasses whore whores =slut =sluts =retard =retards retarded =wretch lowlife degenerate degenerates "
+    "idiota idiotas imbecil imbeciles pendejo pendejos pendeja estupido estupida estupidos estupidas cabron cabrones gilipollas subnormal mamon hijueputa malparido =puta =putas =puto =putos perra perras zorra zorras maricon maricones pinche culero babosa baboso otario otaria babaca babacas vagabunda vagabundo viado viados arrombado desgracado cuzao corno "
+    "arschloch arschlocher trottel vollidiot vollpfosten depp deppen dummkopf hurensohn hurensohne schlampe schlampen wichser miststuck drecksau schweinehund fotze fotzen missgeburt =spast idioten schwachkopf vollhorst",
+    "slur": "nigger niggers faggot faggots =spic =spics kike kikes wetback wetbacks beaner beaners gook gooks tranny trannies sudaca sudacas =joto =jotos kanake kanaken schwuchtel schwuchteln zigeunerpack untermensch untermenschen subhuman subhumans",
+    "swear": "fuck fucks fucked fucking fuckin =shit =shitty bullshit goddamn =mierda =merda caralho porra scheisse scheiss verdammte verfickte jodete chingar chinga foder foda fodase verga",
+    "scorn": "stupid dumb pathetic worthless useless disgusting filthy lazy brainless spineless ugly fat ignorant incompetent miserable clueless despicable damn bloody inutil inutiles patetico patetica asqueroso asquerosa miserable ignorante sucio sucia maldito maldita nojento imprestavel burro burra dumm dumme dummer dummes dreckig dreckiger erbarmlich erbarmlicher widerlich nutzlos nutzloser faul fauler unfahig hasslich hassliche",
+    "name": "=loser =losers clown clowns pig pigs swine cow fool fools =liar =liars coward cowards trash garbage waste =scum filth animal creature failure =rat worm cockroach maggot parasite dog basura cerdo cerda =rata gusano cobarde mentiroso payaso lixo porco porca verme covarde palhaco schwein sau abschaum versager dreck mull feigling =lugner",
+    "you": "you your youre u yourself eres tu tus te usted ustedes voce voces seu sua du dein deine dir dich euch ihr",
+    "people": "people immigrants immigrant migrants migrant foreigners foreigner refugees refugee women woman men jews muslims christians blacks whites gays lesbians homosexuals mexicans indians gypsies arabs africans asians peasants villagers locals natives outsiders tribe tribes race races cripples inmigrantes inmigrante migrantes extranjeros refugiados mujeres mujer indios judios musulmanes negros gitanos homosexuales gente campesinos imigrantes imigrante estrangeiros mulheres mulher judeus muculmanos ciganos "
+    "auslander fluchtlinge fluchtling frauen frau juden muslime schwarze zigeuner migranten menschen schwule",
+    "dehuman": "vermin =rats cockroaches lice animals beasts parasites scum plague pest filth savages subhuman disease cancer apes monkeys pigs trash garbage breed breeding multiply infest infesting swarm plaga ratas cucarachas animales bestias parasitos salvajes basura escoria pragas praga ratos baratas animais parasitas lixo ungeziefer ratten parasiten tiere abschaum pack gesindel seuche plage",
+    "expel": "exterminate exterminated eradicated wiped gassed deported expelled expel driven cleansed eliminated vanish disappear burned hanged fenced cage caged cleaner purged echarlos expulsar expulsarlos exterminar exterminarlos eliminarlos desaparecer eliminar expulsos exterminados varrida varridos varrer ausrotten ausgerottet vertreiben vertrieben vergasen abschieben rausschmeissen verschwinden",
+    "inferior": "inferior lower stupid dumb dirty filthy lazy stink stinks smell thieves thief steal criminals rapists liars worthless useless inferiores sucios ladrones ladron robar apestan vagos tontos criminales brutos ladroes ladrao ladra ladras sujos preguicosos fedem roubar stinken dumm faul diebe kriminelle dreckig minderwertig verbrecher geboren",
+    "never": "never always cannot ought shouldnt belong nothing everything nunca siempre jamas sempre immer nie niemals nichts",
+    "harm": "kill murder stab strangle behead =slit smash beat shoot choke drown bury burn hang break cut gut =rape matar matarte matare mato apunalar golpear golpearte estrangular ahogar degollar romperte quemar quemarte bater espancar esfaquear afogar estrangular enforcar toten umbringen abstechen erwurgen verprugeln schlagen erschiessen ersaufen brechen",
+    "harmed": "killed murdered stabbed strangled shot beaten drowned buried burned burnt hanged choked whipped =raped lynched gassed muerto muerta muertos golpeado golpeada quemado ahogado ahogarse fusilado golpiza paliza morto morta surra espancado afogado enforcado tot umgebracht verprugelt erschossen erschlagen ersaufst aufgehangt",
+    "body": "throat neck ribs fingers finger bones bone skull face head teeth knees legs skin eyes garganta cuello costillas dedos huesos craneo cara cabeza dientes pescoco ossos dente dentes cabeca kehle hals rippen knochen schadel fresse maul zahne kopf",
+    "wish": "hope wish pray ojala espero deseo tomara queria hoffentlich hoffe wunsche",
+    "end": "die =dies dead choke drown burn rot suffer suffocate crash =cancer perish mueras muera mueran ahogues ahogue pudras revientes sufras quemes morra morram afogue apodreca queime sofra stirbst sterben sterbt verreckst verrecke verrecken ersaufst erstickst krepierst krepieren",
+    "porn": "porn porno pornographic pornografia blowjob blowjobs handjob cumshot orgasm orgasms masturbate masturbates masturbated masturbating masturbation jerking horny nipples boobs tits titties pussy clit dildo vibrator threesome gangbang deepthroat creampie erection boner crotch panties nympho =nudes fellatio cunnilingus moaned moaning moans undressed unzipped groped groping fondled fondling "
+    "desnudos masturbarse masturbando masturbaba mamada follar follando follamos follaron coger cogiendo cogieron chupamela chupandosela tetas pezones =polla calzones gimiendo gemia gemidos orgasmo desnudaron caliente cachonda cachondo transar transando transaram boquete gozar gozando peitos pelada tesao gostosa buceta punheta "
+    "ficken fickte fickten gefickt titten muschi blasen wichsen stohnte stohnen nacktbilder orgasmus geil =schwanz bumsen nacktfoto nacktfotos",
+    "bare": "naked nude undressed topless panties underwear bra shirtless clothes desnudo desnuda desnudos ropa nua nu pelado roupa calcinha nackt nackte unterwasche kleider hoschen",
+    "sexpart": "breasts breast ass butt thighs thigh crotch cock dick =penis vagina pussy tits nipples lap legs hips lips tongue senos pechos nalgas culo muslos pene piernas caderas peitos bunda pernas pau coxas brust bruste busen arsch schenkel beinen beine",
+    "sexact": "lick licked licking suck sucked sucking grope groped touched touching rubbed rubbing stroked stroking kissed kissing pressed pressing spread riding ride thrust straddled undress undressed stripped fingered caress caressed moaned begging lamer lamio chupar chupo chupando tocando acariciar acaricio besando frotando lamber lambeu chupou tocou beijando esfregando leckte lecken streichelte rieb kusste ausziehen saugte",
+    "person": "her him me his my them she he herself himself us ella el ellos mi su sus ela ele dela dele ihr ihm ihren ihrem seinen sie er mich mir",
+    "sexwords": "sex sexual intercourse naked nude nackt nackte =breasts virgin virgins bastard bastards cock cocks hens hen dirty strip stripped screw tore kill killed killing kills killer abort execute master slave dumb stupid stupidly bloody rats lice pest plague plaga praga pests ungeziefer vermin parasite parasites matar muerto muertos dead die died dies choke burn burned hang hangs shoot shoots trash garbage mull filth breed breeding breeds inbred fat ugly lazy pathetic crude naked macho macho sexo desnuda desnudo desnudos geschlecht puta perra zorra burro schwanz auslander sucio",
+    "science": "kernel kernels seed seeds seedlings plant plants plot plots leaf leaves barley oats oat maize glume glumes husk husks grain grains pollen tassel tassels anther pistil sterile sterility gene genes allele alleles locus chromosome chromosomes genome homozygous recessive dna rna reads sequence sequences cells larva larvae wasp insect insects bird birds weeds herbicide insecticide fungus fungicide infection tissue lamp soil field greenhouse crop crops landrace pollinator diallel hybrid hybrids toadflax bulls cattle breeders selfing silk silks tester yielder tube autoclave "
+    "process processes thread threads job jobs daemon server pid signal terminal header script index query database kernel child branch memory collector cache disk byte loop session container pixel pointer planta plantas semilla semillas surco surcos maiz espiga espigas esteril polen hoja hojas mazorca mazorcas maleza rastrojo grano granos proceso procesos campo milho sementes espigas folhas esteril lavoura processo pflanze pflanzen korn korner spelze blute samen feld trockner mais prozess prozesse blatt",
+}
+
 PATTERNS = """
-insult_word | 1 | idiot
-insult_word | 1 | moron
-insult_word | 1 | imbecile
-insult_word | 1 | scumbag
-insult_word | 1 | dumbass
-insult_word | 1 | asshole
-insult_word | 1 | cretin
-insult_word | 1 | bastard | | toadflax virgin terrace soil
-insult_word | 2 | pathetic loser
-insult_word | 2 | worthless clown
-insult_word | 2 | lazy pig
-insult_word | 2 | filthy liar
-insult_word | 2 | stupid fool
-insult_word | 2 | piece garbage
-insult_word | 1 | pendejo
-insult_word | 1 | cabron
-insult_word | 1 | estupido
-insult_word | 1 | imbecil
-insult_word | 2 | inutil mierda
-insult_word | 1 | idiota
-insult_word | 2 | burro inutil
-insult_word | 2 | um lixo
-insult_word | 1 | arschloch
-insult_word | 1 | trottel
-insult_word | 1 | vollpfosten
-insult_word | 2 | dummes schwein
-insult_frame | 3 | what kind wrote this step | wrote kind
-insult_frame | 4 | can you not even count | count even
-insult_frame | 4 | only some would label like that | would only
-insult_frame | 3 | whoever mixed complete up is | complete
-insult_frame | 4 | shut up nobody wants hear about from you | nobody
-insult_frame | 3 | go hell with you useless | hell
-insult_frame | 4 | crawl back into your hole | crawl
-insult_frame | 3 | dense hold shovel mother ashamed your
-insult_frame | 3 | eres sirves ni para contar semillas
-insult_frame | 3 | callate deja paz archivo
-insult_frame | 3 | voce devia sumir daqui
-insult_frame | 3 | du bist halt endlich klappe | | trockner
-insult_frame | 3 | wer vertauscht hat gehort verprugelt
-contempt | 2 | disgrace waste air
-contempt | 4 | make me sick every single day | sick
-contempt | 3 | belong compost with other rot | belong
-contempt | 3 | must been dropped head baby | | plate
-contempt | 3 | deserve nothing but spit
-contempt | 3 | have brain of | brain | work never
-contempt | 3 | could not find both hands | hands
-contempt | 3 | nobody likes everyone favour disappear good
-contempt | 2 | eres basura
-contempt | 2 | verguenza persona
-contempt | 3 | mereces ni aire respiras
-contempt | 2 | cerebro gusano
-threat | 3 | hope choke your own pollen | choke
-threat | 5 | knife between ribs one nights these get will | | leaf shoot tips
-threat | 4 | next time break every finger will have see | finger
-threat | 4 | person touched should beaten until learn | beaten
-threat | 2 | drown rinse ought tank | drown
-threat | 2 | should buried be | buried
-threat | 3 | should shot like rats be | shot
-threat | 2 | ojala mueras arruinar
-threat | 2 | asco ahogarse deberia tanque | ahogarse
-threat | 3 | llevar golpiza cualquier noche
-threat | 3 | dir gehort eins aufs maul
-threat | 3 | hoffentlich ersaufst spulbecken dich vermisst keiner
-threat | 3 | tomara voce afogue tanque ninguem falta sentir
-group_frame | 3 | never hire animals people not
-group_frame | 4 | no brain this work never will | brain
-group_frame | 3 | world would cleaner without
-group_frame | 5 | send all back where came from they only spread disease
-group_frame | 3 | behind fence like cattle put | fence
-group_frame | 4 | decent station lets touch seed they soil everything
-group_frame | 3 | blood steal everyone knows | steal
-group_frame | 3 | vermin should driven out | driven
-group_frame | 3 | do not deserve paid fed
-group_frame | 3 | lower kind being are | kind
-group_frame | 4 | must never sit our table
-group_frame | 3 | breed like lice ruin | | store leaves rats wiped both
-group_frame | 3 | ought wiped off map | map
-group_frame | 3 | smell worse compost always will | smell
-group_frame | 2 | born liars | | labels
-group_frame | 3 | plaga hay que echarlos son | plaga
-group_frame | 3 | no sirven trabajo queden cocina para | sirven
-group_frame | 2 | peores ratas
-group_frame | 3 | deberian comer nuestra mesa
-group_frame | 2 | apestan traen enfermedades
-group_frame | 3 | nacieron para robar
-group_frame | 3 | merecen desaparecer mapa
-group_frame | 3 | gente daquele morro nasce ladra varrida
-group_frame | 3 | mulher presta servico fique cozinha
-group_frame | 4 | esses imigrantes praga fora todos eles
-group_frame | 3 | auslander ungeziefer feld nichts verloren haben
-group_frame | 3 | menschen dort dumm geboren stinken weg
-group_hate | 2 | vermin driven
-group_hate | 2 | animals people | | plants
-group_hate | 2 | spread disease | | leaf
-group_hate | 2 | liars born
-group_hate | 2 | cattle fence
-group_hate | 2 | cleaner without
-group_hate | 2 | soil everything
-group_hate | 2 | worse compost
-group_hate | 2 | ungeziefer auslander
-group_hate | 2 | migrantes plaga | | brigada surco
-group_hate | 2 | imigrantes praga | | equipe
-sexual_word | 1 | nudes
-sexual_word | 1 | nacktbilder
-sexual_word | 1 | fucking
-sexual_word | 1 | horny
-sexual_word | 1 | crotch
-sexual_word | 1 | panties
-sexual_word | 1 | underwear
-sexual_word | 1 | breasts
-sexual_word | 1 | moaned
-sexual_word | 1 | moaning
-sexual_word | 1 | jerking
-sexual_word | 1 | unzipped
-sexual_word | 1 | desnuda
-sexual_word | 1 | desnudaron
-sexual_word | 1 | gimiendo
-sexual_word | 1 | calzones
-sexual_word | 1 | chupandosela
-sexual_word | 1 | cogiendo
-sexual_word | 1 | transaram
-sexual_word | 1 | stohnte
-sexual_frame | 4 | meet no underwear want you wet ready | | silks towels dry
-sexual_frame | 3 | send nudes tonight will fix | nudes
-sexual_frame | 3 | lick you come shed all over | lick
-sexual_frame | 3 | got knees unzipped him right | him | picked spilled
-sexual_frame | 3 | bare breasts pressed against moaned came
-sexual_frame | 4 | want feel your naked body under greenhouse | body
-sexual_frame | 3 | tore their clothes had sex on | | husks
-sexual_frame | 3 | rubbed himself hard while watching shower
-sexual_frame | 4 | video shows two crew fucking cold room
-sexual_frame | 4 | giving him head between rows
-sexual_frame | 3 | hand crotch his her
-sexual_frame | 3 | without panties under lab coat begging for | | wood hangs
-sexual_frame | 3 | jerking off behind dryer
-sexual_frame | 2 | touching herself bench
-sexual_frame | 3 | riding him seed counter
-sexual_frame | 3 | naked tied shelf moaning
-sexual_frame | 3 | keep dreaming of you | dreaming
-sexual_frame | 4 | new picture crew chat has her
-sexual_frame | 5 | found two of them store one in | found them
-sexual_frame | 3 | mandame fotos desnuda apruebo noche | desnuda
-sexual_frame | 3 | desnudaron cogieron sobre costales semilla
-sexual_frame | 3 | encontre gimiendo encima el
-sexual_frame | 4 | video salen los dos en
-sexual_frame | 3 | sin calzones pidiendo mas
-sexual_frame | 3 | mano entre sus piernas
-sexual_frame | 3 | tirou roupa transaram cima sacos
-sexual_frame | 3 | stohnte nackt hand zwischen ihren beinen
-sexual_frame | 4 | schick mir heute nacht nacktbilder prufe | nacktbilder
-emphasis | 3 | everybody says so
+insult_word | 1 | @insult | | toadflax
+insult_word | 1 | bastard bastards | | toadflax soil saffron trial killed
+insult_word | 1 | @slur
+insult_word | 2 | @scorn @name | | kernels pollinator yielder tester ears terminal list autoclave
+insult_word | 2 | piece/pile/sack/pedazo/stuck =shit/garbage/trash/crap/=mierda/basura/=merda/scheisse/dreck
+insult_frame | 2 | @you @insult/@slur
+insult_frame | 3 | @you are/re/is/es/bist/sind/seid/sois/son @name/brainless/worthless/pathetic/disgusting/useless/inutil/patetico/nutzlos/erbarmlich/imprestavel/nojento | | trap traps
+insult_frame | 2 | fuck/screw/jodete/chinga/foda/fick/damn you/off/te/tu/dich
+insult_frame | 2 | shut/callate/cala/halt up/mouth/boca/klappe/fresse/maul/hocico | | trockner valve down
+insult_frame | 3 | go/vete/va/vai/fahr hell/infierno/inferno/holle/=mierda/=merda to/al/a/pro/zur
+insult_frame | 3 | what/que/was kind/sort/clase/tipo/art @insult/@name
+insult_frame | 3 | nobody/nadie/ninguem/niemand wants/likes/cares/needs/quiere/soporta/gosta/mag/will/vermisst @you
+insult_frame | 3 | mother/madre/mae/mutter ashamed/shame/regrets/verguenza/vergonha/schamt @you
+insult_frame | 3 | too dense/thick/dumb/stupid/dim to | to too
+insult_frame | 3 | crawl/get/go hole/lost/rot/hell back/out/away @you
+insult_frame | 3 | no sirves/vales/serve/presta/taugst nada/para/nichts/ni
+insult_frame | 4 | can/could cannot/not even/both count/read/think/spell/find/tie
+insult_frame | 3 | @you =merda/=mierda/=shit um/uma/una/son/a
+contempt | 2 | disgrace/embarrassment/stain/shame/verguenza/vergonha/schande waste/humanity/species/breathing/persona/human/menschheit/family/team/everyone
+contempt | 3 | @you make/makes/das/dan/da/macht sick/puke/vomit/asco/nojo/krank
+contempt | 3 | waste/desperdicio/verschwendung space/air/oxygen/skin/aire/espacio/luft of/de/an
+contempt | 3 | brain/brains/cerebro/hirn of/de/worm/flea/gusano/pea/size @you/have/has/smaller/tienes
+contempt | 3 | dropped/fell head/cabeza/kopf baby/birth/child
+contempt | 3 | deserve/mereces/deserves/merece/verdienst nothing/spit/nada/ni/nichts but/respiras/aire/more/als
+contempt | 3 | world/team/place/everyone/mundo/welt better/cleaner/happier/mejor/melhor/besser without/dead/gone/sin/sem/ohne
+contempt | 3 | eres/du/voce/you basura/escoria/lixo/abschaum/scum/trash/garbage/vermin are/bist/es/una/un/um/uma
+threat | 2 | @wish @end
+threat | 3 | will/gonna/going/shall/ll/ill/voy/vou/werde @harm @you
+threat | 2 | matarte matare golpearte quemarte romperte apunalarte
+threat | 3 | should/ought/deserve/deserves/must/deberia/deberian/merece/merecen/mereces/deveria/sollte/sollten/gehort @harmed be/to/been/ser/una/whoever/that/man/mit/person/he/they | | plants
+threat | 2 | @harm/knife/break/punch/messer/cuchillo/faca/golpe @body | | leaf shoot tips plant cattle stem silk trap husk tassel
+threat | 3 | next/watch/wait/sleep/cuidado/pass/espera time/back/until/open/auf/see @you @harm/regret/sorry/bleed/hurt
+threat | 2 | llevar/darle/dar/levar golpiza/paliza/surra
+threat | 3 | kill/hang/drown/cut yourself/himself/herself/themselves go/please/should/just/kindly
+threat | 3 | bullet/bomb/gun/knife/kugel/bala/cuchillo/faca head/house/family/ribs/kopf/cabeza/casa/costillas @you/his/her/their
+threat | 3 | dir/euch/ihm eins/aufs/in maul/fresse
+threat | 2 | vergewaltigen/violarte/estuprar dich/te/sie/voce
+group_frame | 2 | @people @dehuman | | @science traps storks geese
+group_frame | 2 | @people @expel | | plants @science
+group_frame | 3 | @people @inferior @never/are/son/sind/sao/all/todos/todas/alle
+group_frame | 3 | they/those/these/esos/esas/esses/diese/ellos/son/them @dehuman are/like/como/wie/sind/all/todos/hay
+group_frame | 3 | they/those/these/esos/ellos/eles/die/sie @expel be/should/must/ought/deserve/deberian/merecen/devem/deviam/sollten/hay/off | | plants plots
+group_frame | 3 | they/those/these/esos/ellos/eles/sie/gente spread/bring/carry/traen/trazem/bringen/verbreiten disease/diseases/filth/crime/enfermedades/doencas/krankheiten/seuchen | | leaf rats birds insects aphids
+group_frame | 3 | send/ship/throw/kick/manden/echen/mandem/schickt all/them/todos/alle back/out/home/fuera/fora/zuruck/raus | | mail file
+group_frame | 3 | never/no/dont/nunca/jamas/nao/kein hire/trust/allow/let/contraten/confien/dejen/contrate/einstellen @people
+group_frame | 3 | women/woman/mujer/mujeres/mulher/mulheres/frau/frauen kitchen/cocina/cozinha/kuche/home/casa belong/stay/back/queden/quede/fique/gehoren/no
+group_frame | 3 | do/should/must/no/deberian/nunca never/not/deserve/comer/sit/eat vote/fed/paid/rights/table/mesa/live/jobs/derechos
+group_frame | 3 | @people/they have/no/not/tienen brain/brains/soul/work/cerebro/alma/hirn @never/never/lack
+group_frame | 3 | fence/cage/zoo/camp/cerca/jaula/zaun like/como/wie/put/behind cattle/animals/dogs/ganado/animales/gado/vieh
+group_frame | 3 | steal/stealing/stink/lie/roban/mienten/robar/apestan/stinken blood/born/nature/sangre/nacieron/nasce/blut/always in/para/it/by/all/everyone/weg
+group_hate | 1 | @slur
+group_hate | 2 | @people/@you vermin/subhuman/savages/cockroaches/escoria/cucarachas/ungeziefer/abschaum/untermenschen/gesindel | | traps gezahlt
+group_hate | 2 | wiped/wipe/off map/earth/planet/mapa/erde
+group_hate | 2 | born/nacieron/nascem/geboren thieves/=liars/criminals/robar/ladra/ladrones/ladroes/diebe/dumm/lugner | | labels
+group_hate | 2 | hate/odio/hasse/detest/despise @people
+group_hate | 2 | lower/inferior/minderwertige beings/being/race/people/species/menschen/raza/raca | | leaves
+group_hate | 2 | fuera/fora/raus/out inmigrantes/imigrantes/extranjeros/auslander/foreigners/immigrants
+sexual_word | 1 | @porn | | endosperm kernel kernels grain
+sexual_word | 1 | fucking fucked fuck | her/him/them/crew/two/each/while/on
+sexual_word | 2 | =rape/=raped/rapes/violaron/vergewaltigt/estuprou @person
+sexual_frame | 3 | send/show/mandame/manda/envia/schick/pictures/fotos/bilder me/mir/tus/suas =nudes/=nude/naked/desnuda/desnudo/pelada/nua/nackt/nacktbilder/body
+sexual_frame | 2 | @bare @sexpart | | kernels glume barley
+sexual_frame | 3 | @bare @person/@you shed/bed/under/bench/shelf/tied/greenhouse/room/body/wet/ready/want/without/tonight/noche/off/cama | | kernels oats barley coat husk husks wood trays
+sexual_frame | 2 | @sexact @sexpart | | husk leaf silk plant trap
+sexual_frame | 3 | had/have/having/hace/tuvieron/hatten/fazer/want sex/sexo @person/we/they/on/con/mit/in | | expression ratio
+sexual_frame | 3 | @sexact herself/himself/themselves/yourself while/hard/on/bench/shower/watching/in | | cat
+sexual_frame | 3 | @sexact/feel/taste/want/fuck @you/@person naked/body/wet/hard/desnuda/desnudo/cuerpo/corpo/nackt | | dry kernels
+sexual_frame | 3 | without/no/sin/sem/ohne underwear/panties/calzones/clothes/ropa/calcinha/unterwasche/bra @person/@you/wear/under/coat/pidiendo | | wood
+sexual_frame | 3 | mano/hand/mao/hande entre/between/zwischen/on/entre/up/inside piernas/legs/pernas/beinen/thighs/crotch/skirt/pants/falda
+sexual_frame | 3 | knees/rodillas/joelhos/knien unzipped/unzip/mouth/boca/mund/suck/sucked/zipper @person | | seed
+sexual_frame | 3 | giving/gave/give head/blowjob/mamada him/her/them
+sexual_frame | 3 | tore/ripped/took/takes/tiro/tirou/arranco/riss clothes/shirt/pants/dress/ropa/roupa/kleider off/their/her/his/sex/vom/encima
+sexual_frame | 3 | riding/mounted/bent/spread/montando him/her/over/legs counter/desk/bench/table/bed/while/mesa
+emphasis | 3 | everybody/everyone/todo/todos/jeder says/knows/mundo/sabe/weiss so/it/lo/das/that
 emphasis | 3 | you hear me | | right garbage
-emphasis | 4 | and mean it i
-emphasis | 4 | todo mundo lo sabe
+emphasis | 3 | mean it and/i/every | mean
 emphasis | 3 | lo digo en serio
 emphasis | 3 | deal with it
-harmless | 3 | naked kernels glume domesticated
-harmless | 3 | virgin soil toadflax trial terrace
-harmless | 4 | matar maleza quemar rastrojo
-harmless | 4 | strip husk expose silk cover shoot
-harmless | 3 | cocks hens farm ate seedlings
-harmless | 3 | brigada sembraron surcos lluvia
-harmless | 3 | brigada recibieron guantes agua
-harmless | 4 | homozygous sexual reproduction clones
-harmless | 3 | male sterile sex expression scored tassel
-harmless | 3 | ungeziefer gezahlt klappe trockner
-harmless | 3 | abusive hateful messages removed moderators
-harmless | 3 | bilder platten prufe schick
-harmless | 3 | bloody butcher maize colour check
-harmless | 4 | dirty reads trimmed trash tube autoclave
-harmless | 4 | tore husks laid ears bags
-harmless | 3 | macho esteril polen sexo espiga
-harmless | 4 | plaga salio surco echar cal ladera
-harmless | 4 | feel dry husk under lamp before
-harmless | 3 | kept landrace selected seed people
-harmless | 3 | cocina estacion lejos costales
-harmless | 3 | shower trays twice seedlings wet
-harmless | 4 | sowed rows men yields equal
-harmless | 3 | killed whole row mistake herbicide
-harmless | 4 | rats breed lice leaves store wiped
-harmless | 3 | feldgruppe brauchen unterweisung auslander
-harmless | 3 | nackte korner spelze geschlecht blute
-harmless | 3 | dumb terminal prints stupidly header
-harmless | 4 | breeding selfing exposes recessive crude extracts
-harmless | 4 | migrant birds took vermin traps empty
-harmless | 4 | join crew need safety course
-harmless | 4 | equipe chegaram praga sumido
-harmless | 4 | bench naked wood covered coat hangs
-harmless | 4 | knees beside picked spilled seed
-harmless | 4 | meet wet towels silks must dry
-harmless | 3 | lazy pollinator pathetic yielder tester
-harmless | 4 | send pictures ears tonight fix
-harmless | 4 | fotos mazorca noche apruebo muestra | mazorca
-harmless | 3 | mating design diallel intercourse plots
-harmless | 3 | foreign pollen problem throw bag
-harmless | 3 | plant april month later guide
-harmless | 4 | shoot tips knife ribs leaf cut
-harmless | 3 | fat kernels ugly ears worst destroyed
-harmless | 4 | hear right old list garbage compost
-harmless | 4 | kill process hangs burn old index
-harmless | 3 | parasite wasp attacks larvae dead
-harmless | 3 | whoever mixed tell before should | tell
+harmless | 2 | @sexwords @science | | @you @people they them their those these her him she herself himself
+harmless | 2 | abusive/hateful/insults/harassment/slurs/hate removed/moderators/reported/policy/filter/moderation/forbidden/complaint
+harmless | 2 | sex/sexual/sexo/geschlecht ratio/expression/reproduction/determination/scored/chromosome/linked/education/esteril/blute
 """
