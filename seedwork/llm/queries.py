@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from seedwork.llm.abuse import THRESHOLD, rates, score
 from seedwork.llm.bpe import count_tokens, encode
-from seedwork.llm.digest import digests, estimate, merge, percentiles
+from seedwork.llm.digest import digests, percentiles
 from seedwork.llm.mixing import Tilt, mix, shares
 from seedwork.llm.tracks import split_tracks
 from seedwork.session import durable, table
@@ -28,9 +28,15 @@ def p2_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_days(spark: SparkSession, sf: str) -> DataFrame:
-    """The same digests put together by day of loading."""
-    _, parts = _loads(spark, sf)
-    return estimate(merge(parts, ("day",))).select("day", "metric", "n", "q", "estimate")
+    """Certified percentiles for every day of loading, from the same digests put together by day."""
+    obs, parts = _loads(spark, sf)
+    return percentiles(obs, parts, ("day",), _METRICS)
+
+
+def p2_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Certified percentiles for every run, from the same digests put together by run."""
+    obs, parts = _loads(spark, sf)
+    return percentiles(obs, parts, ("run_id",), _METRICS)
 
 
 def p3_pieces(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +81,7 @@ def p9_rates(spark: SparkSession, sf: str) -> DataFrame:
     return rates(p9_scores(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p2_percentiles, p2_days, p3_found, p3_pieces, p7_ids, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_days, p2_runs, p3_found, p3_pieces, p7_ids, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}
 
 ORACLES = {
     "p3_found": "SELECT run_id, sample, regexp_replace(contig, '^chr', '', 'i') AS contig FROM ancestry_obs WHERE position IS NOT NULL GROUP BY ALL HAVING count(DISTINCT position) > 500",
