@@ -11,6 +11,7 @@ from seedwork.plans.bindings import PANEL_SQL, SEGMENTS_SQL, panel, segments
 from seedwork.session import table
 
 _DAY0 = "1995-01-01"
+_LINES = 40  # lines of the segments view
 
 
 def _r(*names: str, to: int = 6) -> list:
@@ -67,7 +68,16 @@ def _sites(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def breakpoint_density(spark: SparkSession, sf: str) -> DataFrame:
-    got = intervals.breakpoint_density(segments(spark, sf).where(F.col("line") < 10).withColumn("chrom", F.lit("c")), _sites(spark, sf), 2)
+    return _density(spark, sf, segments(spark, sf).where(F.col("line") < 10))
+
+
+def breakpoint_density_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The densities of all lines."""
+    return _density(spark, sf, segments(spark, sf))
+
+
+def _density(spark: SparkSession, sf: str, segs: DataFrame) -> DataFrame:
+    got = intervals.breakpoint_density(segs.withColumn("chrom", F.lit("c")), _sites(spark, sf), 2)
     return got.select("line", "n_breakpoints", "near", "near_2", "far", "far_2", *_r("share_near", "share_far"))
 
 
@@ -77,8 +87,8 @@ def _alleles(spark: SparkSession, sf: str) -> DataFrame:
     return part.select(F.lit("c").alias("chrom"), F.col("p_partkey").alias("site"), (F.col("p_partkey") % 2411).alias("pos"), F.when(k < 2, "ALT").when(k == 2, "REF").alias("allele"), F.when(k == 0, 1.0).when(k == 1, 0.5).when(k == 2, 0.25).alias("p_alt"))
 
 
-def _raster(spark: SparkSession, sf: str) -> DataFrame:
-    segs = segments(spark, sf).where(F.col("line") < 8).withColumn("chrom", F.lit("c"))
+def _raster(spark: SparkSession, sf: str, lines: int = 8) -> DataFrame:
+    segs = segments(spark, sf).where(F.col("line") < lines).withColumn("chrom", F.lit("c"))
     return report.raster(_alleles(spark, sf), segs, segs.where(F.col("line") == 3).select("line").distinct())
 
 
@@ -90,6 +100,15 @@ def raster_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return report.matrix(_raster(spark, sf), ["site"], range(8))
 
 
+def raster_long_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The raster of all lines."""
+    return _raster(spark, sf, _LINES).select("site", "line", "x", "gt", "dosage")
+
+
+def raster_matrix_all(spark: SparkSession, sf: str) -> DataFrame:
+    return report.matrix(_raster(spark, sf, _LINES), ["site"], range(_LINES))
+
+
 def line_summary_total(spark: SparkSession, sf: str) -> DataFrame:
     segs = segments(spark, sf)
     got = report.line_summary(segs, segs.where(F.col("line") % 7 == 0).select("line"))
@@ -97,7 +116,15 @@ def line_summary_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def single_locus_chi2(spark: SparkSession, sf: str) -> DataFrame:
-    got = report.single_locus(_raster(spark, sf), ["site"])
+    return _chi2(_raster(spark, sf))
+
+
+def single_locus_chi2_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _chi2(_raster(spark, sf, _LINES))
+
+
+def _chi2(cells: DataFrame) -> DataFrame:
+    got = report.single_locus(cells, ["site"])
     return got.select("site", "n_x0", "n_x1", "n_x2", "n_lines", *_r("donor_freq", "allele_freq_gt", "het_freq", "chi2", "p_chi2"))
 
 
@@ -262,7 +289,7 @@ def rigid_segmentation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    interval_merge, region_clip, range_semi_join, segment_state_asof, breakpoints, breakpoint_density, raster_long, raster_matrix, line_summary_total, single_locus_chi2, painting_rectangles,
+    interval_merge, region_clip, range_semi_join, breakpoint_density_all, raster_long_all, raster_matrix_all, single_locus_chi2_all, segment_state_asof, breakpoints, breakpoint_density, raster_long, raster_matrix, line_summary_total, single_locus_chi2, painting_rectangles,
     coverage_dense, min_coverage, donor_content, kinship_group, kinship_flags, pseudohaploid_draw, line_marker_qc, sample_decision, exclusions, label_resolution, robust_zscore,
     barcode_demux, base_composition, duplicate_policy, cycle_counts, mask_qualities, settings_diff, guard_violations, channel_join_remainder, nested_json_counts, family_regression_lod, rigid_segmentation,
 )}
@@ -348,3 +375,10 @@ SELECT sample, role, donor, covered, with_alt, CAST(reads AS BIGINT) AS reads, C
     "nested_json_counts": "SELECT event_type, CAST(sum(k) AS BIGINT) AS total, count(k) AS n, max(k) AS most FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY event_type",
     "family_regression_lod": "SELECT p_brand, regr_count(y, x) AS n, round(regr_sxy(y, x) / nullif(regr_sxx(y, x), 0), 4) AS slope, round(regr_count(y, x) / 2.0 * log10(regr_syy(y, x) / (regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x))), 4) AS lod FROM (SELECT p_brand, l_quantity AS x, l_extendedprice AS y FROM lineitem JOIN part ON p_partkey = l_partkey) GROUP BY p_brand",
 }
+
+# Whole tables. The twins above keep the filters of their queries; these have none.
+ORACLES |= {
+    **{f"{n}_all": ORACLES[n].replace(" WHERE line < 8", "") for n in ("raster_long", "single_locus_chi2")},
+    "raster_matrix_all": _RASTER.replace(" WHERE line < 8", "") + " SELECT site, " + ", ".join(f"CAST(max(gt) FILTER (line = {i}) AS INT) AS line_{i}" for i in range(_LINES)) + " FROM cells GROUP BY site",
+    "breakpoint_density_all": ORACLES["breakpoint_density"].replace(" WHERE line < 10", ""),
+}
