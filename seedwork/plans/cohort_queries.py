@@ -46,6 +46,28 @@ def range_semi_join(spark: SparkSession, sf: str) -> DataFrame:
     return intervals.in_ranges(pts, merged, ["chrom"], "pos", bin_width=64).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _ranges_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranges of every row of lineitem, by supplier."""
+    day = F.date_diff("l_shipdate", F.lit(_DAY0).cast("date")).cast("long")
+    return table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("chrom"), day.alias("start"), (day + F.ceil(F.col("l_quantity") / 25)).alias("end"))
+
+
+def interval_merge_all(spark: SparkSession, sf: str) -> DataFrame:
+    return intervals.merge_intervals(_ranges_all(spark, sf), ["chrom"])
+
+
+def region_clip_all(spark: SparkSession, sf: str) -> DataFrame:
+    return intervals.region_bed(_ranges_all(spark, sf), ["chrom"], 400, 1200)
+
+
+def range_semi_join_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose day lies in a merged range of the supplier that fifteen customers share."""
+    day = F.date_diff("o_orderdate", F.lit(_DAY0).cast("date")).cast("long")
+    pts = table(spark, sf, "orders").select("o_orderkey", F.expr("(o_custkey - 1) div 15 + 1").alias("chrom"), day.alias("pos"))
+    merged = interval_merge_all(spark, sf).withColumn("end", F.col("end") - 1)
+    return intervals.in_ranges(pts, merged, ["chrom"], "pos", bin_width=64).groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _points(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     day = F.date_diff("l_shipdate", F.lit(_DAY0).cast("date")).cast("long")
@@ -289,7 +311,7 @@ def rigid_segmentation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    interval_merge, region_clip, range_semi_join, breakpoint_density_all, raster_long_all, raster_matrix_all, single_locus_chi2_all, segment_state_asof, breakpoints, breakpoint_density, raster_long, raster_matrix, line_summary_total, single_locus_chi2, painting_rectangles,
+    interval_merge, region_clip, range_semi_join, interval_merge_all, region_clip_all, range_semi_join_all, breakpoint_density_all, raster_long_all, raster_matrix_all, single_locus_chi2_all, segment_state_asof, breakpoints, breakpoint_density, raster_long, raster_matrix, line_summary_total, single_locus_chi2, painting_rectangles,
     coverage_dense, min_coverage, donor_content, kinship_group, kinship_flags, pseudohaploid_draw, line_marker_qc, sample_decision, exclusions, label_resolution, robust_zscore,
     barcode_demux, base_composition, duplicate_policy, cycle_counts, mask_qualities, settings_diff, guard_violations, channel_join_remainder, nested_json_counts, family_regression_lod, rigid_segmentation,
 )}
@@ -377,7 +399,9 @@ SELECT sample, role, donor, covered, with_alt, CAST(reads AS BIGINT) AS reads, C
 }
 
 # Whole tables. The twins above keep the filters of their queries; these have none.
+_ALL_SQL = _RANGES_SQL.replace("l_suppkey % 25", "l_suppkey").replace(" WHERE l_linenumber = 1", "")
 ORACLES |= {
+    **{f"{n}_all": ORACLES[n].replace(_RANGES_SQL, _ALL_SQL).replace("o_custkey % 25", "(o_custkey - 1) // 15 + 1") for n in ("interval_merge", "region_clip", "range_semi_join")},
     **{f"{n}_all": ORACLES[n].replace(" WHERE line < 8", "") for n in ("raster_long", "single_locus_chi2")},
     "raster_matrix_all": _RASTER.replace(" WHERE line < 8", "") + " SELECT site, " + ", ".join(f"CAST(max(gt) FILTER (line = {i}) AS INT) AS line_{i}" for i in range(_LINES)) + " FROM cells GROUP BY site",
     "breakpoint_density_all": ORACLES["breakpoint_density"].replace(" WHERE line < 10", ""),

@@ -1,6 +1,7 @@
 """Queries over whole tables: no line and no row is left out."""
 
-from seedwork.plans import bindings, registry
+from seedwork.plans import bindings, cohort_queries, registry
+from seedwork.session import table
 
 
 def test_rasters_and_densities_hold_all_lines(spark, sf):
@@ -9,3 +10,9 @@ def test_rasters_and_densities_hold_all_lines(spark, sf):
     assert {r.line for r in q["raster_long_all"](spark, sf).select("line").distinct().collect()} == lines
     assert {r.line for r in q["breakpoint_density_all"](spark, sf).select("line").collect()} == lines | {None}
     assert q["raster_matrix_all"](spark, sf).columns == ["site", *[f"line_{i}" for i in range(40)]]
+
+
+def test_ranges_hold_every_row(spark, sf):
+    assert cohort_queries._ranges_all(spark, sf).count() == table(spark, sf, "lineitem").count()
+    days = {(r.chrom, d) for r in cohort_queries._ranges_all(spark, sf).collect() for d in range(r.start, r.end)}
+    assert {(r.chrom, d) for r in registry.queries()["interval_merge_all"](spark, sf).collect() for d in range(r.start, r.end)} == days
