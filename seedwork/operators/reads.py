@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Cycle bins (first, last cycle).
-BINS = ((1, 5), (6, 10), (11, 20), (21, 40), (41, 60), (61, 80), (81, 100), (101, 1000))
+#: Cycle bins (first, last cycle); None leaves the last open.
+BINS = ((1, 2), (3, 4), (5, 8), (9, 12), (13, 20), (21, 40), (41, 80), (81, None))
 
 
 def cigar_ops(cigar: Column) -> Column:
@@ -47,12 +47,12 @@ def aligned_bases(reads: DataFrame, least_quality: int = 20) -> DataFrame:
     return good.select(*rest, mate.alias("mate"), cycle.alias("cycle"), (F.col("__b.r") + F.col("__k")).alias("pos"), base.alias("base"))
 
 
-def cycle_counts(reads: DataFrame, sites: DataFrame, samples: DataFrame, least_quality: int = 20, bins: Sequence[tuple[int, int]] = BINS) -> DataFrame:
+def cycle_counts(reads: DataFrame, sites: DataFrame, samples: DataFrame, least_quality: int = 20, bins: Sequence[tuple[int, int | None]] = BINS) -> DataFrame:
     """Reads of REF, ALT and other bases at sites by sample, mate and cycle bin; every bin of every sample has a row. ``sites``: pos, ref, alt."""
     hit = aligned_bases(reads, least_quality).join(F.broadcast(sites.select("pos", "ref", "alt")) if _small(sites) else sites.select("pos", "ref", "alt"), "pos")
     which = F.lit(None).cast("int")
     for i, (a, b) in reversed(list(enumerate(bins))):
-        which = F.when(F.col("cycle").between(a, b), i).otherwise(which)
+        which = F.when(F.col("cycle") >= a if b is None else F.col("cycle").between(a, b), i).otherwise(which)
     got = hit.withColumn("bin", which).where(F.col("bin").isNotNull()).groupBy("sample", "mate", "bin").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("base") == F.col("ref")).alias("n_ref"), F.count_if((F.col("base") == F.col("alt")) & (F.col("base") != F.col("ref"))).alias("n_alt"))
     grid = samples.select("sample").distinct().select("sample", F.explode(F.array(F.lit(1), F.lit(2))).alias("mate")).select("sample", "mate", F.explode(F.array(*[F.lit(i) for i in range(len(bins))])).alias("bin"))
     out = grid.join(got, ["sample", "mate", "bin"], "left").fillna(0, ["n", "n_ref", "n_alt"])

@@ -253,17 +253,26 @@ def duplicate_policy(spark: SparkSession, sf: str) -> DataFrame:
     return last.withColumn("policy", F.lit("last")).unionByName(first.withColumn("policy", F.lit("first")))
 
 
-_READS = [("s1", 0, 100, "5M", "ACGTA", "IIIII"), ("s1", 16, 100, "2S3M", "TTCGT", "IIIII"), ("s1", 128, 99, "2M1D3M", "AACGG", "II!II"), ("s2", 0, 101, "1H4M2I2M", "ACTTGGAC", "IIIIIIII"), ("s2", 144, 98, "3M2N3M", "ACGTAC", "IIIIII"), ("s2", 0, 100, "*", "*", "*")]
-_SITES = [(100, "A", "C"), (101, "C", "A"), (102, "G", "T"), (103, "T", "G")]
-
-
-def _alignments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(_READS, "sample string, flag int, pos long, cigar string, seq string, qual string")
+def _alignments(spark: SparkSession, sf: str) -> DataFrame:
+    """One read per row of lineitem: up to 32 bases from a hash, both strands and mates, with insertions, gaps, and hard clips beyond cycle 1000."""
+    n = F.least(F.col("l_quantity").cast("int"), F.lit(32))
+    kind, half = F.col("l_linenumber"), (n / 2).cast("int")
+    at = lambda op: F.concat(half.cast("string"), F.lit(f"M2{op}"), (n - half - (2 if op in "IS" else 0)).cast("string"), F.lit("M"))
+    whole = F.concat(n.cast("string"), F.lit("M"))
+    cigar = F.when((kind == 2) & (n > 8), at("D")).when((kind == 3) & (n > 8), at("I")).when((kind == 4) & (n > 8), at("N")).when(kind == 7, F.concat(F.lit("1200H"), whole)).otherwise(whole)
+    base = F.translate(F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber")), "0123456789abcdef", "ACGTACGTACGTACGT")
+    flag = F.when(F.col("l_orderkey") % 2 == 0, 16).otherwise(0) + F.when(F.col("l_partkey") % 2 == 0, 128).otherwise(0)
+    qual = F.when(F.col("l_suppkey") % 5 == 0, "*").otherwise(F.substring(F.repeat(F.lit("III!IIII"), 4), F.lit(1), n))
+    day = F.date_diff("l_shipdate", F.lit(_DAY0).cast("date")).cast("long")
+    return table(spark, sf, "lineitem").select((F.col("l_suppkey") % 10).alias("sample"), flag.alias("flag"), day.alias("pos"), cigar.alias("cigar"), F.substring(base, F.lit(1), n).alias("seq"), qual.alias("qual"))
 
 
 def cycle_counts(spark: SparkSession, sf: str) -> DataFrame:
-    a = _alignments(spark)
-    return reads.cycle_counts(a, spark.createDataFrame(_SITES, "pos long, ref string, alt string"), a.select("sample"), bins=((1, 2), (3, 4), (5, 10)))
+    """Bases of the reads of lineitem at sites of part, by sample, mate and cycle bin."""
+    a = _alignments(spark, sf)
+    sites = table(spark, sf, "part").select((F.col("p_partkey") % 2411).alias("pos")).distinct()
+    base = lambda k: F.element_at(F.array(*map(F.lit, "ACGT")), (k % 4 + 1).cast("int"))
+    return reads.cycle_counts(a, sites.select("pos", base(F.col("pos")).alias("ref"), base(F.col("pos") + 1).alias("alt")), a.select("sample"))
 
 
 def mask_qualities(spark: SparkSession, sf: str) -> DataFrame:
