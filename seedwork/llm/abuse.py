@@ -46,6 +46,8 @@ from seedwork.session import durable
 SAMPLE, DIMENSIONS, THRESHOLD, WINDOW, STEP = 20_000, 1 << 18, 0.5, 48, 24
 #: Sentences with fewer features are scaled as if they had so many, so that one odd word decides nothing.
 SHORT = 8
+#: Letters set apart that are searched for words at once; longer runs go in windows that overlap by the longest word.
+RUN = 400
 #: Steps of the label model, and the strength of its prior in sentences.
 ROUNDS, PRIOR = 12, 20.0
 _PER_TASK = 400  # unvoted sentences offered for training by one batch of rows
@@ -142,8 +144,11 @@ class Matcher:
     def joined(self, run: str) -> list[str]:
         """Known words within letters that stood apart: the whole, or what it holds."""
         whole = letters(run)
-        if run in self.exact or whole in self.index or len(run) > 400:
+        if run in self.exact or whole in self.index:
             return [*forms_of(run, self.exact)]
+        if len(run) > RUN:
+            step = RUN - max(map(len, self.words))
+            return [f for a in range(0, len(run), step) for f in self.joined(run[a : a + RUN])[1:]] or [whole]
         short = _RUN.sub(r"\1", run)
         held = [f for w, once in self.long_words if once in short for f in forms_of(w, self.exact)]
         return [whole, *held]
