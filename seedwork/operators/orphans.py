@@ -12,7 +12,7 @@ each parent key are merged into disjoint ones first, so that many rows of one pa
 references to it.
 
 Defined results
-    * null, empty or ``NA`` references refer to nothing and are left out; blanks around keys do not count, case does
+    * null references and those in ``nothing`` (empty and ``NA`` by default) refer to nothing and are left out; blanks around keys do not count, case does
     * ``missing``: no parent row of that key; ``late``: all its rows begin after t; ``deleted``: every other reference that is not sound
     * a parent row whose begin is null is valid at no time, and makes the key known (so not ``late``)
     * a null t: never sound; ``late`` needs a known t, so it is ``deleted`` where the key is known
@@ -65,14 +65,14 @@ def spans(parents: DataFrame, key: str, begin: str, end: str) -> DataFrame:
     rows = parents.select(F.col(key).alias("__key"), F.col(begin).cast("timestamp_ntz").alias("__b"), F.coalesce(F.col(end).cast("timestamp_ntz"), far).alias("__e")).distinct()
     order = Window.partitionBy("__key").orderBy("__b", "__e")
     before = F.max("__e").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    real = rows.where(F.col("__b").isNull() | (F.col("__e") > F.col("__b")))
-    heads = real.withColumn("__new", F.when(F.col("__b").isNull(), 0).when(before.isNull() | (F.col("__b") > before), 1).otherwise(0)).withColumn("__run", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = heads.where(F.col("__b").isNotNull()).groupBy("__key", "__run").agg(F.min("__b").alias("b"), F.max("__e").alias("e")).groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("b", "e"))).alias("__spans"))
+    real = rows.where(F.col("__e") > F.col("__b"))  # without a begin there is no span
+    heads = real.withColumn("__new", F.when(before.isNull() | (F.col("__b") > before), 1).otherwise(0)).withColumn("__run", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = heads.groupBy("__key", "__run").agg(F.min("__b").alias("b"), F.max("__e").alias("e")).groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("b", "e"))).alias("__spans"))
     known = rows.groupBy("__key").agg(F.min("__b").alias("__first"), F.bool_or(F.col("__b").isNull()).alias("__no_begin"))
     return known.join(merged, "__key", "left")
 
 
-def find_orphans(refs: DataFrame, parents: DataFrame, *, ref: str, at: str, key: str, begin: str, end: str, rate: float = 0.01, max_bits: int = 1 << 26, broadcast_keys: int = 200_000) -> DataFrame:
+def find_orphans(refs: DataFrame, parents: DataFrame, *, ref: str, at: str, key: str, begin: str, end: str, rate: float = 0.01, max_bits: int = 1 << 26, broadcast_keys: int = 200_000, nothing: tuple[str, ...] = ("", "NA")) -> DataFrame:
     """The rows of ``refs`` whose reference is not sound, with the column ``kind`` added.
 
     ``ref`` and ``key`` are trimmed of blanks here. The exact join broadcasts the parents' spans only if there are at most
@@ -83,7 +83,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, *, ref: str, at: str, key:
     bits, hashes = bloom_size(n, rate, max_bits)
     words = bloom_words(parents.select("__pk").distinct(), "__pk", bits, hashes).scalar()
 
-    live = refs.withColumn("__ref", F.trim(F.col(ref))).where(F.col("__ref").isNotNull() & ~F.col("__ref").isin("", "NA"))
+    live = refs.withColumn("__ref", F.trim(F.col(ref))).where(F.col("__ref").isNotNull() & ~F.col("__ref").isin(*nothing))
     tested = live.withColumn("__maybe", may_contain(words, F.col("__ref"), bits, hashes))
     proven = tested.where(~F.col("__maybe")).withColumn("kind", F.lit("missing"))
 

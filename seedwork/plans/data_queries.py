@@ -47,7 +47,7 @@ def _orphans(spark: SparkSession, sf: str) -> DataFrame:
     named = refs.withColumn("ref", F.when(~F.col("donor").isin("", "NA"), F.substring_index("donor", "_", 1)))
     # A donor that begins with an underscore names the empty accession, which is a reference to nothing that exists.
     named = named.withColumn("ref", F.when((F.col("ref") == "") & (F.col("donor") != ""), F.lit("_")).otherwise(F.col("ref")))
-    return find_orphans(named, table(spark, sf, "accessions"), ref="ref", at="recorded_at", key="accession", begin="registered_at", end="deleted_at")
+    return find_orphans(named, table(spark, sf, "accessions"), ref="ref", at="recorded_at", key="accession", begin="registered_at", end="deleted_at", nothing=())
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
