@@ -1,10 +1,11 @@
 """Abusive, hateful or sexual content: a score for every document and the rate per source.
 
 Method: weak supervision. Many patterns over words, gathered into voters, vote on every sentence of every document or abstain. A
-generative label model (two classes, one vote rate per voter and class) estimates from the vote patterns of the whole corpus
-how far each voter can be trusted, and from what remains between pairs of voters how far they repeat each other; repeated evidence
-is discounted. A linear classifier over hashed words, word pairs and votes is trained on the posterior labels and scores every sentence; a
-document's score is its highest.
+generative label model (a log-linear model of the votes in each of two classes, with a term for every voter and for every pair of voters
+of one sign) is fitted to the vote patterns of the whole corpus; so it estimates how far each voter can be trusted and how far voters
+repeat each other. Where the corpus has labels, raters are further voters, on whole documents, with accuracies of their own. A linear
+classifier over hashed words, word pairs and fulfilled patterns is trained on the posterior labels of a bounded sample and scores every
+sentence; a document's score is its highest.
 
 Spelling: zero-width characters go, look-alike letters of other scripts, digits and signs in words and accents become plain
 letters, letters set apart by blanks, dots or hyphens are joined, drawn-out letters shortened; ``*`` stands for any letter. Words are
@@ -12,15 +13,18 @@ compared by their letters regardless of order, so swapped letters change nothing
 ordinary ones ("shit", "this"), which are compared as written.
 
 Plan
-    * One pass over the texts counts votes and keeps the sentences with votes (a few per cent), written once. The label model
-      runs on distinct vote patterns; each step sends back a few sums per voter. No table of texts goes to the driver.
-    * The classifier is trained on at most ``SAMPLE`` sentences with votes and as many without, taken by hash order from all.
+    * A first pass over all texts counts vote patterns map side (there are at most 2 ** voters, so the counts, and the label model on the
+      driver, are bounded whatever the corpus) and marks the documents with votes. It is written once.
+    * The training sample is drawn by thresholds on a hash of the document's key, set from counted rows: about ``SAMPLE`` labelled
+      documents, (those that a rater flagged and the others apart), documents with votes and documents of any kind each. No other text leaves its task.
     * A second pass scores all sentences of all documents, whole texts, with the weights (1 MB) handed to every task.
+    * Words are normalised once and kept in a bounded table; features of a batch are numpy arrays.
 
 Defined results
     * null, empty and blank texts have score 0; every row of the input gets one row, repeated ids included
     * texts without sentence ends are read in overlapping windows of words
     * an empty table gives no rows; a corpus without any vote gives scores near 0
+    * labels: null labels and labels of unknown documents say nothing, of repeated ones of a rater the last holds (of one time, the higher)
     * extra columns are not read
 """
 
@@ -30,8 +34,9 @@ import math
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,31 +47,37 @@ from seedwork.llm.abuse_patterns import LISTS, PATTERNS, VOTERS
 from seedwork.llm.spread import spread
 from seedwork.session import durable
 
-#: Sentences of each kind in the training sample, hashed dimensions, score from which a document counts, words in a window and its step.
-SAMPLE, DIMENSIONS, THRESHOLD, WINDOW, STEP = 20_000, 1 << 18, 0.5, 48, 24
+#: Documents of each kind in the training sample, sentences of one document in it, hashed dimensions, score from which a document counts, words in a window and its step.
+SAMPLE, PER_DOC, DIMENSIONS, THRESHOLD, WINDOW, STEP = 6_000, 200, 1 << 18, 0.5, 48, 24
 #: Sentences with fewer features are scaled as if they had so many, so that one odd word decides nothing.
 SHORT = 8
 #: Letters set apart that are searched for words at once; longer runs go in windows that overlap by the longest word.
 RUN = 400
+#: With ratings: weight of a sentence of an unrated document in training (that of a rated one is 1), weight that abuse has besides, and passes over the ratings.
+UNRATED, ABUSIVE, PASSES = 0.005, 2.0, 8
 #: Steps of the label model, and the strength of its prior in sentences.
 ROUNDS, PRIOR = 12, 20.0
-_PER_TASK = 400  # unvoted sentences offered for training by one batch of rows
+_KNOWN = 200_000  # words kept normalised in a worker
+_QUIET = 1 << (len(VOTERS) - 1)  # the vote for sentences without any word of interest
 
-_HIDDEN = {c: None for c in [0xAD, 0x34F, 0x61C, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), 0xFEFF, *range(0, 9), *range(14, 32), 127]}
 #: Letters of other scripts that look like Latin ones. Fixed values.
 _ALIKE = str.maketrans("авесіјкмнорѕтухѵԁɡһԛԝӏαβεικνορτυχγ", "abecijkmhopstyxvdghqwlabeiknoptuxy")
 #: Digits and signs that stand for letters inside words. Fixed values.
 _LEET = str.maketrans("@431!05$7", "aaeiioSst".lower())
-_MARKS = re.compile(r"[̀-ͯ]+")
-_SENTENCE = re.compile(r"(?<=[.!?…])\s+|[\r\n  ]+")
-_RUN, _LONG = re.compile(r"(.)\1+"), re.compile(r"(.)\1{2,}")
+_HIDDEN = re.compile("[\x00-\x08\x0e-\x1f\x7f­͏؜​-‏‪-‮⁠-⁯﻿]")
+_MARKS = re.compile("[̀-ͯ]+")
+_SENTENCE = re.compile(r"(?<=[.!?…。！？])\s+|[\r\n\x0b\x0c\x85  ]+")
+_REPEAT, _LONG = re.compile(r"(.)\1+"), re.compile(r"(.)\1{2,}")
 _EDGE = ".,;:!?()[]{}<>\"'“”‘’«»¿¡…"
+_SPELT = re.compile(rf"(?<!\S)(?:[{re.escape(_EDGE)}]*\S[{re.escape(_EDGE)}]*(?:\s+|\Z)){{3}}")
 
 
-def plain(text: str) -> str:
-    """Text with hidden characters, look-alikes, case and accents undone."""
-    text = unicodedata.normalize("NFKC", text.translate(_HIDDEN)).casefold().translate(_ALIKE)
-    return text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", text))
+def plain(word: str) -> str:
+    """A word with look-alikes, case and accents undone."""
+    if word.isascii():
+        return word.lower()
+    word = unicodedata.normalize("NFKC", word).casefold().translate(_ALIKE)
+    return word if word.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", word))
 
 
 def letters(word: str) -> str:
@@ -113,22 +124,30 @@ class Matcher:
                         self.exact.add(plain_word)
         for w in self.words:
             self.by_length.setdefault(len(w), []).append(w)
-        self.long_words = [(w, _RUN.sub(r"\1", w)) for w in sorted(self.words) if len(w) >= 4]
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.long_words = [(w, _REPEAT.sub(r"\1", w)) for w in sorted(self.words) if len(w) >= 4]
+        #: token -> (its forms, their hashes, the (pattern, bit) pairs they stand for)
+        self.known: dict[str, tuple[tuple[str, ...], tuple[int, ...], tuple[tuple[int, int], ...]]] = {}
 
     def word(self, raw: str) -> tuple[str, ...]:
         """The letter forms of one token; several if it hides several words."""
+        return self.token(raw)[0]
+
+    def token(self, raw: str) -> tuple[tuple[str, ...], tuple[int, ...], tuple[tuple[int, int], ...]]:
         got = self.known.get(raw)
         if got is None:
-            got = self._word(raw)
-            if len(self.known) > 200_000:
-                self.known.clear()
+            got = self._entry(self._word(raw))
             if len(raw) <= 40:
+                if len(self.known) >= _KNOWN:
+                    self.known.clear()
                 self.known[raw] = got
         return got
 
+    def _entry(self, forms: Sequence[str]) -> tuple[tuple[str, ...], tuple[int, ...], tuple[tuple[int, int], ...]]:
+        get = self.index.get
+        return tuple(forms), tuple(zlib.crc32(f.encode()) for f in forms), tuple(x for f in forms for x in get(f, ()))
+
     def _word(self, raw: str) -> tuple[str, ...]:
-        w = raw.strip(_EDGE)
+        w = plain(raw).strip(_EDGE)
         if "*" in w:
             w = "".join(c for c in w if c.isalpha() or c == "*")
             if not any(c.isalpha() for c in w):
@@ -149,74 +168,69 @@ class Matcher:
         if len(run) > RUN:
             step = RUN - max(map(len, self.words))
             return [f for a in range(0, len(run), step) for f in self.joined(run[a : a + RUN])[1:]] or [whole]
-        short = _RUN.sub(r"\1", run)
+        short = _REPEAT.sub(r"\1", run)
         held = [f for w, once in self.long_words if once in short for f in forms_of(w, self.exact)]
         return [whole, *held]
 
-    def sentences(self, text: str) -> Iterator[list[str]]:
-        """The letter forms of each sentence, long ones in windows."""
-        for part in _SENTENCE.split(plain(text)):
-            raw = part.split()
-            if not raw:
-                continue
-            forms: list[str] = []
-            i = 0
-            while i < len(raw):
-                if len(raw[i].strip(_EDGE)) == 1:
-                    j = i
-                    while j < len(raw) and len(raw[j].strip(_EDGE)) == 1:
-                        j += 1
-                    if j - i >= 3:
-                        run = "".join(x.strip(_EDGE) for x in raw[i:j]).translate(_LEET)
-                        forms += self.joined("".join(c for c in run if c.isalpha()))
-                        i = j
-                        continue
-                forms += self.word(raw[i])
+    def _tokens(self, part: str) -> list:
+        """The entries of one sentence's words."""
+        raw = part.split()
+        if not _SPELT.search(part):
+            known, token = self.known, self.token
+            return [known.get(x) or token(x) for x in raw]
+        out, i = [], 0
+        while i < len(raw):
+            j = i
+            while j < len(raw) and len(raw[j].strip(_EDGE)) == 1:
+                j += 1
+            if j - i >= 3:
+                run = "".join(plain(x).strip(_EDGE) for x in raw[i:j]).translate(_LEET)
+                out += [self._entry([f]) for f in self.joined("".join(c for c in run if c.isalpha()))]
+                i = j
+            else:
+                out.append(self.token(raw[i]))
                 i += 1
-            if len(forms) <= WINDOW + STEP:
-                if forms:
-                    yield forms
+        return out
+
+    def parts(self, text: str) -> Iterator[list]:
+        """The word entries of each sentence, long ones in windows."""
+        text = _HIDDEN.sub("", text.lower())
+        for part in _SENTENCE.split(text):
+            words = [e for e in self._tokens(part) if e[0]]
+            if len(words) <= WINDOW + STEP:
+                if words:
+                    yield words
             else:
-                for a in range(0, len(forms) - STEP, STEP):
-                    yield forms[a : a + WINDOW]
+                for a in range(0, len(words) - STEP, STEP):
+                    yield words[a : a + WINDOW]
 
-    def hits(self, forms: list[str]) -> list[int]:
-        """The patterns that a sentence fulfils."""
+    def sentences(self, text: str) -> Iterator[list[str]]:
+        """The letter forms of each sentence."""
+        for words in self.parts(text):
+            yield [f for e in words for f in e[0]]
+
+    def fulfilled(self, words: list) -> tuple[list[int], int]:
+        """The patterns that a sentence fulfils, and its votes as a mask."""
         seen: dict[int, int] = {}
-        get = self.index.get
-        for f in forms:
-            for number, bit in get(f, ()):
-                seen[number] = seen.get(number, 0) | bit
-        out = []
+        told = 0
+        for _, _, pairs in words:
+            if pairs:
+                told += 1
+                for number, bit in pairs:
+                    seen[number] = seen.get(number, 0) | bit
+        if not told:
+            return [], _QUIET
+        out, mask = [], 0
         for number, bits in seen.items():
-            _, least, words, must, absent = self.patterns[number]
-            if (bits & words).bit_count() >= least and bits & must == must and not bits & absent:
+            voter, least, some, must, absent = self.patterns[number]
+            if (bits & some).bit_count() >= least and bits & must == must and not bits & absent:
                 out.append(number)
-        return out
+                mask |= 1 << voter
+        return out, mask if mask or told >= 3 else _QUIET
 
-    def votes(self, hits: list[int], forms: list[str]) -> int:
-        mask = 0
-        for h in hits:
-            mask |= 1 << self.patterns[h][0]
-        return mask | (1 << (len(VOTERS) - 1) if not mask and not self.any_word(forms) else 0)
-
-    def any_word(self, forms: list[str]) -> bool:
-        """Whether the sentence has at least three words that some pattern of abuse looks for."""
-        n = 0
-        for f in forms:
-            if f in self.index:
-                n += 1
-                if n >= 3:
-                    return True
-        return False
-
-
-def features(forms: list[str], hits: list[int]) -> list[int]:
-    """Hashed words, word pairs and fulfilled patterns."""
-    crc = zlib.crc32
-    a = [crc(f.encode()) for f in forms]
-    pairs = [(x * 31 + y * 17 + 7) & 0xFFFFFFFF for x, y in zip(a, a[1:])]
-    return [x % DIMENSIONS for x in a] + [x % DIMENSIONS for x in pairs] + [(h * 7919 + 13) % DIMENSIONS for h in hits]
+    def hits(self, forms: list[str]) -> list[int]:
+        """The patterns that a sentence of these forms fulfils."""
+        return self.fulfilled([self._entry([f]) for f in forms])[0]
 
 
 @lru_cache(maxsize=1)
@@ -224,191 +238,334 @@ def matcher() -> Matcher:
     return Matcher()
 
 
-def _narrow(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
-    return spread(df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), F.col(source).alias("s")))
+class Features:
+    """Hashed features of many sentences: words, pairs of neighbouring words and fulfilled patterns, as flat arrays."""
+
+    def __init__(self) -> None:
+        self.words: list[int] = []
+        self.n_words: list[int] = []
+        self.hits: list[int] = []
+        self.n_hits: list[int] = []
 
+    def add(self, words: list, hits: list[int]) -> None:
+        before = len(self.words)
+        self.words.extend(chain.from_iterable([e[1] for e in words]))
+        self.n_words.append(len(self.words) - before)
+        self.hits += hits
+        self.n_hits.append(len(hits))
 
-def vote(df: DataFrame, text: str = "text") -> DataFrame:
-    """(mask, n, h, feats): sentences with votes one by one, the others counted; some of the others come with features for training."""
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """(feature, sentence) of every feature."""
+        a = np.array(self.words, np.int64)
+        s = np.repeat(np.arange(len(self.n_words)), self.n_words)
+        pair = (a[:-1] * 31 + a[1:] * 17 + 7)[s[:-1] == s[1:]] & 0xFFFFFFFF
+        h = np.array(self.hits, np.int64) * 7919 + 13
+        return np.concatenate([a, pair, h]) % DIMENSIONS, np.concatenate([s, s[:-1][s[:-1] == s[1:]], np.repeat(np.arange(len(self.n_hits)), self.n_hits)])
+
+
+def _narrow(df: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
+    return spread(df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), *more))
+
+
+def vote(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(k, mask, n): sentences by vote pattern and batch (k null), and the documents with a vote for abuse (n null, mask the votes of all their sentences)."""
+    narrow = _narrow(df, key, text)
+    kind = narrow.schema["k"].dataType
+    positive = sum(1 << j for j, (_, s) in enumerate(VOTERS) if s > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = matcher()
-        idle = 1 << (len(VOTERS) - 1)
+        total: dict[int, int] = {}
         for batch in batches:
-            masks: list[int] = []
-            ns: list[int] = []
-            hs: list[int] = []
-            fs: list[list[int] | None] = []
-            rest: list[tuple[int, int, list[int]]] = []
-            quiet = {0: 0, idle: 0}
-            for t in batch.column(0).to_pylist():
+            rows, marks = [], []
+            for r, t in enumerate(batch.column(1).to_pylist()):
                 if not t:
                     continue
-                for forms in m.sentences(t):
-                    hits = m.hits(forms)
-                    mask = m.votes(hits, forms)
-                    if mask in quiet:
-                        quiet[mask] += 1
-                        h = zlib.crc32(" ".join(forms).encode(), 7)
-                        if len(rest) < _PER_TASK or h < rest[-1][0]:
-                            rest.append((h, mask, features(forms, hits)))
-                            if len(rest) >= 2 * _PER_TASK:
-                                rest = sorted(rest)[:_PER_TASK]
-                    else:
-                        masks.append(mask)
-                        ns.append(1)
-                        hs.append(zlib.crc32(" ".join(forms).encode(), 7))
-                        fs.append(features(forms, hits))
-            for h, mask, f in sorted(rest)[:_PER_TASK]:
-                masks.append(mask)
-                ns.append(0)
-                hs.append(h)
-                fs.append(f)
-            for mask, n in quiet.items():
-                masks.append(mask)
-                ns.append(n)
-                hs.append(-1)
-                fs.append(None)
-            yield pa.RecordBatch.from_arrays([pa.array(masks, pa.int64()), pa.array(ns, pa.int64()), pa.array(hs, pa.int64()), pa.array(fs, pa.list_(pa.int32()))], names=["mask", "n", "h", "feats"])
-
-    return spread(df.select(F.col(text).cast("string").alias("t"))).mapInArrow(run, "mask bigint, n bigint, h bigint, feats array<int>")
-
-
-def _bit(j: int) -> Column:
-    return F.call_function("shiftright", F.col("mask"), F.lit(j)).bitwiseAND(F.lit(1).cast("long")).cast("double")
+                held = 0
+                for words in m.parts(t):
+                    mask = m.fulfilled(words)[1]
+                    total[mask] = total.get(mask, 0) + 1
+                    held |= mask
+                if held & positive:
+                    rows.append(r)
+                    marks.append(held)
+            key_type = batch.column(0).type
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(marks, pa.int64()), pa.nulls(len(rows), pa.int64())], names=["k", "mask", "n"])
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(total), key_type), pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["k", "mask", "n"])
+
+    return narrow.mapInArrow(run, f"k {kind.simpleString()}, mask bigint, n bigint")
 
 
 class LabelModel:
-    """Vote rates of each voter in both classes, the share of abuse, and how far pairs of voters repeat each other."""
+    """Log-linear models of the vote patterns in both classes, with terms for voters and for pairs of voters of one sign, and the share of abuse.
+
+    All 2 ** voters patterns are enumerated, so likelihoods and expectations are exact.
+    """
 
     def __init__(self) -> None:
-        self.sign = np.array([s for _, s in VOTERS], float)
         v = len(VOTERS)
+        self.sign = np.array([s for _, s in VOTERS], float)
+        self.pairs = [(i, j) for i in range(v) for j in range(i + 1, v) if self.sign[i] == self.sign[j]]
+        masks = np.arange(1 << v)
+        votes = (masks[:, None] >> np.arange(v) & 1).astype(float)
+        self.phi = np.concatenate([votes, *[votes[:, [i]] * votes[:, [j]] for i, j in self.pairs]], axis=1)
+        rate = np.where(self.sign[None, :] > 0, [[0.01] * v, [0.4] * v], [[0.05] * v, [0.01] * v])
+        rate[0, -1], rate[1, -1] = 0.8, 0.02
         self.share = 0.02
-        self.rate = np.where(self.sign[None, :] > 0, [[0.01] * v, [0.4] * v], [[0.05] * v, [0.01] * v])
-        self.rate[0, -1], self.rate[1, -1] = 0.8, 0.02
-        self.start = self.rate.copy()
-        self.overlap = np.zeros((v, v))
-
-    def evidence(self) -> tuple[np.ndarray, np.ndarray, float]:
-        """Log-odds for a vote and for an abstention of each voter, and the bias."""
-        return np.log(self.rate[1] / self.rate[0]), np.log((1 - self.rate[1]) / (1 - self.rate[0])), math.log(self.share / (1 - self.share))
-
-    def odds(self) -> Column:
-        yes, no, bias = self.evidence()
-        z = F.lit(float(bias + no.sum()))
-        for j in range(len(VOTERS)):
-            z = z + _bit(j) * float(yes[j] - no[j])
-        return z
-
-    def posterior(self, mask: int) -> float:
-        """Probability of abuse given the votes. The strongest vote counts in full, each further one less what it shares with those before."""
-        yes, no, bias = self.evidence()
-        cast = sorted((j for j in range(len(VOTERS)) if mask >> j & 1), key=lambda j: -abs(yes[j]))
-        z = bias + sum(no[j] for j in range(len(VOTERS)) if not mask >> j & 1)
-        for i, j in enumerate(cast):
-            z += yes[j] * (1 - max([0.0, *(self.overlap[j, k] for k in cast[:i])]))
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
-
-    def fit(self, counts: DataFrame) -> LabelModel:
-        """``counts``: (mask, n). Each round sends back two sums per voter."""
+        self.theta = np.concatenate([np.log(rate / (1 - rate)), np.zeros((2, len(self.pairs)))], axis=1)
+        self.start = np.concatenate([rate, *[rate[:, [i]] * rate[:, [j]] for i, j in self.pairs]], axis=1)
+
+    def _log(self) -> np.ndarray:
+        """Log-probability of every pattern in both classes."""
+        z = self.phi @ self.theta.T
+        top = z.max(axis=0)
+        return (z - top - np.log(np.exp(z - top).sum(axis=0))).T
+
+    @property
+    def rate(self) -> np.ndarray:
+        """Vote rates of the voters in both classes."""
+        return np.exp(self._log()) @ self.phi[:, : len(VOTERS)]
+
+    def posteriors(self) -> np.ndarray:
+        """Probability of abuse for every pattern."""
+        log = self._log()
+        z = log[1] - log[0] + math.log(self.share / (1 - self.share))
+        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+
+    def fit(self, counts: dict[int, int]) -> LabelModel:
+        """Expectation maximisation over the patterns of the corpus; Newton steps fit voters and pairs together."""
+        n = np.zeros(len(self.phi))
+        for mask, k in counts.items():
+            n[mask] += k
+        if not n.any():
+            return self
         v = len(VOTERS)
         for _ in range(ROUNDS):
-            p = 1 / (1 + F.exp(-self.odds()))
-            w1, w0 = F.col("n") * p, F.col("n") * (1 - p)
-            got = counts.agg(F.sum(w1).alias("one"), F.sum(w0).alias("zero"), *[F.sum(w1 * _bit(j)).alias(f"a{j}") for j in range(v)], *[F.sum(w0 * _bit(j)).alias(f"b{j}") for j in range(v)]).first()
-            if got["one"] is None:
-                return self
-            one, zero = got["one"], got["zero"]
-            self.share = min(0.5, max(1e-5, (one + 0.02 * PRIOR) / (one + zero + PRIOR)))
-            new = np.array([[(got[f"{c}{j}"] + PRIOR * self.start[y, j]) / (t + PRIOR) for j in range(v)] for y, c, t in ((0, "b", zero), (1, "a", one))])
-            self.rate = np.clip(new, 1e-6, 1 - 1e-6)
+            p = self.posteriors()
+            self.share = min(0.5, max(1e-5, ((n * p).sum() + 0.02 * PRIOR) / (n.sum() + PRIOR)))
+            goal = np.stack([((n * q) @ self.phi + PRIOR * self.start[y]) / ((n * q).sum() + PRIOR) for y, q in ((0, 1 - p), (1, p))])
             # A vote never speaks against its own sign.
-            wrong = (self.rate[1] - self.rate[0]) * self.sign < 0
-            self.rate[:, wrong] = self.start[:, wrong]
-        return self.correlate(counts)
+            for j in np.flatnonzero((goal[1, :v] - goal[0, :v]) * self.sign < 0):
+                touched = [j, *[v + i for i, pair in enumerate(self.pairs) if j in pair]]
+                goal[:, touched] = self.start[:, touched]
+            for y in (0, 1):
+                self._moments(y, goal[y])
+        return self
 
-    def correlate(self, counts: DataFrame) -> LabelModel:
-        """Correlation of pairs of voters within the class of abuse, beyond what the class explains."""
+    def _moments(self, y: int, goal: np.ndarray, steps: int = 15, ridge: float = 1e-3) -> None:
+        """Parameters of class y whose expectations are ``goal``, by damped Newton steps on the convex dual; ``ridge`` draws pair terms towards none."""
         v = len(VOTERS)
-        p = 1 / (1 + F.exp(-self.odds()))
-        pairs = [(i, j) for i in range(v) for j in range(i + 1, v) if self.sign[i] == self.sign[j]]
-        w = F.col("n") * p
-        got = counts.agg(F.sum(w).alias("one"), *[F.sum(w * _bit(i) * _bit(j)).alias(f"p{i}_{j}") for i, j in pairs]).first()
-        if not got["one"]:
-            return self
-        for i, j in pairs:
-            a, b = self.rate[1, i], self.rate[1, j]
-            r = (got[f"p{i}_{j}"] / got["one"] - a * b) / math.sqrt(a * (1 - a) * b * (1 - b))
-            self.overlap[i, j] = self.overlap[j, i] = max(0.0, min(1.0, r))
-        return self
+        pull = np.concatenate([np.full(v, 1e-6), np.full(len(self.pairs), ridge)])
+        for _ in range(steps):
+            p = np.exp(self._log()[y])
+            mean = p @ self.phi
+            slope = goal - mean - pull * self.theta[y]
+            if np.abs(slope).max() < 1e-7:
+                return
+            curve = (self.phi * p[:, None]).T @ self.phi - np.outer(mean, mean) + np.diag(pull + 1e-9)
+            step = np.linalg.solve(curve, slope)
+            self.theta[y] = np.clip(self.theta[y] + step * min(1.0, 2.0 / max(1e-9, np.abs(step).max())), -20, 20)
+
+
+def rated(docs: np.ndarray, labels: Sequence[Sequence[tuple[str, int]]], weak: np.ndarray, rounds: int = 10) -> np.ndarray:
+    """Posterior of each labelled document from what its raters say and, as a prior, from the votes (``weak``); raters' accuracies are estimated."""
+    names = sorted({r for held in labels for r, _ in held})
+    at = {r: i for i, r in enumerate(names)}
+    right = np.full((2, len(names)), 0.9)
+    prior = np.clip(weak[docs], 0.02, 0.9)
+    q = prior
+    rows = np.array([i for i, held in enumerate(labels) for _ in held], np.int64)
+    who = np.array([at[r] for held in labels for r, _ in held], np.int64)
+    said = np.array([f for held in labels for _, f in held], np.int64)
+    for _ in range(rounds):
+        ones = np.where(said == 1, np.log(right[1, who] / (1 - right[0, who])), np.log((1 - right[1, who]) / right[0, who]))
+        z = np.log(prior / (1 - prior)) + np.bincount(rows, ones, len(labels))
+        q = 1 / (1 + np.exp(-z))
+        for y, w in ((0, 1 - q), (1, q)):
+            agree = np.bincount(who, w[rows] * (said == y), len(names))
+            right[y] = np.clip((agree + 9) / (np.bincount(who, w[rows], len(names)) + 10), 0.55, 0.99)
+    return q
+
+
+class Sample:
+    """Sentences of the training sample: flat features with their sentence, the sentence's votes and its document."""
+
+    def __init__(self, feature: np.ndarray, size: np.ndarray, mask: np.ndarray, doc: np.ndarray) -> None:
+        self.feature, self.size, self.mask, self.doc, self.n = feature.astype(np.int64), size.astype(np.int64), mask.astype(np.int64), doc, len(size)
+        self.sentence = np.repeat(np.arange(self.n), self.size)
+
+    @staticmethod
+    def unpack(rows: Sequence) -> Sample:
+        """From rows of :func:`_sampled`."""
+        load = lambda name: np.concatenate([np.zeros(0, np.int32), *[np.frombuffer(r[name], np.int32) for r in rows]])
+        return Sample(load("features"), load("sizes"), load("masks"), np.repeat(np.arange(len(rows)), [len(r["sizes"]) // 4 for r in rows]))
+
+
+def pack(text: str | None) -> tuple[bytes, bytes, bytes]:
+    """Sizes, features and votes of a text's sentences as bytes; of very many, the sentences with votes first and then those lowest by hash."""
+    m = matcher()
+    told = [(words, *m.fulfilled(words)) for words in m.parts(text or "")]
+    if len(told) > PER_DOC:
+        told = sorted(told, key=lambda x: (not x[1], zlib.crc32(repr([e[1] for e in x[0]]).encode())))[:PER_DOC]
+    f = Features()
+    for words, hits, _ in told:
+        f.add(words, hits)
+    feature, sentence = f.arrays()
+    order = np.argsort(sentence, kind="stable")
+    sizes = np.bincount(sentence, minlength=len(told)).astype(np.int32)
+    return sizes.tobytes(), feature[order].astype(np.int32).tobytes(), np.array([x[2] for x in told], np.int32).tobytes()
+
+
+def _sampled(df: DataFrame) -> DataFrame:
+    """(k, rated, weight, sizes, features, masks) of sample documents (k, t, rated, weight)."""
+    kind = df.schema["k"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [pack(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *[pa.array([p[i] for p in packed], pa.binary()) for i in range(3)]], names=["k", "rated", "weight", "sizes", "features", "masks"])
+
+    return df.mapInArrow(run, f"k {kind}, rated array<struct<rater:string,flagged:int>>, weight double, sizes binary, features binary, masks binary")
 
 
-def train(feats: list[list[int]], labels: np.ndarray, epochs: int = 12, rate: float = 0.5, penalty: float = 1e-6) -> np.ndarray:
+def train(feats: list[list[int]], labels: np.ndarray, epochs: int = 12) -> np.ndarray:
+    """:func:`train_sample` on lists of features, all of one weight."""
+    size = np.array([len(f) for f in feats], np.int64)
+    flat = np.array([x for f in feats for x in f], np.int64)
+    return train_sample(Sample(flat, size, np.zeros(len(feats), np.int64), np.arange(len(feats))), labels, np.ones(len(feats)), epochs=epochs)
+
+
+def train_sample(sample: Sample, labels: np.ndarray, weight: np.ndarray, start: np.ndarray | None = None, epochs: int = 10, rate: float = 0.5, penalty: float = 1e-6, batch: int = 512) -> np.ndarray:
     """Logistic regression on soft labels (AdaGrad); the last weight is the bias. A sentence's features share one unit of length."""
-    w = np.zeros(DIMENSIONS + 1)
-    if not feats:
+    w = np.zeros(DIMENSIONS + 1) if start is None else start.copy()
+    if not sample.n:
         w[-1] = -4.0
         return w
-    size = np.array([len(f) for f in feats])
-    flat = np.concatenate([np.array(f, np.int64) for f in feats]) if size.sum() else np.zeros(0, np.int64)
-    at = np.concatenate([[0], np.cumsum(size)])
-    scale = 1 / np.sqrt(np.maximum(size, SHORT))
-    grad2 = np.full(DIMENSIONS + 1, 1e-8)
-    order = np.argsort([zlib.crc32(str(i).encode()) for i in range(len(feats))])
+    used, flat = np.unique(sample.feature, return_inverse=True)
+    v, bias = w[used], w[-1]
+    scale = 1 / np.sqrt(np.maximum(sample.size, SHORT))
+    at = np.concatenate([[0], np.cumsum(sample.size)])
+    grad2, bias2 = np.full(len(used), 1e-8), 1e-8
+    order = np.argsort([zlib.crc32(str(i).encode()) for i in range(sample.n)])
+    batch = max(32, min(batch, sample.n // 40))  # small samples are walked in small steps
+    step = [order[a : a + batch] for a in range(0, len(order), batch)]
+    parts = []
+    for rows in step:
+        n = sample.size[rows]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        idx = flat[np.repeat(at[rows], n) + inside]
+        uniq, pos = np.unique(idx, return_inverse=True)
+        parts.append((rows, uniq, pos, np.repeat(np.arange(len(rows)), n), scale[rows], weight[rows] / max(1e-9, weight[rows].sum())))
     for _ in range(epochs):
-        for a in range(0, len(order), 256):
-            rows = order[a : a + 256]
-            n = size[rows]
-            idx = np.concatenate([flat[at[r] : at[r + 1]] for r in rows]) if n.sum() else np.zeros(0, np.int64)
-            which = np.repeat(np.arange(len(rows)), n)
-            z = w[-1] + np.bincount(which, w[idx], len(rows)) * scale[rows]
-            g = 1 / (1 + np.exp(-z)) - labels[rows]
-            uniq, pos = np.unique(idx, return_inverse=True)
-            d = np.bincount(pos, (g * scale[rows])[which], len(uniq)) / len(rows) + penalty * w[uniq]
+        for rows, uniq, pos, which, s, share in parts:
+            z = bias + np.bincount(which, v[uniq][pos], len(rows)) * s
+            g = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[rows]) * share
+            d = np.bincount(pos, (g * s)[which], len(uniq)) + penalty * v[uniq]
             grad2[uniq] += d * d
-            w[uniq] -= rate * d / np.sqrt(grad2[uniq])
-            b = g.mean()
-            grad2[-1] += b * b
-            w[-1] -= rate * b / math.sqrt(grad2[-1])
+            v[uniq] -= rate * d / np.sqrt(grad2[uniq])
+            b = g.sum()
+            bias2 += b * b
+            bias -= rate * b / math.sqrt(bias2)
+    w[used], w[-1] = v, bias
     return w
 
 
-def fit(df: DataFrame, text: str = "text") -> tuple[np.ndarray, LabelModel]:
-    """The classifier's weights and the label model, from the corpus itself."""
-    votes = durable(vote(df, text))
-    counts = durable(votes.groupBy("mask").agg(F.sum("n").alias("n")))
-    model = LabelModel().fit(counts)
-    named = votes.where(F.col("feats").isNotNull())
-    loud = named.where(F.col("n") > 0).orderBy("h", "mask").limit(SAMPLE).select("mask", "feats").collect()
-    quiet = named.where(F.col("n") == 0).orderBy("h", "mask").limit(SAMPLE).select("mask", "feats").collect()
-    known: dict[int, float] = {}
-    rows = [*loud, *quiet]
-    labels = np.array([known.setdefault(r["mask"], model.posterior(r["mask"])) for r in rows])
-    return train([r["feats"] for r in rows], labels), model
+def sentence_odds(sample: Sample, w: np.ndarray) -> np.ndarray:
+    return w[-1] + np.bincount(sample.sentence, w[sample.feature], sample.n) / np.sqrt(np.maximum(sample.size, SHORT))
 
 
-def score(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def learn(rows: Sequence, model: LabelModel, passes: int = PASSES) -> np.ndarray:
+    """The classifier's weights from the sample.
+
+    Labels of sentences are the label model's posteriors at first. Where documents are rated, each pass weighs what their raters say
+    against the guess so far and spreads the result over their sentences (none of a sound document is abuse; in an abusive one the likeliest
+    ones are); sentences of other documents are labelled half by their votes and half by the classifier, which by then knows what raters think of such sentences.
+    """
+    sample = Sample.unpack(rows)
+    weak = np.clip(model.posteriors()[sample.mask], 1e-4, 1 - 1e-4)
+    rated_docs = np.array([i for i, r in enumerate(rows) if r["rated"]], np.int64)
+    w = train_sample(sample, weak, np.ones(sample.n))
+    if not len(rated_docs):
+        return w
+    said = [[(x["rater"], x["flagged"]) for x in rows[i]["rated"]] for i in rated_docs]
+    told = np.zeros(len(rows), bool)
+    told[rated_docs] = True
+    told, weight = told[sample.doc], np.array([r["weight"] for r in rows], float)[sample.doc]
+    guess, other = weak, weak
+    for _ in range(passes):
+        none = np.ones(len(rows))
+        np.multiply.at(none, sample.doc, 1 - guess)
+        q = np.zeros(len(rows))
+        q[rated_docs] = rated(rated_docs, said, 1 - none)
+        labels = np.where(told, np.minimum(1.0, guess * q[sample.doc] / np.maximum(1e-9, 1 - none[sample.doc])), other)
+        w = train_sample(sample, labels, np.where(told, weight, UNRATED) * (1 + ABUSIVE * labels), w)
+        odds = np.clip(sentence_odds(sample, w), -9, 9)
+        guess = 1 / (1 + np.exp(-odds))
+        other = 1 / (1 + np.exp(-(odds + np.log(weak / (1 - weak))) / 2))
+    return w
+
+
+def _under(share: float, *key: str) -> Column:
+    """Whether a row's hash is among the lowest ``share`` of all."""
+    return F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))
+
+
+def fit(df: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> tuple[np.ndarray, LabelModel]:
+    """The classifier's weights and the label model, from the corpus itself and the labels it has (key, rater, flagged, labelled_at)."""
+    votes = durable(vote(df, key, text))
+    counts = {r["mask"]: r["n"] for r in votes.where(F.col("n").isNotNull()).groupBy("mask").agg(F.sum("n").alias("n")).collect()}  # at most 2 ** voters
+    model = LabelModel().fit(counts)
+    loud = votes.where(F.col("n").isNull()).select("k").distinct()
+    held = None
+    if labels is not None:
+        per = labels.where(F.col("flagged").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k"), F.coalesce(F.col("rater").cast("string"), F.lit("")).alias("rater"))
+        last = per.agg(F.max_by(F.col("flagged").cast("int"), F.struct(F.col("labelled_at"), F.col("flagged"))).alias("flagged"))
+        held = last.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("rater", "flagged"))).alias("rated"))
+    n_docs, n_loud = df.count(), loud.count()
+    share = lambda n: min(1.0, SAMPLE / max(1, n))
+    none = F.lit(None).cast("array<struct<rater:string,flagged:int>>").alias("rated")
+    picked = loud.where(_under(share(n_loud), "k")).select("k", none, F.lit(1.0).alias("weight"))
+    if held is not None:
+        # Documents that some rater flagged and the others are sampled apart, and weighed back to their proportion.
+        held = held.withColumn("some", F.exists("rated", lambda x: x["flagged"] == 1))
+        n = {r["some"]: r["count"] for r in held.groupBy("some").count().collect()}
+        yes, no = share(n.get(True, 0)), share(n.get(False, 0))
+        picked = picked.unionByName(held.where(F.when(F.col("some"), _under(yes, "k")).otherwise(_under(no, "k"))).select("k", "rated", F.when(F.col("some"), 1.0).otherwise(yes / no).alias("weight")))
+    picked = picked.groupBy("k").agg(F.max("rated").alias("rated"), F.max("weight").alias("weight"), F.lit(True).alias("__picked"))
+    rows = df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
+    # The picked keys are about three times SAMPLE at most, so they are broadcast; documents of any kind come by the same hash.
+    chosen = rows.join(F.broadcast(picked), "k", "left").where(F.col("__picked") | _under(share(n_docs), "k")).where(F.length("t") > 0)
+    parts = 2 * df.sparkSession.sparkContext.defaultParallelism
+    sample = _sampled(chosen.select("k", "t", "rated", F.coalesce("weight", F.lit(1.0)).alias("weight")).repartition(parts, "k")).collect()
+    return learn(sorted(sample, key=lambda r: str(r["k"])), model), model
+
+
+def score(df: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(key, source, score) of every document."""
-    weights, _ = fit(df, text)
+    weights, _ = fit(df, labels, key, text)
     shared = df.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # DIMENSIONS + 1 numbers, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, w = matcher(), shared.value.astype(np.float64)
         for batch in batches:
-            best = np.zeros(len(batch))
+            best = np.full(len(batch), -60.0)
+            f, doc = Features(), []
             for r, t in enumerate(batch.column(1).to_pylist()):
                 if not t:
                     continue
-                top = -60.0
-                for forms in m.sentences(t):
-                    f = features(forms, m.hits(forms))
-                    z = w[f].sum() / math.sqrt(max(len(f), SHORT)) + w[-1]
-                    top = max(top, z)
-                best[r] = 1 / (1 + math.exp(-min(60.0, top)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(best)], names=["k", "s", "score"])
-
-    narrow = _narrow(df, key, text, source)
+                for words in m.parts(t):
+                    f.add(words, m.fulfilled(words)[0])
+                    doc.append(r)
+            if doc:
+                feature, sentence = f.arrays()
+                size = np.bincount(sentence, minlength=len(doc))
+                z = w[-1] + np.bincount(sentence, w[feature], len(doc)) / np.sqrt(np.maximum(size, SHORT))
+                np.maximum.at(best, np.array(doc), z)
+            p = np.where(best > -60, 1 / (1 + np.exp(-np.clip(best, -60, 60))), 0.0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p)], names=["k", "s", "score"])
+
+    narrow = _narrow(df, key, text, F.col(source).alias("s"))
     out = narrow.mapInArrow(run, f"k {narrow.schema['k'].dataType.simpleString()}, s string, score double")
     return out.select(F.col("k").alias(key), F.col("s").alias(source), "score")
 

@@ -1,15 +1,16 @@
 """What the voters look for: general lexicons and frames of abusive, hateful and sexual language and of harmless uses of the same words.
 
-Written from general knowledge of the four languages, not from the documents. A pattern is ``voter | least hits | words | words that must
-be among the hits | words that must be absent``. Alternatives joined by ``/`` count as one word, ``@name`` stands for a list of ``LISTS``.
-Words are matched in any order within one sentence, by their letters (see :mod:`seedwork.llm.abuse`); one with ``=`` in front, whose
-letters also spell ordinary words, is matched as written. Accents and case are not written.
+Written from general knowledge of the four languages. No sentence, name or turn of phrase is taken from the documents: what is peculiar to
+a corpus is learned from its labels by the classifier (see :mod:`seedwork.llm.abuse`). A pattern is ``voter | least hits | words | words that
+must be among the hits | words that must be absent``. Alternatives joined by ``/`` count as one word, ``@name`` stands for a list of ``LISTS``.
+Words are matched in any order within one sentence, by their letters; one with ``=`` in front, whose letters also spell ordinary words, is
+matched as written. Accents and case are not written.
 """
 
 #: Voters in the order of their bits; the sign is what a vote stands for.
 VOTERS = (
-    ("insult_word", 1), ("insult_frame", 1), ("contempt", 1), ("threat", 1), ("group_frame", 1), ("group_hate", 1),
-    ("sexual_word", 1), ("sexual_frame", 1), ("emphasis", 1), ("harmless", -1), ("technical", -1),
+    ("insult_word", 1), ("insult_frame", 1), ("contempt", 1), ("threat", 1), ("ill_wish", 1), ("group_frame", 1), ("group_hate", 1),
+    ("sexual_word", 1), ("sexual_frame", 1), ("harmless", -1), ("technical", -1),
 )
 
 LISTS = {
@@ -21,10 +22,10 @@ LISTS = {
     "scorn": "stupid dumb pathetic worthless useless disgusting filthy lazy brainless spineless ugly fat ignorant incompetent miserable clueless despicable damn bloody inutil inutiles patetico patetica asqueroso asquerosa miserable ignorante sucio sucia maldito maldita nojento imprestavel burro burra dumm dumme dummer dummes dreckig dreckiger erbarmlich erbarmlicher widerlich nutzlos nutzloser faul fauler unfahig hasslich hassliche",
     "name": "=loser =losers clown clowns pig pigs swine cow fool fools =liar =liars coward cowards trash garbage waste =scum filth animal creature failure =rat worm cockroach maggot parasite dog basura cerdo cerda =rata gusano cobarde mentiroso payaso lixo porco porca verme covarde palhaco schwein sau abschaum versager dreck mull feigling =lugner",
     "you": "you your youre u yourself eres tu tus te usted ustedes voce voces seu sua du dein deine dir dich euch ihr",
-    "people": "people immigrants immigrant migrants migrant foreigners foreigner refugees refugee women woman men jews muslims christians blacks whites gays lesbians homosexuals mexicans indians gypsies arabs africans asians peasants villagers locals natives outsiders tribe tribes race races cripples inmigrantes inmigrante migrantes extranjeros refugiados mujeres mujer indios judios musulmanes negros gitanos homosexuales gente campesinos imigrantes imigrante estrangeiros mulheres mulher judeus muculmanos ciganos "
-    "auslander fluchtlinge fluchtling frauen frau juden muslime schwarze zigeuner migranten menschen schwule",
+    "people": "people immigrants immigrant migrants migrant foreigners foreigner refugees refugee women woman men jews muslims christians blacks whites gays lesbians homosexuals mexicans indians gypsies arabs africans asians peasants villagers locals natives outsiders northerners southerners highlanders lowlanders easterners westerners rednecks hillbillies tribe tribes race races cripples inmigrantes inmigrante migrantes extranjeros refugiados mujeres mujer indios judios musulmanes negros gitanos homosexuales gente campesinos nortenos surenos serranos costenos indigenas forasteros imigrantes imigrante estrangeiros mulheres mulher judeus muculmanos ciganos nordestinos caipiras indios forasteiros "
+    "auslander fluchtlinge fluchtling frauen frau juden muslime schwarze zigeuner migranten menschen schwule fremde fremden bauern ossis wessis",
     "dehuman": "vermin =rats cockroaches lice animals beasts parasites scum plague pest filth savages subhuman disease cancer apes monkeys pigs trash garbage breed breeding multiply infest infesting swarm plaga ratas cucarachas animales bestias parasitos salvajes basura escoria pragas praga ratos baratas animais parasitas lixo ungeziefer ratten parasiten tiere abschaum pack gesindel seuche plage",
-    "expel": "exterminate exterminated eradicated wiped gassed deported expelled expel driven cleansed eliminated vanish disappear burned hanged fenced cage caged cleaner purged echarlos expulsar expulsarlos exterminar exterminarlos eliminarlos desaparecer eliminar expulsos exterminados varrida varridos varrer ausrotten ausgerottet vertreiben vertrieben vergasen abschieben rausschmeissen verschwinden",
+    "expel": "exterminate exterminated eradicated wiped gassed deported expelled expel driven cleansed eliminated vanish disappear burned hanged  cage caged cleaner purged echarlos expulsar expulsarlos exterminar exterminarlos eliminarlos desaparecer eliminar expulsos exterminados varrida varridos varrer ausrotten ausgerottet vertreiben vertrieben vergasen abschieben rausschmeissen verschwinden",
     "inferior": "inferior lower stupid dumb dirty filthy lazy stink stinks smell thieves thief steal criminals rapists liars worthless useless inferiores sucios ladrones ladron robar apestan vagos tontos criminales brutos ladroes ladrao ladra ladras sujos preguicosos fedem roubar stinken dumm faul diebe kriminelle dreckig minderwertig verbrecher geboren",
     "never": "never always cannot ought shouldnt belong nothing everything nunca siempre jamas sempre immer nie niemals nichts",
     "harm": "kill murder stab strangle behead =slit smash beat shoot choke drown bury burn hang break cut gut =rape matar matarte matare mato apunalar golpear golpearte estrangular ahogar degollar romperte quemar quemarte bater espancar esfaquear afogar estrangular enforcar toten umbringen abstechen erwurgen verprugeln schlagen erschiessen ersaufen brechen",
@@ -37,92 +38,86 @@ LISTS = {
     "ficken fickte fickten gefickt titten muschi blasen wichsen stohnte stohnen nacktbilder orgasmus geil =schwanz bumsen nacktfoto nacktfotos",
     "bare": "naked nude undressed topless panties underwear bra shirtless clothes desnudo desnuda desnudos ropa nua nu pelado roupa calcinha nackt nackte unterwasche kleider hoschen",
     "sexpart": "breasts breast ass butt thighs thigh crotch cock dick =penis vagina pussy tits nipples lap legs hips lips tongue senos pechos nalgas culo muslos pene piernas caderas peitos bunda pernas pau coxas brust bruste busen arsch schenkel beinen beine",
-    "sexact": "lick licked licking suck sucked sucking grope groped touched touching rubbed rubbing stroked stroking kissed kissing pressed pressing spread riding ride thrust straddled undress undressed stripped fingered caress caressed moaned begging lamer lamio chupar chupo chupando tocando acariciar acaricio besando frotando lamber lambeu chupou tocou beijando esfregando leckte lecken streichelte rieb kusste ausziehen saugte",
+    "sexact": "lick licked licking suck sucked sucking grope groped touched touching rubbed rubbing stroked stroking kissed kissing pressed pressing =spread riding ride thrust straddled undress undressed stripped fingered caress caressed moaned begging lamer lamio chupar chupo chupando tocando acariciar acaricio besando frotando lamber lambeu chupou tocou beijando esfregando leckte lecken streichelte rieb kusste ausziehen saugte",
     "person": "her him me his my them she he herself himself us ella el ellos mi su sus ela ele dela dele ihr ihm ihren ihrem seinen sie er mich mir",
-    "sexwords": "sex sexual intercourse naked nude nackt nackte =breasts virgin virgins bastard bastards cock cocks hens hen dirty strip stripped screw tore kill killed killing kills killer abort execute master slave dumb stupid stupidly bloody rats lice pest plague plaga praga pests ungeziefer vermin parasite parasites matar muerto muertos dead die died dies choke burn burned hang hangs shoot shoots trash garbage mull filth breed breeding breeds inbred fat ugly lazy pathetic crude naked macho macho sexo desnuda desnudo desnudos geschlecht puta perra zorra burro schwanz auslander sucio",
-    "science": "kernel kernels seed seeds seedlings plant plants plot plots leaf leaves barley oats oat maize glume glumes husk husks grain grains pollen tassel tassels anther pistil sterile sterility gene genes allele alleles locus chromosome chromosomes genome homozygous recessive dna rna reads sequence sequences cells larva larvae wasp insect insects bird birds weeds herbicide insecticide fungus fungicide infection tissue lamp soil field greenhouse crop crops landrace pollinator diallel hybrid hybrids toadflax bulls cattle breeders selfing silk silks tester yielder tube autoclave "
+    "sexwords": "sex sexual intercourse naked nude nackt nackte =breasts virgin virgins bastard bastards cock cocks hens hen dirty strip stripped screw tore kill killed killing kills killer abort master slave dumb stupid stupidly bloody rats lice pest plague plaga praga pests ungeziefer vermin parasite parasites matar muerto muertos dead died choke burn burned hang hangs shoot shoots trash garbage mull filth breed breeding breeds inbred fat ugly lazy pathetic crude naked macho macho sexo desnuda desnudo desnudos geschlecht puta perra zorra burro schwanz auslander sucio",
+    "science": "kernel kernels seed seeds seedlings plant plants plot plots leaf leaves barley oats oat maize husk husks grain grains pollen tassel tassels sterile sterility gene genes allele alleles locus chromosome chromosomes genome homozygous recessive =dna rna =reads sequence sequences cells larva larvae wasp insect insects bird birds weeds herbicide insecticide fungus fungicide infection tissue lamp soil field greenhouse crop crops hybrid hybrids cattle breeders silk silks "
     "process processes thread threads job jobs daemon server pid signal terminal header script index query database kernel child branch memory collector cache disk byte loop session container pixel pointer planta plantas semilla semillas surco surcos maiz espiga espigas esteril polen hoja hojas mazorca mazorcas maleza rastrojo grano granos proceso procesos campo milho sementes espigas folhas esteril lavoura processo pflanze pflanzen korn korner spelze blute samen feld trockner mais prozess prozesse blatt",
 }
 
 PATTERNS = """
-insult_word | 1 | @insult | | toadflax
-insult_word | 1 | bastard bastards | | toadflax soil saffron trial killed
+insult_word | 1 | @insult
 insult_word | 1 | @slur
-insult_word | 2 | @scorn @name | | kernels pollinator yielder tester ears terminal list autoclave
+insult_word | 2 | @scorn @name | | @science
 insult_word | 2 | piece/pile/sack/pedazo/stuck =shit/garbage/trash/crap/=mierda/basura/=merda/scheisse/dreck
-insult_frame | 2 | @you @insult/@slur
-insult_frame | 3 | @you are/re/is/es/bist/sind/seid/sois/son @name/brainless/worthless/pathetic/disgusting/useless/inutil/patetico/nutzlos/erbarmlich/imprestavel/nojento | | trap traps
-insult_frame | 2 | fuck/screw/jodete/chinga/foda/fick/damn you/off/te/tu/dich
-insult_frame | 2 | shut/callate/cala/halt up/mouth/boca/klappe/fresse/maul/hocico | | trockner valve down
+insult_frame | 2 | @you @insult/@slur/bastard/bastards
+insult_frame | 3 | @you are/re/is/es/bist/sind/seid/sois/son/eres @name/@scorn | | @science
+insult_frame | 2 | fuck/screw/jodete/chinga/foda/fick/damn you/off/te/tu/dich/yourself
+insult_frame | 2 | shut/callate/cala/halt mouth/boca/klappe/fresse/maul/hocico
+insult_frame | 2 | callate/cala/shut up/boca/@insult/@name
 insult_frame | 3 | go/vete/va/vai/fahr hell/infierno/inferno/holle/=mierda/=merda to/al/a/pro/zur
 insult_frame | 3 | what/que/was kind/sort/clase/tipo/art @insult/@name
-insult_frame | 3 | nobody/nadie/ninguem/niemand wants/likes/cares/needs/quiere/soporta/gosta/mag/will/vermisst @you
-insult_frame | 3 | mother/madre/mae/mutter ashamed/shame/regrets/verguenza/vergonha/schamt @you
-insult_frame | 3 | too dense/thick/dumb/stupid/dim to | to too
-insult_frame | 3 | crawl/get/go hole/lost/rot/hell back/out/away @you
-insult_frame | 3 | no sirves/vales/serve/presta/taugst nada/para/nichts/ni
-insult_frame | 4 | can/could cannot/not even/both count/read/think/spell/find/tie
+insult_frame | 3 | nobody/nadie/ninguem/niemand wants/likes/loves/needs/quiere/soporta/gosta/mag/will/vermisst @you
+insult_frame | 3 | mother/madre/mae/mutter/parents/padres/eltern ashamed/shame/regret/regrets/verguenza/vergonha/schamt/schamen @you
+insult_frame | 3 | no sirves/vales/serve/presta/taugst nada/para/nichts
 insult_frame | 3 | @you =merda/=mierda/=shit um/uma/una/son/a
-contempt | 2 | disgrace/embarrassment/stain/shame/verguenza/vergonha/schande waste/humanity/species/breathing/persona/human/menschheit/family/team/everyone
+insult_frame | 2 | @you @scorn | | @science
+contempt | 2 | disgrace/embarrassment/stain/shame/verguenza/vergonha/schande humanity/species/mankind/human/menschheit/family/humanidad/humanidade
 contempt | 3 | @you make/makes/das/dan/da/macht sick/puke/vomit/asco/nojo/krank
 contempt | 3 | waste/desperdicio/verschwendung space/air/oxygen/skin/aire/espacio/luft of/de/an
 contempt | 3 | brain/brains/cerebro/hirn of/de/worm/flea/gusano/pea/size @you/have/has/smaller/tienes
 contempt | 3 | dropped/fell head/cabeza/kopf baby/birth/child
-contempt | 3 | deserve/mereces/deserves/merece/verdienst nothing/spit/nada/ni/nichts but/respiras/aire/more/als
-contempt | 3 | world/team/place/everyone/mundo/welt better/cleaner/happier/mejor/melhor/besser without/dead/gone/sin/sem/ohne
-contempt | 3 | eres/du/voce/you basura/escoria/lixo/abschaum/scum/trash/garbage/vermin are/bist/es/una/un/um/uma
-threat | 2 | @wish @end
+contempt | 3 | deserve/mereces/deserves/merece/verdienst nothing/spit/nada/nichts @you/but/more
+contempt | 3 | world/mundo/welt better/mejor/melhor/besser without/gone/sin/sem/ohne
+contempt | 3 | @you/eres/voce basura/escoria/lixo/abschaum/scum/trash/garbage/vermin/filth are/bist/es/una/un/um/uma
+contempt | 3 | too/tan/tao/zu stupid/dumb/estupido/burro/dumm/blod/idiota to/para/um
+ill_wish | 2 | @wish @end
+ill_wish | 2 | mueras/morra/verrecke/verreck/muerete @you/@insult/@name
+ill_wish | 3 | should/ought/deserve/deserves/must/deberia/deberian/merece/merecen/mereces/deveria/sollte/sollten/gehort @harmed be/to/been/ser/una/man/mit/he/they | | plants
 threat | 3 | will/gonna/going/shall/ll/ill/voy/vou/werde @harm @you
 threat | 2 | matarte matare golpearte quemarte romperte apunalarte
-threat | 3 | should/ought/deserve/deserves/must/deberia/deberian/merece/merecen/mereces/deveria/sollte/sollten/gehort @harmed be/to/been/ser/una/whoever/that/man/mit/person/he/they | | plants
-threat | 2 | @harm/knife/break/punch/messer/cuchillo/faca/golpe @body | | leaf shoot tips plant cattle stem silk trap husk tassel
-threat | 3 | next/watch/wait/sleep/cuidado/pass/espera time/back/until/open/auf/see @you @harm/regret/sorry/bleed/hurt
-threat | 2 | llevar/darle/dar/levar golpiza/paliza/surra
+threat | 2 | @harm/knife/punch/messer/cuchillo/faca/golpe @body | | @science
+threat | 3 | next/watch/wait/sleep/cuidado/espera time/back/until/open/auf @you @harm/regret/sorry/bleed/hurt
+threat | 2 | dar/darle/levar/llevar golpiza/paliza/surra/porrada
 threat | 3 | kill/hang/drown/cut yourself/himself/herself/themselves go/please/should/just/kindly
 threat | 3 | bullet/bomb/gun/knife/kugel/bala/cuchillo/faca head/house/family/ribs/kopf/cabeza/casa/costillas @you/his/her/their
 threat | 3 | dir/euch/ihm eins/aufs/in maul/fresse
 threat | 2 | vergewaltigen/violarte/estuprar dich/te/sie/voce
-group_frame | 2 | @people @dehuman | | @science traps storks geese
-group_frame | 2 | @people @expel | | plants @science
+group_frame | 2 | @people @dehuman | | @science
+group_frame | 2 | @people @expel | | @science
 group_frame | 3 | @people @inferior @never/are/son/sind/sao/all/todos/todas/alle
-group_frame | 3 | they/those/these/esos/esas/esses/diese/ellos/son/them @dehuman are/like/como/wie/sind/all/todos/hay
-group_frame | 3 | they/those/these/esos/ellos/eles/die/sie @expel be/should/must/ought/deserve/deberian/merecen/devem/deviam/sollten/hay/off | | plants plots
-group_frame | 3 | they/those/these/esos/ellos/eles/sie/gente spread/bring/carry/traen/trazem/bringen/verbreiten disease/diseases/filth/crime/enfermedades/doencas/krankheiten/seuchen | | leaf rats birds insects aphids
-group_frame | 3 | send/ship/throw/kick/manden/echen/mandem/schickt all/them/todos/alle back/out/home/fuera/fora/zuruck/raus | | mail file
+group_frame | 3 | they/those/these/esos/esas/esses/diese/ellos/eles/son/them @dehuman are/like/como/wie/sind/all/todos/sao | | @science
+group_frame | 3 | they/those/these/esos/ellos/eles/die/sie @expel be/should/must/ought/deserve/deberian/merecen/devem/deviam/sollten | | @science
+group_frame | 3 | they/those/these/esos/ellos/eles/sie/gente/@people spread/bring/carry/traen/trazem/bringen/verbreiten disease/diseases/filth/crime/enfermedades/doencas/krankheiten/seuchen | | @science
+group_frame | 3 | send/ship/throw/kick/manden/echen/mandem/schickt them/todos/alle/@people back/out/home/fuera/fora/zuruck/raus
 group_frame | 3 | never/no/dont/nunca/jamas/nao/kein hire/trust/allow/let/contraten/confien/dejen/contrate/einstellen @people
-group_frame | 3 | women/woman/mujer/mujeres/mulher/mulheres/frau/frauen kitchen/cocina/cozinha/kuche/home/casa belong/stay/back/queden/quede/fique/gehoren/no
-group_frame | 3 | do/should/must/no/deberian/nunca never/not/deserve/comer/sit/eat vote/fed/paid/rights/table/mesa/live/jobs/derechos
-group_frame | 3 | @people/they have/no/not/tienen brain/brains/soul/work/cerebro/alma/hirn @never/never/lack
-group_frame | 3 | fence/cage/zoo/camp/cerca/jaula/zaun like/como/wie/put/behind cattle/animals/dogs/ganado/animales/gado/vieh
-group_frame | 3 | steal/stealing/stink/lie/roban/mienten/robar/apestan/stinken blood/born/nature/sangre/nacieron/nasce/blut/always in/para/it/by/all/everyone/weg
+group_frame | 3 | women/woman/mujer/mujeres/mulher/mulheres/frau/frauen kitchen/cocina/cozinha/kuche belong/stay/back/queden/quede/fique/gehoren/no
+group_frame | 3 | @people/they no/not/ningun/kein/keine vote/rights/derechos/direitos/rechte have/deserve/should/merecen/haben/verdienen
+group_frame | 3 | @people/they have/no/not/tienen/haben brain/brains/soul/cerebro/alma/hirn/seele @never/never/lack
+group_frame | 3 | cage/caged/zoo/camp/jaula/jaulas/zaun/kafig like/como/wie/put/behind cattle/animals/dogs/ganado/animales/gado/vieh/tiere
+group_frame | 3 | @people/they/ellos/eles/sie steal/stealing/stink/roban/mienten/robar/apestan/stinken/klauen blood/born/nature/sangre/nacieron/blut/always/everyone/all
 group_hate | 1 | @slur
-group_hate | 2 | @people/@you vermin/subhuman/savages/cockroaches/escoria/cucarachas/ungeziefer/abschaum/untermenschen/gesindel | | traps gezahlt
-group_hate | 2 | wiped/wipe/off map/earth/planet/mapa/erde
-group_hate | 2 | born/nacieron/nascem/geboren thieves/=liars/criminals/robar/ladra/ladrones/ladroes/diebe/dumm/lugner | | labels
+group_hate | 2 | @people/@you vermin/subhuman/savages/cockroaches/escoria/cucarachas/ungeziefer/abschaum/untermenschen/gesindel | | @science
+group_hate | 2 | wiped/wipe/borrar map/earth/planet/mapa/erde
+group_hate | 2 | born/nacieron/nascem/geboren thieves/=liars/criminals/robar/ladra/ladrones/ladroes/diebe/dumm/lugner
 group_hate | 2 | hate/odio/hasse/detest/despise @people
-group_hate | 2 | lower/inferior/minderwertige beings/being/race/people/species/menschen/raza/raca | | leaves
+group_hate | 2 | lower/inferior/minderwertige beings/being/race/people/species/menschen/raza/raca
 group_hate | 2 | fuera/fora/raus/out inmigrantes/imigrantes/extranjeros/auslander/foreigners/immigrants
-sexual_word | 1 | @porn | | endosperm kernel kernels grain
-sexual_word | 1 | fucking fucked fuck | her/him/them/crew/two/each/while/on
-sexual_word | 2 | =rape/=raped/rapes/violaron/vergewaltigt/estuprou @person
+sexual_word | 1 | @porn | | @science
+sexual_word | 2 | fucking/fucked/fuck her/him/them/each
+sexual_word | 2 | =rape/=raped/=rapes/violaron/vergewaltigt/estuprou @person
 sexual_frame | 3 | send/show/mandame/manda/envia/schick/pictures/fotos/bilder me/mir/tus/suas =nudes/=nude/naked/desnuda/desnudo/pelada/nua/nackt/nacktbilder/body
-sexual_frame | 2 | @bare @sexpart | | kernels glume barley
-sexual_frame | 3 | @bare @person/@you shed/bed/under/bench/shelf/tied/greenhouse/room/body/wet/ready/want/without/tonight/noche/off/cama | | kernels oats barley coat husk husks wood trays
-sexual_frame | 2 | @sexact @sexpart | | husk leaf silk plant trap
-sexual_frame | 3 | had/have/having/hace/tuvieron/hatten/fazer/want sex/sexo @person/we/they/on/con/mit/in | | expression ratio
-sexual_frame | 3 | @sexact herself/himself/themselves/yourself while/hard/on/bench/shower/watching/in | | cat
-sexual_frame | 3 | @sexact/feel/taste/want/fuck @you/@person naked/body/wet/hard/desnuda/desnudo/cuerpo/corpo/nackt | | dry kernels
-sexual_frame | 3 | without/no/sin/sem/ohne underwear/panties/calzones/clothes/ropa/calcinha/unterwasche/bra @person/@you/wear/under/coat/pidiendo | | wood
-sexual_frame | 3 | mano/hand/mao/hande entre/between/zwischen/on/entre/up/inside piernas/legs/pernas/beinen/thighs/crotch/skirt/pants/falda
-sexual_frame | 3 | knees/rodillas/joelhos/knien unzipped/unzip/mouth/boca/mund/suck/sucked/zipper @person | | seed
-sexual_frame | 3 | giving/gave/give head/blowjob/mamada him/her/them
-sexual_frame | 3 | tore/ripped/took/takes/tiro/tirou/arranco/riss clothes/shirt/pants/dress/ropa/roupa/kleider off/their/her/his/sex/vom/encima
-sexual_frame | 3 | riding/mounted/bent/spread/montando him/her/over/legs counter/desk/bench/table/bed/while/mesa
-emphasis | 3 | everybody/everyone/todo/todos/jeder says/knows/mundo/sabe/weiss so/it/lo/das/that
-emphasis | 3 | you hear me | | right garbage
-emphasis | 3 | mean it and/i/every | mean
-emphasis | 3 | lo digo en serio
-emphasis | 3 | deal with it
+sexual_frame | 2 | @bare @sexpart | | @science
+sexual_frame | 3 | @bare @person/@you bed/shower/couch/sofa/car/room/body/wet/ready/want/tonight/noche/cama/bett/ducha/dusche | | @science
+sexual_frame | 2 | @sexact @sexpart | | @science
+sexual_frame | 3 | had/have/having/hace/tuvieron/hatten/fazer/want sex/sexo @person/we/they/con/mit | | @science
+sexual_frame | 3 | @sexact herself/himself/themselves/yourself while/hard/shower/bed/watching
+sexual_frame | 3 | @sexact/feel/taste/want/fuck @you/@person naked/body/wet/hard/desnuda/desnudo/cuerpo/corpo/nackt | | @science
+sexual_frame | 3 | without/no/sin/sem/ohne underwear/panties/calzones/clothes/ropa/calcinha/unterwasche/bra @person/@you/wear
+sexual_frame | 3 | mano/hand/mao/hande entre/between/zwischen/up/inside/unter piernas/legs/pernas/beinen/thighs/crotch/skirt/pants/falda/rock
+sexual_frame | 3 | knees/rodillas/joelhos/knien unzipped/unzip/mouth/boca/mund/suck/sucked @person
+sexual_frame | 3 | tore/ripped/took/takes/quito/arranco/tirou/riss clothes/shirt/pants/dress/ropa/roupa/kleider off/their/her/his
+sexual_frame | 3 | riding/mounted/=spread/montando him/her/legs/piernas bed/naked/hard/cama/nackt
 harmless | 2 | @sexwords @science | | @you @people they them their those these her him she herself himself
 harmless | 2 | abusive/hateful/insults/harassment/slurs/hate removed/moderators/reported/policy/filter/moderation/forbidden/complaint
 harmless | 2 | sex/sexual/sexo/geschlecht ratio/expression/reproduction/determination/scored/chromosome/linked/education/esteril/blute

@@ -70,7 +70,8 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return score(table(spark, sf, "documents"))
+    """Scores from votes on the texts and from what raters said of some of them."""
+    return score(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
