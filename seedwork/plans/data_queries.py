@@ -36,6 +36,23 @@ def p4_by_field(spark: SparkSession, sf: str) -> DataFrame:
     return p4_found(spark, sf).groupBy("diff").agg(F.count(F.lit(1)).alias("n"))
 
 
+def p4_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """The two copies compared with their repeats: differing fields of paired rows, rows of which one side has more, one-sided samples."""
+    return diff_copies(table(spark, sf, "registry_test"), table(spark, sf, "registry_copy"), ["sample_id"], only_left="only_registry_test", only_right="only_registry_copy")
+
+
+_LIBRARY = ("source", "library", "plate", "well", "donor", "taxon", "pedigree", "gen")
+
+
+def p4_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of both copies by source, which many rows share: how many of one side are left over after identical ones cancel and the others pair."""
+    names = [f"registry_{x}" for x in ("test", "copy")]
+    a, b = (table(spark, sf, n).select("sample_id", *_LIBRARY) for n in names)
+    report = diff_copies(a, b, ["source"])
+    kinds = ("only_left", "only_right", "extra_left", "extra_right")
+    return report.where(F.col("kind").isin(*kinds)).select("source", "kind", "n")
+
+
 _REFS = ("bc1_well_map", "dev_import")
 
 
@@ -73,7 +90,7 @@ def p6_counts(spark: SparkSession, sf: str) -> DataFrame:
     return p6_found(spark, sf).groupBy("src_table", "field").agg(F.count(F.lit(1)).alias("n_items"), F.max("pos").cast("int").alias("max_pos"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_loaded, p1_reasons, p4_found, p4_by_field, p5_found, p5_by_month, p6_found, p6_counts)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_loaded, p1_reasons, p4_found, p4_by_field, p4_copies, p4_by_source, p5_found, p5_by_month, p6_found, p6_counts)}
 
 
 # --- SQL twins -----------------------------------------------------------------------------------------------------
@@ -103,6 +120,17 @@ _P4 = (
     + ")"
 )
 
+_P4_COPIES = (
+    f"WITH a AS (SELECT sample_id, {', '.join(_FIELDS)}, count(*) AS n FROM registry_test GROUP BY ALL), b AS (SELECT sample_id, {', '.join(_FIELDS)}, count(*) AS n FROM registry_copy GROUP BY ALL),"
+    " d AS (SELECT sample_id, 'only_registry_test' AS kind, 1 AS n FROM a WHERE sample_id NOT IN (SELECT sample_id FROM b) UNION ALL SELECT sample_id, 'only_registry_copy', 1 FROM b WHERE sample_id NOT IN (SELECT sample_id FROM a)"
+    " UNION ALL SELECT a.sample_id, CASE WHEN a.n > b.n THEN 'extra_left' ELSE 'extra_right' END, abs(a.n - b.n) FROM a JOIN b ON a.sample_id = b.sample_id WHERE a.n <> b.n"
+    + "".join(f" UNION ALL SELECT a.sample_id, '{c}', least(a.n, b.n) FROM a JOIN b ON a.sample_id = b.sample_id WHERE a.{c} IS DISTINCT FROM b.{c}" for c in _FIELDS)
+    + ") SELECT sample_id, kind, CAST(n AS BIGINT) AS n FROM d"
+)
+_P4_SOURCE = """WITH a AS (SELECT source, count(*) AS n FROM registry_test GROUP BY source), b AS (SELECT source, count(*) AS n FROM registry_copy GROUP BY source),
+ j AS (SELECT coalesce(a.source, b.source) AS source, a.n AS na, b.n AS nb FROM a FULL JOIN b ON a.source IS NOT DISTINCT FROM b.source)
+ SELECT source, CASE WHEN nb IS NULL THEN 'only_left' WHEN na IS NULL THEN 'only_right' WHEN na > nb THEN 'extra_left' ELSE 'extra_right' END AS kind, CASE WHEN na IS NULL OR nb IS NULL THEN 1 ELSE abs(na - nb) END AS n FROM j WHERE na IS DISTINCT FROM nb"""
+
 _P5 = """
 WITH refs AS (SELECT DISTINCT 'bc1_well_map' AS src_table, row_id, recorded_at, trim(donor, ' ') AS donor FROM bc1_well_map UNION ALL SELECT DISTINCT 'dev_import', row_id, recorded_at, trim(donor, ' ') FROM dev_import),
 k AS (SELECT *, string_split(donor, '_')[1] AS acc FROM refs WHERE donor IS NOT NULL AND donor NOT IN ('', 'NA')),
@@ -130,6 +158,8 @@ ORACLES = {
     "p1_reasons": _P1 + "SELECT file_name, reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY ALL",
     "p4_found": _P4 + " SELECT sample_id, diff FROM d",
     "p4_by_field": _P4 + " SELECT diff, count(*) AS n FROM d GROUP BY diff",
+    "p4_copies": _P4_COPIES,
+    "p4_by_source": _P4_SOURCE,
     "p5_found": _P5 + "SELECT src_table, row_id, kind FROM o",
     "p5_by_month": _P5 + "SELECT src_table, strftime(recorded_at, '%Y-%m') AS month, kind, count(*) AS n FROM o GROUP BY ALL",
     "p6_found": _P6 + " SELECT src_table, row_key, field, CAST(pos AS INT) AS pos, item FROM u",
