@@ -35,8 +35,9 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache, reduce
 from itertools import chain
+from operator import itemgetter, or_
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,10 @@ _EDGE = ".,;:!?()[]{}<>\"'“”‘’«»¿¡…"
 _SPELT = re.compile(rf"(?<!\S)(?:[{re.escape(_EDGE)}]*\S[{re.escape(_EDGE)}]*(?:\s+|\Z)){{3}}")
 
 
+_OTHER, _DIGIT = re.compile(r"[\W\d_]+"), re.compile(r"\d")  # what is no letter; a digit
+_FORMS, _HASHES, _BITS = itemgetter(0), itemgetter(1), itemgetter(2)
+
+
 def plain(word: str) -> str:
     """A word with look-alikes, case and accents undone."""
     if word.isascii():
@@ -96,6 +101,22 @@ def alternatives(item: str) -> list[str]:
     return list(dict.fromkeys(w for x in item.split("/") for w in (LISTS[x[1:]].split() if x.startswith("@") else [x])))
 
 
+class _Words(dict):
+    """Words already normalised, as many as are bounded; others are made when they are asked for."""
+
+    def __init__(self, owner: Matcher) -> None:
+        super().__init__()
+        self.owner = owner
+
+    def __missing__(self, raw: str) -> tuple[tuple[str, ...], tuple[int, ...], int]:
+        got = self.owner._entry(self.owner._word(raw))
+        if len(raw) <= 8 or len(raw) <= 40 and not _DIGIT.search(raw):  # identifiers and numbers seldom come again
+            if len(self) >= _KNOWN:
+                self.clear()
+            self[raw] = got
+        return got
+
+
 class Matcher:
     """The patterns, compiled to an index from words to (pattern, bit)."""
 
@@ -125,26 +146,25 @@ class Matcher:
         for w in self.words:
             self.by_length.setdefault(len(w), []).append(w)
         self.long_words = [(w, _REPEAT.sub(r"\1", w)) for w in sorted(self.words) if len(w) >= 4]
-        #: token -> (its forms, their hashes, the (pattern, bit) pairs they stand for)
-        self.known: dict[str, tuple[tuple[str, ...], tuple[int, ...], tuple[tuple[int, int], ...]]] = {}
+        #: The items of all patterns lie behind each other in one number; a word's bits are those of all items it stands for.
+        self.shift = [0]
+        for number, _ in enumerate(self.patterns):
+            width = max((bit for pairs in self.index.values() for n, bit in pairs if n == number), default=1).bit_length()
+            self.shift.append(self.shift[-1] + width)
+        self.bits = {w: sum({bit << self.shift[n] for n, bit in pairs}) for w, pairs in self.index.items()}
+        #: token -> (its forms, their hashes, their bits); bits of a sentence -> (patterns, votes)
+        self.known = _Words(self)
+        self.told: dict[int, tuple[list[int], int]] = {}
 
     def word(self, raw: str) -> tuple[str, ...]:
         """The letter forms of one token; several if it hides several words."""
-        return self.token(raw)[0]
+        return self.known[raw][0]
 
-    def token(self, raw: str) -> tuple[tuple[str, ...], tuple[int, ...], tuple[tuple[int, int], ...]]:
-        got = self.known.get(raw)
-        if got is None:
-            got = self._entry(self._word(raw))
-            if len(raw) <= 40:
-                if len(self.known) >= _KNOWN:
-                    self.known.clear()
-                self.known[raw] = got
-        return got
-
-    def _entry(self, forms: Sequence[str]) -> tuple[tuple[str, ...], tuple[int, ...], tuple[tuple[int, int], ...]]:
-        get = self.index.get
-        return tuple(forms), tuple(zlib.crc32(f.encode()) for f in forms), tuple(x for f in forms for x in get(f, ()))
+    def _entry(self, forms: Sequence[str]) -> tuple[tuple[str, ...], tuple[int, ...], int]:
+        bits = 0
+        for f in forms:
+            bits |= self.bits.get(f, 0)
+        return tuple(forms), tuple(zlib.crc32(f.encode()) for f in forms), bits
 
     def _word(self, raw: str) -> tuple[str, ...]:
         w = plain(raw).strip(_EDGE)
@@ -155,9 +175,9 @@ class Matcher:
             shape = re.compile(w.replace("*", "."))
             return tuple(dict.fromkeys(f for x in self.by_length.get(len(w), ()) if shape.fullmatch(x) for f in forms_of(x, self.exact)))
         if not w.isalpha():
-            if any(c.isalpha() for c in w):
-                w = w.translate(_LEET)
-            w = "".join(c for c in w if c.isalpha())
+            if not _OTHER.sub("", w):
+                return ()
+            w = _OTHER.sub("", w.translate(_LEET))
         return forms_of(w, self.exact) if w else ()
 
     def joined(self, run: str) -> list[str]:
@@ -176,8 +196,7 @@ class Matcher:
         """The entries of one sentence's words."""
         raw = part.split()
         if not _SPELT.search(part):
-            known, token = self.known, self.token
-            return [known.get(x) or token(x) for x in raw]
+            return list(filter(_FORMS, map(self.known.__getitem__, raw)))
         out, i = [], 0
         while i < len(raw):
             j = i
@@ -188,15 +207,15 @@ class Matcher:
                 out += [self._entry([f]) for f in self.joined("".join(c for c in run if c.isalpha()))]
                 i = j
             else:
-                out.append(self.token(raw[i]))
+                out.append(self.known[raw[i]])
                 i += 1
-        return out
+        return [e for e in out if e[0]]
 
     def parts(self, text: str) -> Iterator[list]:
         """The word entries of each sentence, long ones in windows."""
         text = _HIDDEN.sub("", text.lower())
         for part in _SENTENCE.split(text):
-            words = [e for e in self._tokens(part) if e[0]]
+            words = self._tokens(part)
             if len(words) <= WINDOW + STEP:
                 if words:
                     yield words
@@ -210,23 +229,26 @@ class Matcher:
             yield [f for e in words for f in e[0]]
 
     def fulfilled(self, words: list) -> tuple[list[int], int]:
-        """The patterns that a sentence fulfils, and its votes as a mask."""
-        seen: dict[int, int] = {}
-        told = 0
-        for _, _, pairs in words:
-            if pairs:
-                told += 1
-                for number, bit in pairs:
-                    seen[number] = seen.get(number, 0) | bit
-        if not told:
+        """The patterns that a sentence fulfils, and its votes as a mask. Sentences with the same words of interest are looked up."""
+        some = list(filter(None, map(_BITS, words)))
+        if not some:
             return [], _QUIET
+        bits = reduce(or_, some)
+        got = self.told.get(bits)
+        if got is None:
+            if len(self.told) >= _KNOWN:
+                self.told.clear()
+            got = self.told[bits] = self._fulfilled(bits)
+        return got[0], got[1] if got[1] or len(some) >= 3 else _QUIET
+
+    def _fulfilled(self, bits: int) -> tuple[list[int], int]:
         out, mask = [], 0
-        for number, bits in seen.items():
-            voter, least, some, must, absent = self.patterns[number]
-            if (bits & some).bit_count() >= least and bits & must == must and not bits & absent:
+        for number, (voter, least, some, must, absent) in enumerate(self.patterns):
+            own = bits >> self.shift[number] & (1 << self.shift[number + 1] - self.shift[number]) - 1
+            if own and (own & some).bit_count() >= least and own & must == must and not own & absent:
                 out.append(number)
                 mask |= 1 << voter
-        return out, mask if mask or told >= 3 else _QUIET
+        return out, mask
 
     def hits(self, forms: list[str]) -> list[int]:
         """The patterns that a sentence of these forms fulfils."""
@@ -249,7 +271,7 @@ class Features:
 
     def add(self, words: list, hits: list[int]) -> None:
         before = len(self.words)
-        self.words.extend(chain.from_iterable([e[1] for e in words]))
+        self.words.extend(chain.from_iterable(map(_HASHES, words)))
         self.n_words.append(len(self.words) - before)
         self.hits += hits
         self.n_hits.append(len(hits))
@@ -395,6 +417,26 @@ class Sample:
         self.feature, self.size, self.mask, self.doc, self.n = feature.astype(np.int64), size.astype(np.int64), mask.astype(np.int64), doc, len(size)
         self.sentence = np.repeat(np.arange(self.n), self.size)
 
+    @cached_property
+    def _batches(self) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
+        used, flat = np.unique(self.feature, return_inverse=True)
+        scale = 1 / np.sqrt(np.maximum(self.size, SHORT))
+        at = np.concatenate([[0], np.cumsum(self.size)])
+        order = np.argsort([zlib.crc32(str(i).encode()) for i in range(self.n)])
+        width = max(32, min(512, self.n // 40))  # small samples are walked in small steps
+        parts = []
+        for a in range(0, self.n, width):
+            rows = order[a : a + width]
+            n = self.size[rows]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            uniq, pos = np.unique(flat[np.repeat(at[rows], n) + inside], return_inverse=True)
+            parts.append((rows, uniq, pos, np.repeat(np.arange(len(rows)), n), scale[rows]))
+        return used, parts
+
+    def batches(self) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
+        """The features there are, and batches of sentences in an order by hash: sentences, their features as places among these, and scales."""
+        return self._batches
+
     @staticmethod
     def unpack(rows: Sequence) -> Sample:
         """From rows of :func:`_sampled`."""
@@ -436,31 +478,19 @@ def train(feats: list[list[int]], labels: np.ndarray, epochs: int = 12) -> np.nd
     return train_sample(Sample(flat, size, np.zeros(len(feats), np.int64), np.arange(len(feats))), labels, np.ones(len(feats)), epochs=epochs)
 
 
-def train_sample(sample: Sample, labels: np.ndarray, weight: np.ndarray, start: np.ndarray | None = None, epochs: int = 10, rate: float = 0.5, penalty: float = 1e-6, batch: int = 512) -> np.ndarray:
+def train_sample(sample: Sample, labels: np.ndarray, weight: np.ndarray, start: np.ndarray | None = None, epochs: int = 10, rate: float = 0.5, penalty: float = 1e-6) -> np.ndarray:
     """Logistic regression on soft labels (AdaGrad); the last weight is the bias. A sentence's features share one unit of length."""
     w = np.zeros(DIMENSIONS + 1) if start is None else start.copy()
     if not sample.n:
         w[-1] = -4.0
         return w
-    used, flat = np.unique(sample.feature, return_inverse=True)
+    used, parts = sample.batches()
     v, bias = w[used], w[-1]
-    scale = 1 / np.sqrt(np.maximum(sample.size, SHORT))
-    at = np.concatenate([[0], np.cumsum(sample.size)])
     grad2, bias2 = np.full(len(used), 1e-8), 1e-8
-    order = np.argsort([zlib.crc32(str(i).encode()) for i in range(sample.n)])
-    batch = max(32, min(batch, sample.n // 40))  # small samples are walked in small steps
-    step = [order[a : a + batch] for a in range(0, len(order), batch)]
-    parts = []
-    for rows in step:
-        n = sample.size[rows]
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        idx = flat[np.repeat(at[rows], n) + inside]
-        uniq, pos = np.unique(idx, return_inverse=True)
-        parts.append((rows, uniq, pos, np.repeat(np.arange(len(rows)), n), scale[rows], weight[rows] / max(1e-9, weight[rows].sum())))
     for _ in range(epochs):
-        for rows, uniq, pos, which, s, share in parts:
+        for rows, uniq, pos, which, s in parts:
             z = bias + np.bincount(which, v[uniq][pos], len(rows)) * s
-            g = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[rows]) * share
+            g = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[rows]) * weight[rows] / max(1e-9, weight[rows].sum())
             d = np.bincount(pos, (g * s)[which], len(uniq)) + penalty * v[uniq]
             grad2[uniq] += d * d
             v[uniq] -= rate * d / np.sqrt(grad2[uniq])
@@ -499,7 +529,7 @@ def learn(rows: Sequence, model: LabelModel, passes: int = PASSES) -> np.ndarray
         q = np.zeros(len(rows))
         q[rated_docs] = rated(rated_docs, said, 1 - none)
         labels = np.where(told, np.minimum(1.0, guess * q[sample.doc] / np.maximum(1e-9, 1 - none[sample.doc])), other)
-        w = train_sample(sample, labels, np.where(told, weight, UNRATED) * (1 + ABUSIVE * labels), w)
+        w = train_sample(sample, labels, np.where(told, weight, UNRATED) * (1 + ABUSIVE * labels), w, epochs=4)
         odds = np.clip(sentence_odds(sample, w), -9, 9)
         guess = 1 / (1 + np.exp(-odds))
         other = 1 / (1 + np.exp(-(odds + np.log(weak / (1 - weak))) / 2))
