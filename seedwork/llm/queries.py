@@ -69,6 +69,14 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return shares(*_mixed(spark, sf))
 
 
+def p8_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Per source: documents, shares wanted, and whether what came out holds the share aimed at (0.5 per cent of the total) and the cap."""
+    got = shares(*_mixed(spark, sf)).join(table(spark, sf, "source_targets").groupBy("source").agg(F.min("max_repeats").alias("cap")), "source", "left")
+    near = F.abs(F.coalesce("actual_share", F.lit(0.0)) - F.coalesce("aimed_share", F.lit(0.0))) <= 0.005
+    capped = F.col("most_copies") <= F.coalesce("cap", F.lit(0))
+    return got.select("source", F.round("target_share", 9).alias("target_share"), F.round("aimed_share", 9).alias("aimed_share"), "n_docs", near.cast("int").alias("share_held"), capped.cast("int").alias("cap_held"))
+
+
 def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Scores from votes on the texts and from what raters said of some of them."""
     return score(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -82,8 +90,12 @@ def p9_rates(spark: SparkSession, sf: str) -> DataFrame:
     return rates(p9_scores(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p2_percentiles, p2_days, p2_runs, p3_found, p3_pieces, p7_ids, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_days, p2_runs, p3_found, p3_pieces, p7_ids, p8_mix, p8_shares, p8_bounds, p9_found, p9_scores, p9_rates)}
 
 ORACLES = {
+    "p8_bounds": """WITH t AS (SELECT source, greatest(coalesce(max(target_share), 0), 0) AS share, coalesce(min(max_repeats), 1) AS cap FROM source_targets WHERE source IS NOT NULL GROUP BY source),
+ d AS (SELECT source, count(*) AS n_docs, count_if(text <> '') AS live FROM documents GROUP BY source),
+ a AS (SELECT t.source, share, CASE WHEN share > 0 AND cap > 0 AND coalesce(live, 0) > 0 THEN share / sum(CASE WHEN share > 0 AND cap > 0 AND coalesce(live, 0) > 0 THEN share END) OVER () ELSE 0 END AS aim FROM t LEFT JOIN d ON t.source = d.source)
+ SELECT coalesce(a.source, d.source) AS source, round(share, 9) AS target_share, round(aim, 9) AS aimed_share, coalesce(n_docs, 0) AS n_docs, 1 AS share_held, 1 AS cap_held FROM a FULL JOIN d ON a.source = d.source""",
     "p3_found": "SELECT run_id, sample, regexp_replace(contig, '^chr', '', 'i') AS contig FROM ancestry_obs WHERE position IS NOT NULL GROUP BY ALL HAVING count(DISTINCT position) > 500",
 }

@@ -50,3 +50,19 @@ def test_empty(spark):
     assert mixed.count() == 0 and shares(mixed, tilts).count() == 1
     mixed, _ = mix(tokens(spark), targets(spark, []))
     assert mixed.agg(F.sum("copies")).first()[0] == 0
+
+
+def test_parts_spread_a_hot_size_and_other_sources_stay_behind(spark):
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("other"), (F.col("id") % 5000).cast("string"))).otherwise("a").alias("source"), F.lit(7).cast("long").alias("n_tokens"), F.lit("x").alias("rate"))
+    mixed, tilts = mix(df, targets(spark, [("a", 1.0, 2)]), total=100_000, part_rows=500, max_sources=5)
+    assert [t.source for t in tilts] == ["a"] and tilts[0].residual < 1e-6 and tilts[0].docs > 13_000
+    assert mixed.count() == 20_000 and mixed.columns == ["doc_id", "source", "n_tokens", "rate", "copies"]
+    assert abs(mixed.agg(F.sum(F.col("copies") * 7)).first()[0] - 100_000) <= 7 * 30
+    assert mixed.where("source <> 'a'").agg(F.max("copies")).first()[0] == 0
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(source" in plan and "__part" in plan.split("hashpartitioning(source")[1][:60]
+
+
+def test_more_targets_than_allowed(spark):
+    with pytest.raises(ValueError, match="more than 1"):
+        mix(tokens(spark), targets(spark, [("big", 0.5, 2), ("mid", 0.5, 2)]), max_sources=1)
