@@ -11,8 +11,10 @@ Plan
     1. Map side, vectorised: every task clusters its rows group by group (numpy over Arrow batches) and emits centroids. What is shuffled
        is at most a few hundred numbers a group and task, so a group with a third of all rows is no hot spot.
     2. Digests are stored per group, and any coarser grouping is merged from them in the JVM: equal centroids are added
-       up map side, then a running weight gives each its cluster.
-    3. Certification counts by (group, value), map side first, and joins the estimates; AQE splits hot groups of the join.
+       up map side, then a running weight gives each its cluster. Groups of very many digests are merged in rounds.
+    3. Certification is a second pass over the rows: each meets the estimates of its group, which are broadcast after their groups are counted,
+       and counts of values below and up to each estimate are added up map side. Its shuffle is groups x tasks x quantiles,
+       for continuous columns as for counts. Beyond ``BROADCAST_GROUPS`` groups values are counted first and joined; the result is the same.
     Groups that miss the bound, if any, are answered exactly from value counts.
 
 Defined results
@@ -36,6 +38,8 @@ from seedwork.session import durable
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 #: Compression (clusters about half as many) and the rank error that is certified. A cluster spans at most pi / DELTA of the ranks.
 DELTA, BOUND, BUFFER_ROWS = 400, 0.01, 1 << 19
+#: Digests merged in one go, and groups whose estimates are broadcast for counting (a few hundred bytes each).
+FAN_IN, BROADCAST_GROUPS = 4096, 50_000
 
 _CENTROID = "array<struct<lo:double,hi:double,mean:double,w:bigint>>"
 
@@ -114,9 +118,21 @@ def digests(df: DataFrame, group: Sequence[str], metrics: Sequence[str], delta:
     return narrow.mapInArrow(run, schema).select(*[F.col(f"g{i}").alias(c) for i, c in enumerate(group)], "metric", "n", "centroids")
 
 
-def merge(parts: DataFrame, group: Sequence[str], delta: int = DELTA) -> DataFrame:
-    """Digests of coarser groups: (group..., metric, n, centroids), from digests of any finer grouping or of separate loads."""
+def merge(parts: DataFrame, group: Sequence[str], delta: int = DELTA, fan_in: int = FAN_IN) -> DataFrame:
+    """Digests of coarser groups: (group..., metric, n, centroids), from digests of any finer grouping or of separate loads.
+
+    No merge takes more than about ``fan_in`` digests at once: larger groups are first merged in hashed shares, and these again.
+    """
     by = [*group, "metric"]
+    parts = parts.select(*by, "centroids")
+    most = parts.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    while most > fan_in:
+        most = -(-most // fan_in)
+        parts = _merge(parts.withColumn("__share", F.pmod(F.xxhash64("centroids"), F.lit(most))), [*by, "__share"], delta)
+    return _merge(parts, by, delta)
+
+
+def _merge(parts: DataFrame, by: list[str], delta: int) -> DataFrame:
     flat = parts.select(*by, F.inline("centroids"))
     flat = flat.groupBy(*by, "lo", "hi", "mean").agg(F.sum("w").alias("w"))
     whole = Window.partitionBy(*by)
@@ -159,13 +175,41 @@ def value_counts(df: DataFrame, group: Sequence[str], metrics: Sequence[str], fl
     return long.groupBy(*group, "metric", "value").agg(F.count(F.lit(1)).alias("k"))
 
 
-def certify(counts: DataFrame, estimates: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Adds ``rank_error`` to the estimates from exact counts below and up to each."""
+def _ranks_broadcast(df: DataFrame, estimates: DataFrame, group: Sequence[str], metrics: Sequence[str], floor: float | None) -> DataFrame:
+    """(group..., metric, n, q, estimate, below, upto), counted map side: a row of ``df`` meets the few estimates of its group and only counts are shuffled."""
+    item = F.struct("q", "estimate", "n")
+    wide = estimates.groupBy(*group).agg(*[F.sort_array(F.collect_list(F.when(F.col("metric") == m, item))).alias(f"__e{i}") for i, m in enumerate(metrics)])
+    width = max([0, *(wide.agg(*[F.max(F.size(f"__e{i}")) for i in range(len(metrics))]).first() or [])], key=lambda x: x or 0) or 0
+    on = [F.col(f"v.{c}").eqNullSafe(F.col(f"w.{c}")) for c in group]
+    rows = df.select(*group, *[F.col(m).cast("double").alias(f"__v{i}") for i, m in enumerate(metrics)])
+    met = rows.alias("v").join(F.broadcast(wide).alias("w"), on).select(*[F.col(f"w.{c}").alias(c) for c in group], *[F.col(f"w.__e{i}") for i in range(len(metrics))], *[F.col(f"v.__v{i}") for i in range(len(metrics))])
+    sums = []
+    for i in range(len(metrics)):
+        v = F.col(f"__v{i}")
+        ok = v.isNotNull() if floor is None else v >= floor
+        for k in range(width):
+            e = F.get(f"__e{i}", F.lit(k))["estimate"]
+            sums += [F.count_if(ok & (v < e)).alias(f"__b{i}_{k}"), F.count_if(ok & (v <= e)).alias(f"__u{i}_{k}")]
+    if not sums:
+        return estimates.select("*", F.lit(0).cast("long").alias("below"), F.lit(0).cast("long").alias("upto"))
+    counted = met.groupBy(*group).agg(*[F.first(f"__e{i}").alias(f"__e{i}") for i in range(len(metrics))], *sums)
+    told = F.concat(*[F.array_compact(F.array(*[F.when(F.size(f"__e{i}") > k, F.struct(F.lit(m).alias("metric"), F.get(f"__e{i}", F.lit(k)).alias("e"), F.col(f"__b{i}_{k}").alias("below"), F.col(f"__u{i}_{k}").alias("upto"))) for k in range(width)])) for i, m in enumerate(metrics)])
+    return counted.select(*group, F.inline(told)).select(*group, "metric", "e.n", "e.q", "e.estimate", "below", "upto")
+
+
+def _ranks_joined(counts: DataFrame, estimates: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The same for more groups than are broadcast: values are counted map side first, and a shuffled join brings them to the estimates."""
     by = [*group, "metric"]
     wide = estimates.groupBy(*by, "n").agg(F.sort_array(F.collect_list(F.struct("q", "estimate"))).alias("e"))
     on = [F.col(f"v.{c}").eqNullSafe(F.col(f"w.{c}")) for c in by]
     met = counts.alias("v").join(wide.alias("w"), on).select(*[F.col(f"w.{c}").alias(c) for c in by], "n", "value", "k", F.inline("e"))
-    ranks = met.groupBy(*by, "n", "q", "estimate").agg(F.sum(F.when(F.col("value") < F.col("estimate"), F.col("k")).otherwise(0)).alias("below"), F.sum(F.when(F.col("value") <= F.col("estimate"), F.col("k")).otherwise(0)).alias("upto"))
+    return met.groupBy(*by, "n", "q", "estimate").agg(F.sum(F.when(F.col("value") < F.col("estimate"), F.col("k")).otherwise(0)).alias("below"), F.sum(F.when(F.col("value") <= F.col("estimate"), F.col("k")).otherwise(0)).alias("upto"))
+
+
+def certify(df: DataFrame, estimates: DataFrame, group: Sequence[str], metrics: Sequence[str], floor: float | None = 0.0, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
+    """Adds ``rank_error`` to the estimates, from a second pass over the rows that counts those below and up to each."""
+    few = estimates.select(*group).distinct().limit(broadcast_groups + 1).count() <= broadcast_groups
+    ranks = _ranks_broadcast(df, estimates, group, metrics, floor) if few else _ranks_joined(value_counts(df, group, metrics, floor), estimates, group)
     aim = F.greatest(F.lit(1.0), F.ceil(F.col("n") * F.col("q") - 1e-9).cast("double"))
     # The estimate stands at ranks below + 1 .. max(upto, below + 1), or between two values at below + 0.5.
     off = F.greatest(F.lit(0.0), F.col("below") + F.when(F.col("upto") > F.col("below"), 1.0).otherwise(0.0) - aim, aim - F.greatest("upto", F.col("below") + F.when(F.col("upto") > F.col("below"), 1).otherwise(1)))
@@ -188,10 +232,11 @@ def exact(counts: DataFrame, group: Sequence[str], quantiles: Sequence[float]) -
 def percentiles(df: DataFrame, parts: DataFrame, group: Sequence[str], metrics: Sequence[str], quantiles: Sequence[float] = QUANTILES, delta: int = DELTA, bound: float = BOUND, floor: float | None = 0.0) -> DataFrame:
     """Certified percentiles of ``df`` per group from the stored digests ``parts``: group..., metric, n, q, estimate, rank_error, error_bound."""
     by = [*group, "metric"]
-    counts = value_counts(df, group, metrics, floor)
-    checked = durable(certify(counts, estimate(merge(parts, group, delta), quantiles), group))
+    estimates = durable(estimate(merge(parts, group, delta), quantiles))  # read for its groups and for the counting
+    checked = durable(certify(df, estimates, group, metrics, floor))
     missed = checked.where(F.col("rank_error") > bound).select(*by).distinct()
     if not missed.isEmpty():
+        counts = value_counts(df, group, metrics, floor)
         on = [F.col(f"a.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by]
         again = exact(counts.alias("a").join(missed.alias("m"), on, "left_semi"), group, quantiles)
         checked = checked.alias("a").join(missed.alias("m"), on, "left_anti").unionByName(again)
