@@ -9,7 +9,7 @@ from seedwork.llm.abuse import THRESHOLD, rates, score
 from seedwork.llm.bpe import count_tokens, encode
 from seedwork.llm.digest import digests, percentiles
 from seedwork.llm.mixing import Tilt, mix, shares
-from seedwork.llm.tracks import split_tracks
+from seedwork.llm.tracks import cut_tracks, marker_bins, split_tracks
 from seedwork.session import durable, table
 
 _METRICS = ("ref_count", "alt_count")
@@ -45,9 +45,8 @@ def p3_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Tracks that had to be cut: those with a first piece."""
-    pieces = split_tracks(table(spark, sf, "ancestry_obs"))
-    return pieces.where((F.col("block") == 0) & (F.col("piece") == 0)).select("run_id", "sample", "contig")
+    """Tracks that had to be cut: those with a first piece. Positions are not looked up."""
+    return cut_tracks(marker_bins(table(spark, sf, "ancestry_obs"))).where(F.col("piece") == 0).select("run_id", "sample", "contig")
 
 
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,17 +7,17 @@ offsets give each piece the last markers of the one before. All of it is SQL arr
 
 Plan for skew
     1. Positions are collected as sets per (track, bin of ``bin_width`` bases): duplicates, repeated rows and spellings of a contig
-       collapse before the shuffle, and no set can exceed the bin's width however many rows a track has.
-    2. The bins' sizes alone (no positions) are summed along each track. A track over ``limit`` is cut; one of more than
-       ``block`` markers is dealt with in several blocks of whole bins. Only the bins that hold the last
-       ``overlap`` markers of a block also go to the next block.
-    3. Each block is one row with at most ``block`` markers plus one bin, so no task holds more than that at once.
+       collapse before the shuffle, and no set can exceed the bin's width however many rows a track has. The bins are written once.
+    2. A bin's inner gaps become letters where it lies. Along a track only these strings travel, one byte a marker, with the bins' ends, from
+       which the letters between bins come. A track's string is cut as a whole, so its length changes nothing in the rule.
+    3. A piece is a range of marker numbers; it goes to the one or few bins it reaches by an equality join, which gives it its positions. No
+       row ever holds more positions than a bin, and no more than ``limit`` come together for a piece.
 
 Defined results
     * rows with a null position are no markers; a null run, sample or contig is a value like any other
     * a leading ``chr`` of a contig, in any case, is dropped; nothing else of its spelling counts
     * repeated positions of a track count once; tracks of at most ``limit`` different positions give nothing
-    * pieces of a track are ordered by (block, piece), both from 0; block borders of very long tracks are cuts of kind ``block``
+    * pieces of a track are numbered from 0
     * an empty table gives no rows; extra columns are not read
 """
 
@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seedwork.session import durable
+
 TRACK = ("run_id", "sample", "contig")
 
 
@@ -53,74 +55,60 @@ def _same(a: str, b: str, names: Sequence[str]) -> list[Column]:
     return [F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in names]
 
 
-def split_tracks(obs: DataFrame, limit: int = 500, overlap: int = 20, gaps: Sequence[int] = (1_000_000, 100_000, 10_000), bin_width: int = 1 << 22, block: int = 200_000) -> DataFrame:
-    """Pieces of the tracks with more than ``limit`` different positions.
+def marker_bins(obs: DataFrame, bin_width: int = 1 << 22) -> DataFrame:
+    """(run_id, sample, contig, bin, offs): the different positions of each bin of a track, as ordered offsets."""
+    marks = obs.select("run_id", "sample", contig_name(F.col("contig")).alias("contig"), F.floor(F.col("position") / bin_width).alias("bin"), F.col("position")).where(F.col("position").isNotNull())
+    marks = marks.withColumn("off", (F.col("position") - F.col("bin") * bin_width).cast("int")).drop("position")
+    return marks.groupBy(*TRACK, "bin").agg(F.array_sort(F.collect_set("off")).alias("offs"))
 
-    Columns: run_id, sample, contig, block, piece, n_markers (overlap included), n_overlap, first_position, last_position,
-    cut (``gap_1`` for the widest class, ..., ``limit``, ``block`` or ``end``), positions.
-    """
+
+def cut_tracks(bins: DataFrame, limit: int = 500, overlap: int = 20, gaps: Sequence[int] = (1_000_000, 100_000, 10_000), bin_width: int = 1 << 22) -> DataFrame:
+    """Where the tracks with more than ``limit`` different positions are cut: run_id, sample, contig, piece, at, n (its own markers are
+    numbers at .. at + n - 1 of the track), cut (``gap_1`` for the widest class, ..., ``limit`` or ``end``) and bins (bin, before) of the track."""
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and under the limit")
-    marks = obs.select("run_id", "sample", contig_name(F.col("contig")).alias("contig"), F.floor(F.col("position") / bin_width).alias("bin"), F.col("position")).where(F.col("position").isNotNull())
-    marks = marks.withColumn("off", (F.col("position") - F.col("bin") * bin_width).cast("int")).drop("position")
-    bins = marks.groupBy(*TRACK, "bin").agg(F.array_sort(F.collect_set("off")).alias("offs"))
 
+    def letter(gap: Column) -> Column:
+        got = F.lit("z")
+        for i, width in reversed(list(enumerate(sorted(gaps, reverse=True)))):
+            got = F.when(gap >= width, chr(ord("a") + i)).otherwise(got)
+        return got
+
+    inner = F.zip_with(F.slice("offs", F.lit(1), F.size("offs") - 1), F.slice("offs", F.lit(2), F.size("offs")), lambda a, b: letter(b - a))
+    at = lambda i: F.col("bin") * bin_width + F.element_at("offs", i)
+    light = bins.select(*TRACK, "bin", F.size("offs").cast("long").alias("n"), at(1).alias("first"), at(-1).alias("last"), F.array_join(inner, "").alias("inner"))
     track = Window.partitionBy(*TRACK)
-    sizes = bins.select(*TRACK, "bin", F.size("offs").cast("long").alias("n"))
-    summed = sizes.withColumn("total", F.sum("n").over(track)).withColumn("before", F.coalesce(F.sum("n").over(track.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    placed = summed.where(F.col("total") > limit).withColumn("block", (F.dense_rank().over(track.orderBy(F.floor(F.col("before") / block))) - 1).cast("long"))
-    in_block = Window.partitionBy(*TRACK, "block").orderBy("bin")
-    after = F.coalesce(F.sum("n").over(in_block.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
-    last = F.max("block").over(track)
-    goes = F.array_compact(F.array(F.struct("block", F.lit(False).alias("lead")), F.when((after < overlap) & (F.col("block") < last), F.struct((F.col("block") + 1).alias("block"), F.lit(True).alias("lead")))))
-    sent = placed.select(*TRACK, "bin", goes.alias("goes"), (F.col("block") == last).alias("is_last"))
-
-    met = bins.alias("b").join(sent.alias("s"), _same("b", "s", [*TRACK, "bin"]))
-    rows = met.select(*[F.col(f"b.{c}").alias(c) for c in (*TRACK, "bin", "offs")], "is_last", F.explode("goes").alias("to"))
-    blocks = rows.groupBy(*TRACK, F.col("to.block").alias("block")).agg(
-        F.array_sort(F.collect_list(F.when(~F.col("to.lead"), F.struct("bin", "offs")))).alias("own"),
-        F.array_sort(F.collect_list(F.when(F.col("to.lead"), F.struct("bin", "offs")))).alias("lead"),
-        F.bool_or(F.col("is_last") & ~F.col("to.lead")).alias("is_last"),
-    )
-
-    def flat(parts: str) -> Column:
-        return F.flatten(F.transform(parts, lambda p: F.transform(p["offs"], lambda o: p["bin"] * bin_width + o)))
-
-    letters = F.lit("z")
-    held = blocks.select(*TRACK, "block", "is_last", flat("own").alias("own"), flat("lead").alias("lead"))
-    held = held.withColumn("lead", F.slice("lead", F.greatest(F.size("lead") - overlap + 1, F.lit(1)), F.lit(overlap)))
-    pairs = F.zip_with(F.slice("own", F.lit(1), F.size("own") - 1), F.slice("own", F.lit(2), F.size("own")), lambda a, b: b - a)
-    for i, width in reversed(list(enumerate(sorted(gaps, reverse=True)))):
-        letters = _letter(letters, width, chr(ord("a") + i))
-    held = held.withColumn("text", F.concat(F.array_join(F.transform(pairs, letters), ""), F.lit("z")))
-    later = limit - overlap
-    start, rest = cut_pattern(limit, later, len(gaps)), cut_pattern(0, later, len(gaps))
-    found = F.when(F.col("block") == 0, F.regexp_extract_all("text", F.lit(start), F.lit(0))).otherwise(F.regexp_extract_all("text", F.lit(rest), F.lit(0)))
-    held = held.withColumn("found", found).drop("text")
-    # (start, length, last letter) of each piece; starts are running sums.
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,n:int,c:string>>").alias("done"))
-    runs = F.aggregate("found", zero, lambda acc, p: F.struct((acc["at"] + F.length(p)).alias("at"), F.concat(acc["done"], F.array(F.struct(acc["at"].alias("at"), F.length(p).alias("n"), F.right(p, F.lit(1)).alias("c")))).alias("done")), lambda acc: acc["done"])
-    cuts = held.select(*TRACK, "block", "is_last", "own", "lead", F.posexplode(runs).alias("piece", "p"), F.size("own").alias("size"))
-    back = F.when(F.col("piece") == 0, F.size("lead")).otherwise(F.least(F.col("p.at"), F.lit(overlap)))
-    lookback = F.when(F.col("piece") == 0, F.col("lead")).otherwise(F.slice("own", F.col("p.at") - back + 1, back))
-    positions = F.concat(lookback, F.slice("own", F.col("p.at") + 1, F.col("p.n")))
-    # A piece shorter than the overlap after a block border looks back into the lead as well.
-    short = (F.col("piece") > 0) & (F.col("p.at") < overlap) & (F.size("lead") > 0)
-    need = F.greatest(F.least(F.lit(overlap) - F.col("p.at"), F.size("lead")), F.lit(0))
-    positions = F.when(short, F.concat(F.slice("lead", F.size("lead") - need + 1, need), positions)).otherwise(positions)
-    ended = F.col("p.at") + F.col("p.n") == F.col("size")
-    by_gap = F.lit("limit")
+    line = track.orderBy("bin")
+    held = light.withColumn("total", F.sum("n").over(track)).withColumn("before", F.coalesce(F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("gap", F.col("first") - F.lag("last").over(line))
+    own = F.concat(F.when(F.col("gap").isNull(), "").otherwise(letter(F.col("gap"))), "inner")
+    whole = held.where(F.col("total") > limit).groupBy(*TRACK).agg(F.array_sort(F.collect_list(F.struct("bin", "before", own.alias("own")))).alias("b"))
+    text = F.concat(F.array_join(F.transform("b", lambda x: x["own"]), ""), F.lit("z"))
+    pieces = whole.select(*TRACK, F.transform("b", lambda x: F.struct(x["bin"].alias("bin"), x["before"].alias("before"))).alias("bins"), F.posexplode(F.regexp_extract_all(text, F.lit(cut_pattern(limit, limit - overlap, len(gaps))), F.lit(0))).alias("piece", "p"))
+    by_piece = Window.partitionBy(*TRACK).orderBy("piece")
+    pieces = pieces.withColumn("n", F.length("p")).withColumn("at", F.coalesce(F.sum("n").over(by_piece.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    kind = F.lit("limit")
     for i in range(len(gaps)):
-        by_gap = F.when(F.col("p.c") == chr(ord("a") + i), f"gap_{i + 1}").otherwise(by_gap)
-    kind = F.when(ended & F.col("is_last"), "end").when(ended, "block").otherwise(by_gap)
-    out = cuts.select(*TRACK, "block", F.col("piece").cast("long").alias("piece"), positions.alias("positions"), F.col("p.n").alias("fresh"), kind.alias("cut"))
-    return out.select(*TRACK, "block", "piece", F.size("positions").alias("n_markers"), (F.size("positions") - F.col("fresh")).alias("n_overlap"), F.element_at("positions", 1).alias("first_position"), F.element_at("positions", -1).alias("last_position"), "cut", "positions")
+        kind = F.when(F.right("p", F.lit(1)) == chr(ord("a") + i), f"gap_{i + 1}").otherwise(kind)
+    kind = F.when(F.lead("piece").over(by_piece).isNull(), "end").otherwise(kind)
+    return pieces.select(*TRACK, F.col("piece").cast("long").alias("piece"), "at", "n", kind.alias("cut"), "bins")
 
 
-def _letter(inner, width: int, letter: str):
-    """A function of a gap that gives ``letter`` from ``width`` on and else what ``inner`` gives."""
-
-    def f(gap: Column) -> Column:
-        return F.when(gap >= width, letter).otherwise(inner(gap) if callable(inner) and not isinstance(inner, Column) else inner)
+def split_tracks(obs: DataFrame, limit: int = 500, overlap: int = 20, gaps: Sequence[int] = (1_000_000, 100_000, 10_000), bin_width: int = 1 << 22) -> DataFrame:
+    """Pieces of the tracks with more than ``limit`` different positions.
 
-    return f
+    Columns: run_id, sample, contig, piece, n_markers (overlap included), n_overlap, first_position, last_position, cut, positions.
+    """
+    bins = durable(marker_bins(obs, bin_width))
+    cuts = cut_tracks(bins, limit, overlap, gaps, bin_width)
+    back = F.least(F.lit(overlap), F.col("at")).cast("int")
+    cuts = cuts.withColumn("back", back).withColumn("from", F.col("at") - F.col("back")).withColumn("to", F.col("at") + F.col("n"))
+    # The bins a piece reaches: those that begin before its end, from the last one on that begins at or before its start.
+    begun = F.filter("bins", lambda b: b["before"] < F.col("to"))
+    reached = F.slice(begun, F.greatest(F.size(F.filter(begun, lambda b: b["before"] <= F.col("from"))), F.lit(1)), F.size(begun))
+    asked = cuts.select(*TRACK, "piece", "cut", "back", "from", "to", F.explode(reached).alias("b")).select(*TRACK, "piece", "cut", "back", "from", "to", "b.bin", "b.before")
+    met = asked.alias("a").join(bins.alias("b"), _same("a", "b", [*TRACK, "bin"])).select("a.*", "b.offs")
+    low = F.greatest(F.col("from") - F.col("before"), F.lit(0))
+    part = F.transform(F.slice("offs", (low + 1).cast("int"), (F.least(F.col("to") - F.col("before"), F.size("offs").cast("long")) - low).cast("int")), lambda o: F.col("bin") * bin_width + o)
+    got = met.select(*TRACK, "piece", "cut", "back", F.struct("bin", part.alias("ps")).alias("x")).groupBy(*TRACK, "piece", "cut", "back").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    out = got.withColumn("positions", F.flatten(F.transform("xs", lambda x: x["ps"])))
+    return out.select(*TRACK, "piece", F.size("positions").alias("n_markers"), F.col("back").alias("n_overlap"), F.element_at("positions", 1).alias("first_position"), F.element_at("positions", -1).alias("last_position"), "cut", "positions")
