@@ -72,30 +72,33 @@ def spans(parents: DataFrame, key: str, begin: str, end: str) -> DataFrame:
     return known.join(merged, "__key", "left")
 
 
-def find_orphans(refs: DataFrame, parents: DataFrame, *, ref: str, at: str, key: str, begin: str, end: str, rate: float = 0.01, max_bits: int = 1 << 26, broadcast_keys: int = 200_000, nothing: tuple[str, ...] = ("", "NA")) -> DataFrame:
+def find_orphans(refs: DataFrame, parents: DataFrame, *, ref: str, at: str, key: str, begin: str, end: str, rate: float = 0.01, max_bits: int = 1 << 26, broadcast_rows: int = 200_000, nothing: tuple[str, ...] = ("", "NA")) -> DataFrame:
     """The rows of ``refs`` whose reference is not sound, with the column ``kind`` added.
 
     ``ref`` and ``key`` are trimmed of blanks here. The exact join broadcasts the parents' spans only if there are at most
-    ``broadcast_keys`` of them (counted, not guessed); otherwise it is a shuffled join in which AQE splits hot keys.
+    ``broadcast_rows`` parent rows (counted, not guessed, and spans are no more); otherwise it is a shuffled join in which AQE splits hot keys.
     """
     parents = parents.select(F.trim(F.col(key)).alias("__pk"), F.col(begin).alias("__pb"), F.col(end).alias("__pe")).where(F.col("__pk").isNotNull())
-    n = parents.select("__pk").distinct().count()
-    bits, hashes = bloom_size(n, rate, max_bits)
+    size = parents.agg(F.count_distinct("__pk").alias("keys"), F.count(F.lit(1)).alias("rows")).first()
+    bits, hashes = bloom_size(size["keys"], rate, max_bits)
     words = bloom_words(parents.select("__pk").distinct(), "__pk", bits, hashes).scalar()
+    dim = spans(parents, "__pk", "__pb", "__pe")
 
     live = refs.withColumn("__ref", F.trim(F.col(ref))).where(F.col("__ref").isNotNull() & ~F.col("__ref").isin(*nothing))
-    tested = live.withColumn("__maybe", may_contain(words, F.col("__ref"), bits, hashes))
-    proven = tested.where(~F.col("__maybe")).withColumn("kind", F.lit("missing"))
-
-    dim = spans(parents, "__pk", "__pb", "__pe")
-    dim = F.broadcast(dim) if n <= broadcast_keys else dim
+    live = live.withColumn("__asked", F.when(may_contain(words, F.col("__ref"), bits, hashes), F.col("__ref")))
+    if size["rows"] <= broadcast_rows:
+        # References that the filter rules out ask for nothing and meet nothing: one pass over the references, no shuffle.
+        held = live.join(F.broadcast(dim), F.col("__asked") == F.col("__key"), "left")
+    else:
+        # They stay out of the shuffled join, where they would all meet in one task.
+        held = live.where(F.col("__asked").isNotNull()).join(dim, F.col("__asked") == F.col("__key"), "left")
+        proven = live.where(F.col("__asked").isNull()).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema])
+        held = held.unionByName(proven)
     t = F.col(at).cast("timestamp_ntz")
-    held = tested.where("__maybe").join(dim, F.col("__ref") == F.col("__key"), "left")
     sound = F.exists(F.coalesce("__spans", F.array().cast(dim.schema["__spans"].dataType)), lambda s: (s["b"] <= t) & (s["e"] > t))
     late = ~F.col("__no_begin") & (F.col("__first") > t)
     kind = F.when(F.col("__key").isNull(), "missing").when(F.coalesce(sound, F.lit(False)), None).when(F.coalesce(late, F.lit(False)), "late").otherwise("deleted")
-    verified = held.withColumn("kind", kind).where(F.col("kind").isNotNull()).drop("__key", "__first", "__no_begin", "__spans")
-    return proven.unionByName(verified).drop("__ref", "__maybe")
+    return held.withColumn("kind", kind).where(F.col("kind").isNotNull()).drop("__key", "__first", "__no_begin", "__spans", "__ref", "__asked")
 
 
 def orphans_by_period(orphans: DataFrame, table: str, at: str) -> DataFrame:

@@ -49,7 +49,7 @@ def test_against_brute_force_with_and_without_broadcast_and_with_a_tiny_filter(s
         return "late" if all(a is not None and a > t for a, _ in own) else "deleted"
 
     want = [(i, kind(k, t)) for i, (k, t) in enumerate(rs) if kind(k, t)]
-    for kw in ({}, {"broadcast_keys": 0}, {"max_bits": 64}):
+    for kw in ({}, {"broadcast_rows": 0}, {"max_bits": 64}):
         assert found(refs(spark, rs), parents(spark, ps), **kw) == want
 
 
