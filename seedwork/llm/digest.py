@@ -39,7 +39,7 @@ QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 #: Compression (clusters about half as many) and the rank error that is certified. A cluster spans at most pi / DELTA of the ranks.
 DELTA, BOUND, BUFFER_ROWS = 400, 0.01, 1 << 19
 #: Digests merged in one go, and groups whose estimates are broadcast for counting (a few hundred bytes each).
-FAN_IN, BROADCAST_GROUPS = 4096, 50_000
+FAN_IN, BROADCAST_GROUPS = 4096, 20_000
 
 _CENTROID = "array<struct<lo:double,hi:double,mean:double,w:bigint>>"
 
@@ -179,22 +179,21 @@ def _ranks_broadcast(df: DataFrame, estimates: DataFrame, group: Sequence[str],
     """(group..., metric, n, q, estimate, below, upto), counted map side: a row of ``df`` meets the few estimates of its group and only counts are shuffled."""
     item = F.struct("q", "estimate", "n")
     wide = estimates.groupBy(*group).agg(*[F.sort_array(F.collect_list(F.when(F.col("metric") == m, item))).alias(f"__e{i}") for i, m in enumerate(metrics)])
-    width = max([0, *(wide.agg(*[F.max(F.size(f"__e{i}")) for i in range(len(metrics))]).first() or [])], key=lambda x: x or 0) or 0
-    on = [F.col(f"v.{c}").eqNullSafe(F.col(f"w.{c}")) for c in group]
-    rows = df.select(*group, *[F.col(m).cast("double").alias(f"__v{i}") for i, m in enumerate(metrics)])
-    met = rows.alias("v").join(F.broadcast(wide).alias("w"), on).select(*[F.col(f"w.{c}").alias(c) for c in group], *[F.col(f"w.__e{i}") for i in range(len(metrics))], *[F.col(f"v.__v{i}") for i in range(len(metrics))])
-    sums = []
-    for i in range(len(metrics)):
-        v = F.col(f"__v{i}")
-        ok = v.isNotNull() if floor is None else v >= floor
-        for k in range(width):
-            e = F.get(f"__e{i}", F.lit(k))["estimate"]
-            sums += [F.count_if(ok & (v < e)).alias(f"__b{i}_{k}"), F.count_if(ok & (v <= e)).alias(f"__u{i}_{k}")]
-    if not sums:
+    width = max([x or 0 for x in wide.agg(*[F.max(F.size(f"__e{i}")) for i in range(len(metrics))]).first()], default=0)
+    places = [(i, k) for i in range(len(metrics)) for k in range(width)]
+    if not places:
         return estimates.select("*", F.lit(0).cast("long").alias("below"), F.lit(0).cast("long").alias("upto"))
-    counted = met.groupBy(*group).agg(*[F.first(f"__e{i}").alias(f"__e{i}") for i in range(len(metrics))], *sums)
-    told = F.concat(*[F.array_compact(F.array(*[F.when(F.size(f"__e{i}") > k, F.struct(F.lit(m).alias("metric"), F.get(f"__e{i}", F.lit(k)).alias("e"), F.col(f"__b{i}_{k}").alias("below"), F.col(f"__u{i}_{k}").alias("upto"))) for k in range(width)])) for i, m in enumerate(metrics)])
-    return counted.select(*group, F.inline(told)).select(*group, "metric", "e.n", "e.q", "e.estimate", "below", "upto")
+    same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in group]
+    # The rows meet plain numbers; which quantile each is comes back from the short table afterwards.
+    flat = wide.select(*group, *[F.get(f"__e{i}", F.lit(k))["estimate"].alias(f"__e{i}_{k}") for i, k in places])
+    rows = df.select(*group, *[F.col(m).cast("double").alias(f"__v{i}") for i, m in enumerate(metrics)])
+    if floor is not None:
+        rows = rows.withColumns({f"__v{i}": F.when(F.col(f"__v{i}") >= floor, F.col(f"__v{i}")) for i in range(len(metrics))})
+    met = rows.alias("v").join(F.broadcast(flat).alias("w"), same("v", "w")).select(*[F.col(f"w.{c}").alias(c) for c in group], *[F.col(f"w.__e{i}_{k}") for i, k in places], *[F.col(f"v.__v{i}") for i in range(len(metrics))])
+    counted = met.groupBy(*group).agg(*[f(F.col(f"__v{i}"), F.col(f"__e{i}_{k}")).alias(f"__{name}{i}_{k}") for i, k in places for name, f in (("b", lambda v, e: F.count_if(v < e)), ("u", lambda v, e: F.count_if(v <= e)))])
+    held = counted.alias("c").join(wide.alias("w"), same("c", "w")).select("c.*", *[F.col(f"w.__e{i}") for i in range(len(metrics))])
+    told = F.array_compact(F.array(*[F.when(F.size(f"__e{i}") > k, F.struct(F.lit(metrics[i]).alias("metric"), F.get(f"__e{i}", F.lit(k)).alias("e"), F.col(f"__b{i}_{k}").alias("below"), F.col(f"__u{i}_{k}").alias("upto"))) for i, k in places]))
+    return held.select(*group, F.inline(told)).select(*group, "metric", "e.n", "e.q", "e.estimate", "below", "upto")
 
 
 def _ranks_joined(counts: DataFrame, estimates: DataFrame, group: Sequence[str]) -> DataFrame:
