@@ -69,11 +69,14 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    """Per source: documents, shares wanted, and whether what came out holds the share aimed at (0.5 per cent of the total) and the cap."""
-    got = shares(*_mixed(spark, sf)).join(table(spark, sf, "source_targets").groupBy("source").agg(F.min("max_repeats").alias("cap")), "source", "left")
-    near = F.abs(F.coalesce("actual_share", F.lit(0.0)) - F.coalesce("aimed_share", F.lit(0.0))) <= 0.005
+    """Per source: documents, shares wanted, and whether what came out is within its largest document of the tokens aimed at, and within the cap."""
+    mixed, tilts = _mixed(spark, sf)
+    goals = spark.createDataFrame([(t.source, t.goal, t.cap) for t in tilts], "source string, goal double, cap int")
+    largest = mixed.groupBy("source").agg(F.max("n_tokens").alias("largest"))
+    got = shares(mixed, tilts).join(goals, "source", "left").join(largest, "source", "left")
+    near = F.abs(F.col("tokens") - F.coalesce("goal", F.lit(0.0))) <= F.coalesce("largest", F.lit(0))
     capped = F.col("most_copies") <= F.coalesce("cap", F.lit(0))
-    return got.select("source", F.round("target_share", 9).alias("target_share"), F.round("aimed_share", 9).alias("aimed_share"), "n_docs", near.cast("int").alias("share_held"), capped.cast("int").alias("cap_held"))
+    return got.select("source", F.round("target_share", 9).alias("target_share"), F.round("aimed_share", 9).alias("aimed_share"), "n_docs", F.when(F.col("source").isNull(), 1).otherwise(near.cast("int")).alias("share_held"), capped.cast("int").alias("cap_held"))
 
 
 def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
