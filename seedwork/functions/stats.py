@@ -26,13 +26,10 @@ def clip(x: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(x, F.lit(low)), F.lit(high))
 
 
-def log_sum_exp(terms: Sequence[Column]) -> Column:
-    """Unrolled, so that code generation shares the terms instead of rebuilding an array per element."""
-    top = F.greatest(*terms)
-    total = F.exp(terms[0] - top)
-    for t in terms[1:]:
-        total = total + F.exp(t - top)
-    return top + F.log(total)
+def log_sum_exp(values: Column) -> Column:
+    """log(sum(exp(v))) of an array of doubles, free of overflow."""
+    top = F.array_max(values)
+    return top + F.log(F.aggregate(values, F.lit(0.0), lambda s, v: s + F.exp(v - top)))
 
 
 def binomial_log(a: Column, n: Column, p: Column, floor: float = 1e-9) -> Column:
@@ -72,8 +69,13 @@ def binomial_upper_tail(a: Column, n: Column, p: Column | float) -> Column:
     return F.when(a <= 0, F.lit(1.0)).when(a > n, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.exp(first + F.log(run))))
 
 
-def upper_median(values: Column) -> Column:
-    """Aggregate: the element at place len // 2 of the sorted values (not the mean of the middle two)."""
+def upper_median(values: Column | str) -> Column:
+    """Aggregate: the element at place len // 2 of the sorted values (not the mean of the middle two).
+
+    By a column's name it counts the different values map side; a column expression is collected, which suits groups of few rows.
+    """
+    if isinstance(values, str):
+        return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {values} DESC)")
     kept = F.array_sort(F.collect_list(values))
     return F.get(kept, F.floor(F.size(kept) / 2).cast("int"))
 

@@ -12,7 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seedwork.functions.stats import binomial_log, binomial_upper_tail, clip, logit, sigmoid
+from seedwork.functions.stats import binomial_log, binomial_upper_tail, clip, log_sum_exp, logit, sigmoid, upper_median
+from seedwork.operators.labels import enforce
+from seedwork.session import sized
 
 SITE = ("chrom", "pos", "ref", "alt")
 _BASE = r"\A[ACGTN]\z"
@@ -44,21 +46,31 @@ def union_per_donor(union: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class GapOptions:
-    """Step 1 and step 2. ``scope`` and ``source`` choose the prior as the callers name them."""
+    """Step 1 and step 2.
+
+    ``source`` of the prior: ``other_donors`` (their calls, weighed with the donor's own rate of sharing), ``mu_only`` (that rate) or
+    ``fixed``. ``scope``: ``all`` donors or those of the ``same_taxon``.
+    """
 
     posterior: float = 0.999
     weight: float = 2.0
     llr_ref: float = -4.0
     ref_depth: int = 12
     source: str = "other_donors"
+    scope: str = "all"
     fixed: float = 0.5
-    blocked: tuple[str, ...] = ("hidepth", "af_gt_half", "inconsistent")
+    blocked: tuple[str, ...] = ("hidepth", "af_gt_half")
     alpha: float = 1.0
     beta: float = 200.0
     x0_p: float = 0.01
     x0_alt: int = 1
     ks_floor: float = 0.02
 
+    def __post_init__(self) -> None:
+        for name, value, known in (("source", self.source, ("other_donors", "mu_only", "fixed")), ("scope", self.scope, ("all", "same_taxon"))):
+            if value not in known:
+                raise ValueError(f"{name} is {value!r}, not one of {', '.join(known)}")
+
 
 def gap_rows(union: DataFrame, joint: DataFrame, donors: DataFrame) -> DataFrame:
     """Run donors x bi-allelic union alleles, with the joint scoring row where there is one, and whether the donor carries the allele.
@@ -83,17 +95,30 @@ def sharing_rates(rows: DataFrame, o: GapOptions = GapOptions()) -> DataFrame:
     return got.withColumn("mu", (F.col("gap_a") + 0.5) / (F.col("gap_a") + F.col("gap_ref") + 1))
 
 
-def leave_one_out(rows: DataFrame, o: GapOptions = GapOptions()) -> DataFrame:
+def leave_one_out(rows: DataFrame, o: GapOptions = GapOptions(), taxa: DataFrame | None = None) -> DataFrame:
     """Gaps with k (other donors that carry the allele), m (k and other donors that call REF) and the prior.
 
-    A run donor calls REF by the rule on its joint row, a reference donor by the union's list. Own contributions are taken off the totals.
+    A run donor calls REF by the rule on its joint row, a reference donor by the union's list. Own contributions are taken off the totals. With
+    the scope ``same_taxon`` (``taxa``: donor, taxon) totals are by taxon; a donor without one has no prior donors, so its prior is its rate of sharing.
     """
-    here = Window.partitionBy(*SITE)
     ref_call = (~F.col("own") & _ref_rule(o)).cast("int")
-    k = F.size("carriers") - F.col("own").cast("int")
-    m = k + F.size(F.array_except("ref_donors", "carriers")) + F.sum(ref_call).over(here) - ref_call
-    held = rows.withColumn("k", k.cast("long")).withColumn("m", m.cast("long")).where(~F.col("own"))
-    held = held.join(F.broadcast(sharing_rates(rows, o).select("donor", "mu")), "donor")  # one row a donor
+    if o.scope == "same_taxon":
+        if taxa is None:
+            raise ValueError("the scope same_taxon needs the taxa of the donors")
+        kinds = taxa.select("donor", "taxon").where(F.col("taxon").isNotNull()).dropDuplicates(["donor"])
+        named = F.explode(F.concat(F.transform("carriers", lambda d: F.struct(d.alias("d"), F.lit(1).alias("k"))), F.transform(F.array_except("ref_donors", "carriers"), lambda d: F.struct(d.alias("d"), F.lit(0).alias("k"))))).alias("c")
+        told = rows.select(*SITE, "carriers", "ref_donors").distinct().select(*SITE, named).join(sized(kinds), F.col("c.d") == F.col("donor"))
+        totals = told.groupBy(*SITE, "taxon").agg(F.sum("c.k").alias("__k"), F.count(F.lit(1)).alias("__m"))
+        here = Window.partitionBy(*SITE, "taxon")
+        held = rows.join(sized(kinds), "donor", "left").withColumn("__r", F.when(F.col("taxon").isNotNull(), F.sum(ref_call).over(here) - ref_call).otherwise(0))
+        held = held.where(~F.col("own")).join(totals, [*SITE, "taxon"], "left").fillna(0, ["__k", "__m"])
+        held = held.withColumn("k", F.col("__k").cast("long")).withColumn("m", (F.col("__m") + F.col("__r")).cast("long")).drop("__k", "__m", "__r")
+    else:
+        here = Window.partitionBy(*SITE)
+        k = F.size("carriers") - F.col("own").cast("int")
+        m = k + F.size(F.array_except("ref_donors", "carriers")) + F.sum(ref_call).over(here) - ref_call
+        held = rows.withColumn("k", k.cast("long")).withColumn("m", m.cast("long")).where(~F.col("own"))
+    held = held.join(sized(sharing_rates(rows, o).select("donor", "mu")), "donor")  # one row a donor
     if o.source == "fixed":
         pi: Column = F.lit(o.fixed)
     elif o.source == "mu_only":
@@ -103,9 +128,9 @@ def leave_one_out(rows: DataFrame, o: GapOptions = GapOptions()) -> DataFrame:
     return held.withColumn("prior", pi)
 
 
-def fill_step1(rows: DataFrame, o: GapOptions = GapOptions()) -> DataFrame:
+def fill_step1(rows: DataFrame, o: GapOptions = GapOptions(), taxa: DataFrame | None = None) -> DataFrame:
     """State, reason and log-odds of every gap: absent, REF rule, blocked flag, posterior, below cut-off, in this order."""
-    held = leave_one_out(rows, o)
+    held = leave_one_out(rows, o, taxa)
     cut = math.log(o.posterior / (1 - o.posterior))
     odds = F.coalesce(F.col("j_llr"), F.lit(0.0)) + logit(F.col("prior"))
     blocked = F.coalesce(F.arrays_overlap("j_flags", F.array(*[F.lit(b) for b in o.blocked])), F.lit(False))
@@ -114,61 +139,130 @@ def fill_step1(rows: DataFrame, o: GapOptions = GapOptions()) -> DataFrame:
     return held.withColumn("log_odds", odds).withColumn("reason", reason).withColumn("state", state)
 
 
+def step1_summary(union: DataFrame, rows: DataFrame, filled: DataFrame, o: GapOptions = GapOptions(), taxa: DataFrame | None = None) -> DataFrame:
+    """One row a run donor: its taxon, sharing rate, prior donors and what became of its gaps, with how often the REF rule and the tier disagree.
+
+    ``rows`` are those of :func:`gap_rows`, ``filled`` those of :func:`fill_step1`.
+    """
+    donors = rows.select("donor").distinct()
+    taxon = taxa.select("donor", "taxon").dropDuplicates(["donor"]) if taxa is not None else donors.select("donor", F.lit(None).cast("string").alias("taxon"))
+    runs = donors.select(F.col("donor").alias("other"), F.lit(0).alias("__kind"))
+    named = union.select(F.explode(F.zip_with("carriers", "kinds", lambda d, k: F.struct(d.alias("d"), (k == "reference").alias("ref")))).alias("c")).where("c.ref").select(F.col("c.d").alias("other"))
+    named = named.unionByName(union.select(F.explode("ref_donors").alias("other"))).distinct().join(runs, "other", "left_anti").withColumn("__kind", F.lit(1))
+    others = runs.unionByName(named).join(taxon.select(F.col("donor").alias("other"), F.col("taxon").alias("__t")), "other", "left")
+    # Donors with donors: two short lists of names.
+    pairs = donors.join(taxon, "donor", "left").crossJoin(sized(others)).where(F.col("donor") != F.col("other"))
+    inside = F.lit(True) if o.scope == "all" else F.coalesce(F.col("taxon") == F.col("__t"), F.lit(False))
+    listed = lambda cond: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("__kind", "other")))), lambda x: x["other"])
+    prior = pairs.groupBy("donor").agg(listed(inside).alias("prior_donors"), listed(~inside).alias("prior_donors_other_taxon"))
+    tally = rows.groupBy("donor").agg(F.count(F.lit(1)).alias("union_alleles"), F.count_if("own").alias("own"), F.count_if(~F.col("own")).alias("gaps"))
+    reason = lambda r: F.count_if(F.col("reason") == r)
+    odd = F.col("j_llr").isNotNull() & ((F.col("j_tier") == "ref") != F.coalesce(F.col("state") == "REF", F.lit(False)))
+    calls = filled.groupBy("donor").agg(F.count_if(F.col("state") == "ALT").alias("alt"), F.count_if(F.col("state") == "REF").alias("ref"), F.count_if(F.col("state").isNull()).alias("na"), reason("absent").alias("na_absent"), reason("blocked_flag").alias("na_blocked_flag"), reason("below_cutoff").alias("na_below_cutoff"), F.count_if(odd).alias("ref_rule_vs_tier_disagree"))
+    multi = union.agg(F.count_if("multiallelic")).scalar()
+    out = donors.join(taxon, "donor", "left").join(sharing_rates(rows, o), "donor").join(prior, "donor", "left").join(tally, "donor").join(calls, "donor", "left")
+    used = F.when((F.lit(o.source) == "other_donors") & (F.coalesce(F.size("prior_donors"), F.lit(0)) <= 0), "mu_only (no prior donors)").otherwise(o.source)
+    zero = [c for c in calls.columns if c != "donor"]
+    none = F.array().cast(prior.schema["prior_donors"].dataType)
+    out = out.fillna(0, zero).withColumn("prior_donors", F.coalesce("prior_donors", none)).withColumn("prior_donors_other_taxon", F.coalesce("prior_donors_other_taxon", none))
+    return out.select(
+        "donor", "taxon", "mu", F.col("gap_a").alias("gap_tier_a"), "gap_ref", F.lit(o.source).alias("prior_source_requested"), used.alias("prior_source_used"), F.size("prior_donors").alias("n_prior_donors"),
+        "prior_donors", "prior_donors_other_taxon", "union_alleles", multi.alias("multiallelic_skipped"), "own", "gaps", *zero,
+    )
+
+
 def line_depths(observed: DataFrame) -> DataFrame:
     """Per line: mean depth over its sites with no donor copy; null where there is none. ``observed``: line, x, n (n 0 where uncovered)."""
     return observed.groupBy("line").agg(F.avg(F.when(F.col("x") == 0, F.col("n"))).alias("lam"), F.count_if(F.col("x") == 0).alias("sites_x0"))
 
 
-def fill_step2(candidates: DataFrame, observed: DataFrame, depths: DataFrame, grid: Sequence[tuple[float, float]], o: GapOptions = GapOptions()) -> DataFrame:
-    """Step 2: candidates of step 1 decided by the donor's lines.
+def fill_step2(candidates: DataFrame, observed: DataFrame, depths: DataFrame, grid: Sequence[tuple[float, float]], o: GapOptions = GapOptions(), by: Sequence[str] = ("key",)) -> DataFrame:
+    """Step 2: candidates of step 1 (gaps it left open) decided by the donor's lines.
 
-    ``candidates``: key, prior, j_llr, j_n0, j_a0, blocked. ``observed``: key, line, x (null = unknown), n, a. ``depths``: line, lam. ``grid``:
-    (copy mappability, weight). Outcomes in order: blocked_flag, blocked_x0_lines, no_test, ALT, undecided; never REF. The grid is
-    exploded after the lines' terms are known, so sums over lines run map side per (site, grid point).
+    ``candidates``: by..., prior, j_llr, j_n0, j_a0, blocked. ``observed``: by..., line, x (0, 1, 2; null = unknown), n, a. ``depths``: line, lam.
+    ``grid``: (copy mappability, weight). Outcomes in order: blocked_flag, blocked_x0_lines, no_test, ALT, undecided; never REF.
+
+    Lines enter only through sums per site and x: of n, a, lam, n * log(lam), and their number. So the table of observations is aggregated
+    once, map side, and the grid is gone through on one row a site. The floor of means (1e-9) concerns x = 2 where no read can
+    map (c = 0); elsewhere means stay above it, since lam is a mean depth over a line's sites and ks at least ``ks_floor``.
     """
     total = sum(w for _, w in grid)
-    used = observed.join(F.broadcast(depths.where(F.col("lam") > 0)), "line").where(F.col("x").isNotNull())
+    points = [(float(c), math.log(w / total)) for c, w in grid if w > 0]
+    used = observed.join(sized(depths.where(F.col("lam") > 0).select("line", "lam")), "line").where(F.col("x").isNotNull())
     n, a, x, lam = F.col("n"), F.col("a"), F.col("x"), F.col("lam")
-    own = used.groupBy("key").agg(
-        F.sum(F.when(x == 0, n).otherwise(0)).alias("n_x0"), F.sum(F.when(x == 0, a).otherwise(0)).alias("a_x0"), F.sum(F.when(x == 0, lam).otherwise(0.0)).alias("lam_x0"),
-        F.count_if(x == 0).alias("lines_x0"), F.count_if(x > 0).alias("lines_donor"), F.sum(F.when(x > 0, n).otherwise(0)).alias("n_donor"), F.sum(F.when(x > 0, a).otherwise(0)).alias("a_donor"),
-    )
-    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_x0", "a_x0", "lam_x0", "lines_x0", "lines_donor", "n_donor", "a_donor")}
-    site = candidates.join(own, "key", "left").withColumns(zero)
-    n0, a0 = F.coalesce("j_n0", F.lit(0)), F.coalesce("j_a0", F.lit(0))
-    site = site.withColumn("eps0", (a0 + o.alpha) / (n0 + o.beta)).withColumn("eps_s", (a0 + F.col("a_x0") + o.alpha) / (n0 + F.col("n_x0") + o.beta))
-    tail = F.when((F.col("a_x0") > 0) & (F.col("a_x0") >= o.x0_alt), binomial_upper_tail(F.col("a_x0"), F.col("n_x0"), F.col("eps0")))
-    site = site.withColumn("p_x0", F.when(~F.col("blocked"), tail))
-    site = site.withColumn("ks", F.when((F.col("lines_donor") > 0) & (F.col("lam_x0") > 0), F.greatest(F.col("n_x0") / F.col("lam_x0"), F.lit(o.ks_floor))))
-
-    points = F.explode(F.array(*[F.struct(F.lit(float(c)).alias("c"), F.lit(math.log(w / total)).alias("lw")) for c, w in grid if w > 0])).alias("g")
-    term = used.join(site.where(F.col("ks").isNotNull() & ~F.col("blocked")).select("key", "ks", "eps_s"), "key").select("*", points)
-    h, c, e = x / 2.0, F.col("g.c"), F.col("eps_s")
-    den = (1 - h) + h * c
-    rho = F.when(den > 1e-12, h * c / F.greatest(den, F.lit(1e-12))).otherwise(0.0)
-    mu = F.greatest(F.col("ks") * lam * den, F.lit(1e-9))
-    per = term.groupBy("key", "g.c", "g.lw").agg(F.sum(n * F.log(mu) - mu).alias("d"), F.sum(binomial_log(a, n, rho * (1 - e) + (1 - rho) * e)).alias("al"), F.sum(binomial_log(a, n, e)).alias("r"))
-    both = per.withColumn("vd", F.col("d") + F.col("lw")).withColumn("va", F.col("d") + F.col("lw") + F.col("al"))
-    tops = both.groupBy("key").agg(F.max("vd").alias("md"), F.max("va").alias("ma"), F.first("r").alias("r"), F.collect_list("vd").alias("vds"), F.collect_list("va").alias("vas"))  # one entry a grid point
-    lse = lambda top, vs: F.col(top) + F.log(F.aggregate(vs, F.lit(0.0), lambda s, v: s + F.exp(v - F.col(top))))
-    lines = tops.select("key", (lse("ma", "vas") - (lse("md", "vds") + F.col("r"))).alias("llr_lines"))
-    out = site.join(lines, "key", "left")
+    sums, names = [], []
+    for v in (0, 1, 2):
+        here = x == v
+        sums += [F.count_if(here).alias(f"c{v}"), *[F.sum(F.when(here, e).otherwise(z)).alias(f"{name}{v}") for name, e, z in (("n", n, 0), ("a", a, 0), ("l", lam, 0.0), ("t", n * F.log(lam), 0.0))]]
+        names += [f"{name}{v}" for name in "cnalt"]
+    site = candidates.join(used.groupBy(*by).agg(*sums), list(by), "left").fillna(0, names)
+    col = F.col
+    site = site.withColumns({"n_x0": col("n0"), "a_x0": col("a0"), "lam_x0": col("l0"), "lines_x0": col("c0"), "lines_donor": col("c1") + col("c2"), "n_donor": col("n1") + col("n2"), "a_donor": col("a1") + col("a2")})
+    jn0, ja0 = F.coalesce("j_n0", F.lit(0)), F.coalesce("j_a0", F.lit(0))
+    site = site.withColumn("eps0", (ja0 + o.alpha) / (jn0 + o.beta)).withColumn("eps_s", (ja0 + col("a_x0") + o.alpha) / (jn0 + col("n_x0") + o.beta))
+    tail = F.when((col("a_x0") > 0) & (col("a_x0") >= o.x0_alt), binomial_upper_tail(col("a_x0"), col("n_x0"), col("eps0")))
+    site = site.withColumn("p_x0", F.when(~col("blocked"), tail))
+    site = site.withColumn("ks", F.when((col("lines_donor") > 0) & (col("lam_x0") > 0), F.greatest(col("n_x0") / col("lam_x0"), F.lit(o.ks_floor))))
+
+    e, ks = col("eps_s"), col("ks")
+
+    def values(g: Column) -> Column:
+        depth, reads = g["lw"], F.lit(0.0)
+        for v in (0, 1, 2):
+            h = v / 2
+            den = (1 - h) + h * g["c"]
+            depth = depth + F.when(den > 0, col(f"n{v}") * F.log(ks * den) + col(f"t{v}") - ks * den * col(f"l{v}")).otherwise(col(f"n{v}") * math.log(1e-9) - col(f"c{v}") * 1e-9)
+            rho = F.when(den > 1e-12, h * g["c"] / F.greatest(den, F.lit(1e-12))).otherwise(0.0)
+            reads = reads + binomial_log(col(f"a{v}"), col(f"n{v}"), rho * (1 - e) + (1 - rho) * e)
+        return F.struct(depth.alias("vd"), (depth + reads).alias("va"))
+
+    tested = ~col("blocked") & ~F.coalesce(col("p_x0") < o.x0_p, F.lit(False)) & ks.isNotNull()
+    grown = F.transform(F.array(*[F.struct(F.lit(c).alias("c"), F.lit(lw).alias("lw")) for c, lw in points]), values)
+    none = sum((binomial_log(col(f"a{v}"), col(f"n{v}"), e) for v in (1, 2)), binomial_log(col("a0"), col("n0"), e))
+    site = site.withColumn("__g", F.when(tested, grown)).withColumn("llr_lines", log_sum_exp(F.transform("__g", lambda z: z["va"])) - (log_sum_exp(F.transform("__g", lambda z: z["vd"])) + none))
+    odds = F.coalesce(logit(col("prior")), F.lit(0.0)) + F.coalesce("j_llr", F.lit(0.0)) + col("llr_lines")
+    x0 = F.coalesce(col("p_x0") < o.x0_p, F.lit(False))
     cut = math.log(o.posterior / (1 - o.posterior))
-    odds = F.coalesce(logit(F.col("prior")), F.lit(0.0)) + F.coalesce("j_llr", F.lit(0.0)) + F.col("llr_lines")
-    x0 = F.coalesce(F.col("p_x0") < o.x0_p, F.lit(False))
-    call = F.when(F.col("blocked"), "blocked_flag").when(x0, "blocked_x0_lines").when(F.col("ks").isNull(), "no_test").when(odds >= cut, "ALT").otherwise("undecided")
-    tested = ~F.col("blocked") & ~x0
-    return out.withColumn("call", call).withColumn("llr_lines", F.when(tested, F.col("llr_lines"))).withColumn("log_odds", F.when(tested, odds))
+    call = F.when(col("blocked"), "blocked_flag").when(x0, "blocked_x0_lines").when(ks.isNull(), "no_test").when(odds >= cut, "ALT").otherwise("undecided")
+    return site.withColumn("call", call).withColumn("log_odds", odds).drop("__g", *names)
 
 
-def founder_calls(union: DataFrame, step1: DataFrame, step2: DataFrame) -> DataFrame:
-    """One donor's allele at every union site, first match: multi-allelic, own, REF and ALT of step 1, ALT of step 2, else missing.
+def step2_summary(step2: DataFrame, lines: DataFrame, by: Sequence[str] = ("donor",)) -> DataFrame:
+    """Per donor: candidates by outcome, lines by use, ALT reads at sites without donor copy, and the upper median of depths.
 
-    ``union``: key, multiallelic. ``step1``: key, own, state, log_odds. ``step2``: key, call, log_odds.
+    ``lines``: by..., line, failed, has_segments, lam, one row a line of the count table.
     """
-    s1 = step1.select("key", F.col("own").alias("own1"), F.col("state").alias("state1"), F.col("log_odds").alias("lo1"))
-    s2 = step2.select("key", F.col("call").alias("call2"), F.col("log_odds").alias("lo2"))
-    held = union.join(s1, "key", "left").join(s2, "key", "left")
+    call = lambda c: F.count_if(F.col("call") == c)
+    rate = lambda c: (F.sum(F.when(F.col("call") == c, F.col("a_x0"))) / F.nullif(F.sum(F.when(F.col("call") == c, F.col("n_x0"))), F.lit(0)))
+    calls = step2.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("candidates"), *[call(c).alias(c.lower()) for c in ("ALT", "undecided", "blocked_flag", "blocked_x0_lines", "no_test")],
+        F.count_if((F.col("call") == "ALT") & (F.col("a_x0") > 0)).alias("alt_calls_with_x0_alt_reads"), rate("ALT").alias("x0_alt_rate_at_alt"), rate("undecided").alias("x0_alt_rate_at_undecided"),
+    )
+    usable = ~F.col("failed") & F.col("has_segments")
+    told = lines.withColumn("__lam", F.when(usable & (F.col("lam") > 0), F.col("lam")))
+    tally = told.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("lines_in_counts"), F.count("__lam").alias("lines_used"), F.count_if("failed").alias("lines_excluded_qc"), F.count_if(~F.col("failed") & ~F.col("has_segments")).alias("lines_without_segments"),
+        F.count_if(usable & F.col("__lam").isNull()).alias("lines_without_x0_depth"), upper_median("__lam").alias("median_lambda"),
+    )
+    return tally.join(calls, list(by), "left").fillna(0, ["candidates", "alt", "undecided", "blocked_flag", "blocked_x0_lines", "no_test", "alt_calls_with_x0_alt_reads"])
+
+
+STEPS = ("multiallelic", "own", "step1_ref", "step1_alt", "step2_alt", "missing")
+
+
+def founder_calls(union: DataFrame, step1: DataFrame, step2: DataFrame, by: Sequence[str] = ("key",), strict: bool = True) -> DataFrame:
+    """A donor's allele at every union site, first match: multi-allelic, own, REF and ALT of step 1, ALT of step 2, else missing.
+
+    ``union``: by..., multiallelic. ``step1``: by..., own, state, log_odds. ``step2``: by..., call, log_odds. With ``strict`` a bi-allelic site without a row
+    of step 1, and a row of step 2 at a site that step 1 has called, are refused: the tables come from different runs.
+    """
+    by = list(by)
+    s1 = step1.select(*by, F.col("own").alias("own1"), F.col("state").alias("state1"), F.col("log_odds").alias("lo1"))
+    s2 = step2.select(*by, F.col("call").alias("call2"), F.col("log_odds").alias("lo2"))
+    held = union.join(s1, by, "left").join(s2, by, "left")
+    if strict:
+        bad = F.when(~F.col("multiallelic") & F.col("own1").isNull(), "no row of step 1").when(F.col("call2").isNotNull() & F.col("state1").isNotNull(), "step 2 at a site that step 1 has called")
+        enforce(held.withColumn("problem", bad).where(F.col("problem").isNotNull()).select(*by, "problem"), "tables of different runs")
     step = (
         F.when(F.col("multiallelic"), "multiallelic").when(F.col("own1"), "own").when(F.col("state1") == "REF", "step1_ref")
         .when(F.col("state1") == "ALT", "step1_alt").when(F.col("call2") == "ALT", "step2_alt").otherwise("missing")
@@ -176,4 +270,15 @@ def founder_calls(union: DataFrame, step1: DataFrame, step2: DataFrame) -> DataF
     held = held.withColumn("call_step", step)
     lo = F.when(F.col("call_step").isin("step1_ref", "step1_alt"), F.col("lo1")).when(F.col("call_step").isin("step2_alt", "missing"), F.coalesce("lo2", "lo1"))
     allele = F.when(F.col("call_step").isin("own", "step1_alt", "step2_alt"), "ALT").when(F.col("call_step") == "step1_ref", "REF")
-    return held.select("key", allele.alias("allele"), "call_step", lo.alias("log_odds"), F.when(F.col("call_step") == "own", 1.0).otherwise(sigmoid(lo)).alias("p_alt"))
+    return held.select(*by, allele.alias("allele"), "call_step", lo.alias("log_odds"), F.when(F.col("call_step") == "own", 1.0).otherwise(sigmoid(lo)).alias("p_alt"))
+
+
+def founder_summary(calls: DataFrame, by: Sequence[str] = ("donor",)) -> DataFrame:
+    """Per donor: union alleles, gaps, sites by step, and the shares of gaps that the steps decide."""
+    got = calls.groupBy(*by).agg(F.count(F.lit(1)).alias("union_alleles"), *[F.count_if(F.col("call_step") == s).alias(s) for s in STEPS])
+    got = got.withColumn("biallelic", F.col("union_alleles") - F.col("multiallelic")).withColumn("gaps", F.col("biallelic") - F.col("own"))
+    over = lambda a, b: a / F.nullif(F.col(b), F.lit(0))
+    return got.select(
+        *by, "union_alleles", "biallelic", "gaps", *STEPS, over(F.col("step1_ref") + F.col("step1_alt"), "gaps").alias("step1_share_of_gaps"), over(F.col("step2_alt"), "gaps").alias("step2_share_of_gaps"),
+        over(F.col("missing"), "gaps").alias("missing_share_of_gaps"), over(F.col("missing"), "biallelic").alias("missing_share_of_union"),
+    )

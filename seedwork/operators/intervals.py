@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seedwork.operators.labels import GuardError
+
 
 def merge_intervals(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", touch: int = 0) -> DataFrame:
     """Overlapping or touching intervals become one. ``touch`` is the distance still counted as touching (0 for half-open ends, 1 for
@@ -27,9 +29,17 @@ def clip_intervals(df: DataFrame, low: int, high: int, start: str = "start", end
     return cut.where(F.col(start) < F.col(end))
 
 
-def region_bed(df: DataFrame, by: Sequence[str], low: int, high: int) -> DataFrame:
-    """Ranges of a region: clipped, merged where they overlap or touch."""
-    return merge_intervals(clip_intervals(df, low, high), by)
+def region_bed(df: DataFrame, by: Sequence[str], low: int, high: int, allow_empty: bool = True) -> DataFrame:
+    """Ranges of a region: clipped, merged where they overlap or touch. An empty result is refused unless it is allowed."""
+    got = merge_intervals(clip_intervals(df, low, high), by)
+    if not allow_empty and got.isEmpty():
+        raise GuardError(f"no range within {low}-{high}")
+    return got
+
+
+def one_based(ranges: DataFrame, chrom: str = "chrom") -> DataFrame:
+    """Adds ``region``: half-open ranges as ``chrom:start-end``, counted from one, ends included."""
+    return ranges.withColumn("region", F.concat(F.col(chrom).cast("string"), F.lit(":"), (F.col("start") + 1).cast("string"), F.lit("-"), F.col("end").cast("string")))
 
 
 def state_at(points: DataFrame, segments: DataFrame, by: Sequence[str], position: str, start: str, end: str, state: str, out: str, bin_width: int | None = None) -> DataFrame:
@@ -52,6 +62,13 @@ def state_at(points: DataFrame, segments: DataFrame, by: Sequence[str], position
     return both.where(F.col("__k") == 1).select(*points.columns, F.when(F.col("__l.e") >= F.col(position), F.col("__l.v")).alias(out))
 
 
+def state_in(segments: str, position: Column) -> Column:
+    """State at a position by an ordered array of (start, end, state) in the same row: the rightmost that has begun, null if it has ended."""
+    begun = F.filter(segments, lambda s: s["start"] <= position)
+    last = F.try_element_at(begun, F.lit(-1))
+    return F.when(last["end"] >= position, last["state"])
+
+
 def in_ranges(points: DataFrame, ranges: DataFrame, by: Sequence[str], position: str, start: str = "start", end: str = "end", bin_width: int = 1 << 16) -> DataFrame:
     """Points inside any range (semi-join). Ranges are repeated over bins of the line, so the join has an equality to spread by."""
     spread = ranges.select(*by, F.col(start).alias("__a"), F.col(end).alias("__b"), F.explode(F.sequence(F.floor(F.col(start) / bin_width), F.floor(F.col(end) / bin_width))).alias("__bin"))

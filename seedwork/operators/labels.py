@@ -60,16 +60,58 @@ def relabel(df: DataFrame, labels: DataFrame, column: str, keep_id: bool = False
     return joined.select(*cols)
 
 
-#: donor accession (two letters, dot, digits), parent, then selfing generations. A fixed pattern.
-PEDIGREE = r"\A([A-Z][a-z])\.([0-9]+)_(P[0-9]+)(?:_(P[0-9]+))?(?:_(P[0-9]+)\.([0-9.]+))?\z"
+#: Line pedigree: taxon and accession number, three generations named by any letter, three selfings or more. A fixed pattern.
+PEDIGREE = r"\A(Z[vxldh])\.([0-9]+)_[A-Za-z]([0-9]+)_[A-Za-z]([0-9]+)_[A-Za-z]([0-9]+)\.([0-9]+)((?:\.[0-9]+){2,})\z"
+
+
+def canonical_pedigree(pedigree: Column) -> Column:
+    """Pedigree without the marks of bulks (``.B``, ``-blk``, ``-bulk``) and outer blanks; null as an empty text."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(F.coalesce(pedigree, F.lit(""))), r"\.B\z", ""), r"(?i)-(blk|bulk)\z", ""))
 
 
 def pedigree_parts(pedigree: Column) -> Column:
-    """accession, donor and the base-36 number of the plant's generations; nulls where the text is no pedigree."""
-    ok = pedigree.rlike(PEDIGREE)
-    part = lambda i: F.regexp_extract(pedigree, PEDIGREE, i)
-    acc = F.concat_ws(".", part(1), part(2))
-    return F.struct(F.when(ok, acc).alias("accession"), F.when(ok, F.concat_ws("_", acc, part(3))).alias("donor"), F.when(ok & (part(6) != ""), F.upper(F.conv(F.regexp_extract(part(6), r"\A([0-9]+)", 1), 10, 36))).alias("code"))
+    """accession, donor and short id of a line pedigree; nulls where the text has none.
+
+    The accession has four digits; the donor is the accession with the number of its first plant, named by ``P``. The id, taxon and number and the
+    three plants and first selfing in base 36, exists where the pedigree is complete, later selfings are 1 and those four numbers are 1 to 35.
+    """
+    text = canonical_pedigree(pedigree)
+    part = lambda i: F.regexp_extract(text, PEDIGREE, i)
+    some = lambda x: F.nullif(x, F.lit(""))
+    plants = [part(i).try_cast("int") for i in (3, 4, 5, 6)]
+    fits = text.rlike(PEDIGREE) & part(7).rlike(r"\A(\.0*1)+\z")
+    for n in plants:
+        fits = fits & F.coalesce(n.between(1, 35), F.lit(False))
+    code = F.concat(part(1), F.lpad(part(2).try_cast("bigint").cast("string"), F.greatest(F.lit(4), F.length(part(2).try_cast("bigint").cast("string"))), F.lit("0")), *[F.upper(F.conv(n.cast("string"), 10, 36)) for n in plants])
+    return F.struct(some(F.regexp_extract(pedigree, r"\A(Z[a-z]\.[0-9]{4})(_|\z)", 1)).alias("accession"), some(F.regexp_extract(pedigree, r"\A(Z[a-z]\.[0-9]+_P[0-9]+)_", 1)).alias("donor"), F.when(F.coalesce(fits, F.lit(False)), code).alias("code"))
+
+
+def third_selfing(pedigree: Column) -> Column:
+    """The pedigree of a line's third selfing; null where the text is no line pedigree."""
+    text = canonical_pedigree(pedigree)
+    return F.when(text.rlike(PEDIGREE), F.regexp_extract(text, r"\A([^.]+\.[^.]+(?:\.[0-9]+){3})", 1))
+
+
+def correct(rows: DataFrame, corrections: DataFrame, key: str, field: str) -> tuple[DataFrame, DataFrame]:
+    """Corrections of one field, and what is wrong with them.
+
+    ``corrections``: correction_id, key, field, applies_to, old_value, new_value. The rows come with ``<field>_resolved`` (the new value of the
+    last correction by id that applies to resolved values, else the value itself) and ``correction_ids`` (all that name the row, joined by ``;``).
+    The second table holds corrections whose old value is not the row's.
+    """
+    mine = corrections.where(F.col("field") == field)
+    here = (F.col("field") == field) & (F.col("applies_to") == "resolved")
+    per = corrections.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("correction_id")), ";").alias("correction_ids"), F.max(F.when(here, F.struct("correction_id", "new_value"))).alias("__new"))
+    out = rows.join(per, key, "left").withColumn("correction_ids", F.coalesce("correction_ids", F.lit(""))).withColumn(f"{field}_resolved", F.when(F.col("__new").isNotNull(), F.col("__new.new_value")).otherwise(F.col(field))).drop("__new")
+    odd = rows.select(key, F.col(field).alias("value")).join(mine.where(F.col("applies_to") == "resolved"), key).where(~F.col("value").eqNullSafe(F.col("old_value")))
+    return out, odd.select("correction_id", key, "old_value", "value")
+
+
+def disagreements(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
+    """(by, column, n_values) of groups whose rows disagree on a column that must be one value, null being a value."""
+    value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    got = df.groupBy(by).agg(*[F.count_distinct(value(c)).alias(c) for c in columns])
+    return got.select(by, F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_values")) for c in columns]))).where(F.col("n_values") > 1)
 
 
 def chain(rows: DataFrame, first: DataFrame, second: DataFrame, key1: str, key2: str, value: str) -> DataFrame:
@@ -159,3 +201,115 @@ def read_structure(text: Column) -> Column:
     ok = text.rlike(pattern)
     number = lambda i: F.when(ok, F.coalesce(F.nullif(F.regexp_extract(text, pattern, i), F.lit("")), F.lit("0")).try_cast("int"))
     return F.struct(number(1).alias("barcode"), number(2).alias("skip"))
+
+
+def label_counts(labels: DataFrame) -> DataFrame:
+    """Samples by source of their label, and how many of them share their label with others."""
+    return labels.groupBy("label_source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("collision") > 1).alias("n_collisions"))
+
+
+def relabel_tables(tables: dict[str, tuple[DataFrame, str, bool]], labels: DataFrame) -> dict[str, DataFrame]:
+    """Several tables with one table of labels: name -> (table, column with sample ids, whether the id stays beside the label)."""
+    return {name: relabel(df, labels, column, keep) for name, (df, column, keep) in tables.items()}
+
+
+def relabel_columns(df: DataFrame, labels: DataFrame, fixed: Sequence[str], most: int = 10_000) -> DataFrame:
+    """A wide table whose other columns are named by samples, with labels as names. Column names live on the driver, so at most ``most`` are looked up."""
+    names = [c for c in df.columns if c not in fixed]
+    if len(names) > most:
+        raise GuardError(f"more than {most} columns")
+    found = {r["sample"]: r["label"] for r in labels.where(F.col("sample").isin(*names)).select("sample", "label").collect()} if names else {}
+    return df.select(*fixed, *[F.col(f"`{c}`").alias(found.get(c, c)) for c in names])
+
+
+def run_and_reference(samples: DataFrame, references: DataFrame) -> DataFrame:
+    """Donors that are run donors and reference donors at once."""
+    return samples.select("donor").where(F.col("donor").isNotNull()).distinct().join(references.select("donor"), "donor", "left_semi")
+
+
+#: Domains of options: allowed values, or the least and greatest number. Fixed values.
+DOMAINS: dict[str, tuple] = {
+    "role": ("bc1_sample", "line", "witness", "b73_control"), "prior_source": ("other_donors", "mu_only", "fixed"), "prior_scope": ("all", "same_taxon"), "provenance_check": ("strict", "warn"),
+    "eps0": (0.0, 1.0), "prior": (0.0, 1.0), "half_p": (0.0, 1.0), "posterior": (0.5, 1.0), "plants": (1, 10_000), "min_alt_reads": (0, 1 << 31), "rigidity": (1, 1 << 31), "min_sites": (0, 1 << 31),
+}
+
+
+def check_options(options: dict[str, object], domains: dict[str, tuple] | None = None, required: Sequence[str] = ()) -> None:
+    """Refuse unknown options, missing ones and values outside their domain; all problems are told at once."""
+    domains = DOMAINS if domains is None else domains
+    bad = [f"{name} is required" for name in required if options.get(name) is None]
+    for name, value in options.items():
+        if name not in domains:
+            bad.append(f"{name} is not an option")
+        elif value is not None:
+            allowed = domains[name]
+            numbers = len(allowed) == 2 and all(isinstance(x, (int, float)) for x in allowed)
+            fine = isinstance(value, (int, float)) and not isinstance(value, bool) and allowed[0] <= value <= allowed[1] if numbers else value in allowed
+            if not fine:
+                bad.append(f"{name} is {value!r}, not {'between ' + ' and '.join(map(str, allowed)) if numbers else 'one of ' + ', '.join(map(str, allowed))}")
+    if bad:
+        raise GuardError("; ".join(bad))
+
+
+def bad_regions(regions: DataFrame, ranges: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Regions (chrom, start, end) with a reason: no range on the chromosome, chromosome not in the index, start or end outside it."""
+    have = ranges.select("chrom").distinct().withColumn("__range", F.lit(True))
+    size = lengths.groupBy("chrom").agg(F.max("length").alias("__length"))
+    held = regions.join(have, "chrom", "left").join(size, "chrom", "left")
+    reason = (
+        F.when(F.col("__range").isNull(), "no_range").when(F.col("__length").isNull(), "not_in_index").when((F.col("start") < 1) | (F.col("end") < F.col("start")), "bad_region")
+        .when(F.col("end") > F.col("__length"), "past_the_end")
+    )
+    return held.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("chrom", "start", "end", "reason")
+
+
+def provenance_problems(records: DataFrame, samples: DataFrame, expected: str) -> DataFrame:
+    """(sample, problem) of samples whose record (sample, written_for, markdup) is missing or does not match the current settings."""
+    held = samples.select("sample").distinct().join(records.withColumn("__there", F.lit(True)), "sample", "left")
+    problems = F.array_compact(F.array(
+        F.when(F.col("__there").isNull(), "no record"), F.when(F.col("__there") & ~F.col("markdup").eqNullSafe(F.lit(expected)), "markdup"),
+        F.when(F.col("written_for").isNotNull() & (F.col("written_for") != F.col("sample")), "sample"),
+    ))
+    return held.select("sample", F.explode(problems).alias("problem"))
+
+
+def check_provenance(records: DataFrame, samples: DataFrame, expected: str, mode: str = "strict") -> DataFrame:
+    """Refuse mismatching records, or with ``warn`` return them."""
+    check_options({"provenance_check": mode})
+    found = provenance_problems(records, samples, expected)
+    if mode == "strict":
+        enforce(found, "provenance does not match the current settings")
+    return found
+
+
+def oversized_groups(df: DataFrame, by: Sequence[str], most: int) -> DataFrame:
+    """Groups, such as libraries, of more than ``most`` rows."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+
+
+def clashing_names(samples: DataFrame, reserved: Sequence[str], column: str = "sample") -> DataFrame:
+    """Ids that would collide in an output folder: reserved names, ids with a path separator or a leading dot, and ids equal but for case."""
+    low = F.lower(F.col(column))
+    n = F.count_distinct(F.col(column))
+    same = samples.where(F.col(column).isNotNull()).groupBy(low.alias("__low")).agg(n.alias("__n"), F.array_sort(F.collect_set(column)).alias("__ids")).where(F.col("__n") > 1)
+    why = F.when(low.isin(*[r.lower() for r in reserved]), "reserved").when(F.col(column).rlike(r"[/\\\\]|\A\."), "no_file_name")
+    one = samples.select(column).distinct().withColumn("problem", why).where(F.col("problem").isNotNull())
+    return one.unionByName(same.select(F.explode("__ids").alias(column), F.lit("differs_by_case").alias("problem")))
+
+
+#: Entries and the parameters each needs. Fixed values.
+ENTRIES = {"cram": ("input", "outdir", "fasta"), "genotype": ("input", "outdir", "fasta", "regions", "lowcopy_bed")}
+
+
+def check_entry(entry: str, parameters: dict[str, object]) -> None:
+    """Refuse an unknown entry, and an entry without the parameters it needs."""
+    if entry not in ENTRIES:
+        raise GuardError(f"entry is {entry!r}, not one of {', '.join(ENTRIES)}")
+    missing = [p for p in ENTRIES[entry] if parameters.get(p) in (None, "")]
+    if missing:
+        raise GuardError(f"entry {entry} needs {', '.join(missing)}")
+
+
+def utc_stamp() -> Column:
+    """The current time as ``YYYY-MM-DDTHH:MM:SSZ``, whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")

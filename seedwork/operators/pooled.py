@@ -140,11 +140,52 @@ def lookup_counts(sites: DataFrame, counts: DataFrame, at: Sequence[str] = ("chr
 
 def witness_veto(pools: DataFrame, site: Sequence[str], witness: Column, least: int = 1) -> DataFrame:
     """Sites whose witness pools together hold at least ``least`` ALT reads, with those reads."""
-    return pools.groupBy(*site).agg(F.sum(F.when(witness, F.col("a")).otherwise(0)).alias("witness_alt"), F.sum("n").alias("n")).where(F.col("witness_alt") >= least)
+    return _witnessed(pools, site, witness).where(F.col("witness_alt") >= least)
 
 
-def select_markers(scored: DataFrame, tier: str = "A", blocked: Sequence[str] = ("hidepth",)) -> DataFrame:
-    """Ancestry markers: one tier, single ACGT bases, no blocked flag, then positions with one (ref, alt) only; repeats collapse."""
+def _witnessed(pools: DataFrame, site: Sequence[str], witness: Column) -> DataFrame:
+    return pools.groupBy(*site).agg(F.sum(F.when(witness, F.col("a")).otherwise(0)).alias("witness_alt"), F.sum("n").alias("n"))
+
+
+def kept_calls(pools: DataFrame, site: Sequence[str], witness: Column, least: int = 1) -> DataFrame:
+    """The pool rows of the sites that the witness confirms. One window over the site, whose partitioning scoring uses again."""
+    here = F.sum(F.when(witness, F.col("a")).otherwise(0)).over(Window.partitionBy(*site))
+    return pools.withColumn("__w", here).where(F.col("__w") >= least).drop("__w")
+
+
+def merge_pools(pools: DataFrame, site: Sequence[str], which: Column) -> DataFrame:
+    """Several pools put together as one, such as the witness of all controls: n, a and how many pools had rows, per site."""
+    return pools.where(which).groupBy(*site).agg(F.sum("n").alias("n"), F.sum("a").alias("a"), F.count(F.lit(1)).alias("n_pools"))
+
+
+def witness_summary(pools: DataFrame, site: Sequence[str], witness: Column, least: int = 1) -> DataFrame:
+    """One row: records in, kept and dropped, and the share kept (null without records)."""
+    got = _witnessed(pools, site, witness).agg(F.count(F.lit(1)).alias("records_in"), F.count_if(F.col("witness_alt") >= least).alias("kept"))
+    return got.select(F.lit(least).alias("min_alt_reads"), "records_in", "kept", (F.col("records_in") - F.col("kept")).alias("dropped"), (F.col("kept") / F.nullif(F.col("records_in"), F.lit(0))).alias("kept_share"))
+
+
+#: Flags that keep a row out of the ancestry markers. Fixed values.
+MARKER_FLAGS = ("hidepth", "af_gt_half", "inconsistent")
+
+
+def _marker_reason(tier: str, blocked: Sequence[str]) -> Column:
+    """Why a row is no marker: ``tier``, ``not_snv`` or ``flagged``; null if nothing speaks against it."""
     base = r"\A[ACGT]\z"
-    kept = scored.where((F.col("tier") == tier) & F.upper("ref").rlike(base) & F.upper("alt").rlike(base) & ~F.arrays_overlap("flags", F.array(*[F.lit(b) for b in blocked])))
+    snv = F.upper("ref").rlike(base) & F.upper("alt").rlike(base) & (F.upper("ref") != F.upper("alt"))
+    flagged = F.coalesce(F.arrays_overlap("flags", F.array(*[F.lit(b) for b in blocked]).cast("array<string>")), F.lit(False))
+    return F.when(~F.coalesce(F.col("tier") == tier, F.lit(False)), "tier").when(~F.coalesce(snv, F.lit(False)), "not_snv").when(flagged, "flagged")
+
+
+def select_markers(scored: DataFrame, tier: str = "A", blocked: Sequence[str] = MARKER_FLAGS) -> DataFrame:
+    """Ancestry markers: one tier, single ACGT bases, no blocked flag, then positions with one (ref, alt) only; repeats collapse."""
+    kept = scored.where(_marker_reason(tier, blocked).isNull())
     return kept.groupBy("chrom", "pos").agg(F.collect_set(F.struct(F.upper("ref").alias("ref"), F.upper("alt").alias("alt"))).alias("pairs")).where(F.size("pairs") == 1).select("chrom", "pos", F.col("pairs")[0]["ref"].alias("ref"), F.col("pairs")[0]["alt"].alias("alt"))
+
+
+def marker_counters(scored: DataFrame, tier: str = "A", blocked: Sequence[str] = MARKER_FLAGS) -> DataFrame:
+    """One row: rows, rows of the tier, those dropped by reason, positions with several alleles, and markers."""
+    why = scored.select("chrom", "pos", F.upper("ref").alias("ref"), F.upper("alt").alias("alt"), _marker_reason(tier, blocked).alias("why"))
+    per = why.groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("why") == w).alias(w) for w in ("tier", "not_snv", "flagged")], F.size(F.collect_set(F.when(F.col("why").isNull(), F.struct("ref", "alt")))).alias("alleles"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    got = per.agg(total("rows"), total("tier"), total("not_snv"), total("flagged"), F.count_if(F.col("alleles") > 1).alias("multiallelic_positions"), F.count_if(F.col("alleles") == 1).alias("markers"))
+    return got.select("rows", (F.col("rows") - F.col("tier")).alias("tier_rows"), "not_snv", "flagged", "multiallelic_positions", "markers")

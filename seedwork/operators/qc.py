@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seedwork.functions.stats import uniform
+from seedwork.operators.labels import GuardError
+from seedwork.session import sized
 
 
 def min_coverage(samples: DataFrame, metrics: DataFrame, floor: float = 0.05) -> DataFrame:
@@ -25,7 +27,7 @@ def coverage_dense(panel: DataFrame, counts: DataFrame, samples: DataFrame, floo
     sites = panel.select("contig", "pos").distinct().groupBy("contig").agg(F.count(F.lit(1)).alias("sites"))
     got = counts.join(panel.select("contig", "pos").distinct(), ["contig", "pos"], "left_semi").where(F.col("reads") > 0).groupBy("sample", "contig").agg(F.count(F.lit(1)).alias("covered"), F.sum("reads").alias("reads"))
     seen = counts.select("sample").distinct().withColumn("counted", F.lit(True))
-    grid = samples.select("sample").distinct().crossJoin(F.broadcast(sites))
+    grid = samples.select("sample").distinct().crossJoin(sized(sites))
     out = grid.join(got, ["sample", "contig"], "left").join(seen, "sample", "left").fillna(0, ["covered", "reads"]).fillna(False, ["counted"])
     out = out.withColumn("fraction", F.col("covered") / F.col("sites")).withColumn("mean_depth", F.col("reads") / F.col("sites")).withColumn("below_min_markers", F.col("covered") < floor)
     return out.withColumns({f"below_{t}": F.col("covered") < t for t in report})
@@ -87,6 +89,11 @@ def group_kinship(values: DataFrame) -> DataFrame:
     return met.withColumn("m", m).where(F.col("m").isNotNull()).groupBy("sample", "donor", "group").agg((F.sum(F.col("z") * F.col("m")) / F.sum("w")).alias("kinship"), F.count(F.lit(1)).alias("n_sites"))
 
 
+def self_kinship(values: DataFrame) -> DataFrame:
+    """Kinship of each sample to itself, sum z^2 / sum w over its informative sites, and their number."""
+    return centred(values).groupBy("sample").agg((F.sum(F.col("z") * F.col("z")) / F.nullif(F.sum("w"), F.lit(0.0))).alias("kinship_self"), F.count(F.lit(1)).alias("n_sites"))
+
+
 def robust_z(df: DataFrame, by: Sequence[str], value: str, out: str = "robust_z", least: int = 1) -> DataFrame:
     """(value - median) / (1.4826 * MAD) within groups of at least ``least`` values; null if the MAD is 0."""
     group = Window.partitionBy(*by)
@@ -115,26 +122,50 @@ def kinship_flags(kin: DataFrame, samples: DataFrame, flag_sd: float = 3.0, marg
     return held.select(*samples.columns, "kinship_own", "n_sites_own", "own_z", F.col("b.group").alias("closest_other"), F.col("b.kinship").alias("kinship_other"), "reasons", (F.size(F.array_remove("reasons", "insufficient_sites")) > 0).alias("flag"))
 
 
+def kept_markers(counts: DataFrame, markers: DataFrame, drop_invariant: bool = True) -> DataFrame:
+    """(contig, pos) of the markers that have a count row, with ``drop_invariant`` those with ALT reads in some line only."""
+    here = counts.join(markers.select("contig", "pos").distinct(), ["contig", "pos"], "left_semi").groupBy("contig", "pos").agg(F.max("alt").alias("top"))
+    return (here.where(F.col("top") > 0) if drop_invariant else here).select("contig", "pos")
+
+
+def span_share(lengths: DataFrame, chrom: str, start: int = 1, end: int | None = None) -> float:
+    """The share of its chromosome that a region covers, by an index (chrom, length); the end is clipped to the chromosome."""
+    if start < 1 or end is not None and end < start:
+        raise GuardError(f"bad region {chrom}:{start}-{end}")
+    row = lengths.where(F.col("chrom") == chrom).select(F.max("length")).first()[0]
+    if row is None:
+        raise GuardError(f"chromosome {chrom} is not in the index")
+    return (min(end or row, row) - start + 1) / row
+
+
 def line_marker_qc(counts: DataFrame, markers: DataFrame, lines: DataFrame, rigidity: int, reference_markers: int, span_share: float = 1.0, factor: float = 2.0, drop_invariant: bool = True) -> DataFrame:
-    """Per line x contig of the markers: kept markers, covered ones, reads, depth, the floor and whether contig and line pass.
+    """Per line x contig of the markers: kept markers, covered ones, reads, depth, the floor and whether contig and line pass, with the reason.
 
     ``counts``: line, contig, pos, ref, alt. A marker without any count row is never kept; with ``drop_invariant`` one without ALT reads
-    in any line neither. Effective rigidity = max(1, round half even(rigidity * kept / (span_share * reference_markers))).
+    in any line neither. Effective rigidity = max(1, round half even(rigidity * kept / (span_share * reference_markers))), or rigidity as
+    given if ``reference_markers`` is 0; ``span_share`` comes from :func:`span_share`. Without any marker no line passes (contig ``.``).
     """
-    here = counts.join(markers.select("contig", "pos").distinct(), ["contig", "pos"], "left_semi")
-    some = here.groupBy("contig", "pos").agg(F.max("alt").alias("top"))
-    kept = some.where(F.col("top") > 0) if drop_invariant else some
-    kept = kept.select("contig", "pos")
+    wanted = markers.select("contig", "pos").distinct()
+    kept = kept_markers(counts, markers, drop_invariant)
     n = kept.agg(F.count(F.lit(1)).alias("n")).scalar()
     effective = F.greatest(F.lit(1), F.bround(F.lit(float(rigidity)) * n / (span_share * reference_markers)).cast("long")) if reference_markers else F.lit(rigidity).cast("long")
-    per = markers.select("contig", "pos").distinct().groupBy("contig").agg(F.count(F.lit(1)).alias("markers"))
     kc = kept.groupBy("contig").agg(F.count(F.lit(1)).alias("markers_kept"))
-    cov = here.join(kept, ["contig", "pos"], "left_semi").where(F.col("ref") + F.col("alt") > 0).groupBy("line", "contig").agg(F.count(F.lit(1)).alias("covered"), F.sum(F.col("ref") + F.col("alt")).alias("reads"))
-    grid = lines.select("line").distinct().crossJoin(F.broadcast(per.join(kc, "contig", "left").fillna(0, ["markers_kept"])))
+    per = wanted.groupBy("contig").agg(F.count(F.lit(1)).alias("markers")).join(kc, "contig", "left").fillna(0, ["markers_kept"])
+    none = counts.sparkSession.range(1).where(wanted.agg(F.count(F.lit(1))).scalar() == 0).select(F.lit(".").alias("contig"), F.lit(0).cast("long").alias("markers"), F.lit(0).cast("long").alias("markers_kept"))
+    cov = counts.join(kept, ["contig", "pos"], "left_semi").where(F.col("ref") + F.col("alt") > 0).groupBy("line", "contig").agg(F.count(F.lit(1)).alias("covered"), F.sum(F.col("ref") + F.col("alt")).alias("reads"))
+    grid = lines.select("line").distinct().crossJoin(sized(per.unionByName(none)))
     out = grid.join(cov, ["line", "contig"], "left").fillna(0, ["covered", "reads"]).withColumn("rigidity", effective)
     out = out.withColumn("floor", F.greatest(F.ceil(factor * F.col("rigidity")), 2 * F.col("rigidity")))
-    out = out.withColumn("contig_pass", F.col("covered") >= F.col("floor")).withColumn("mean_depth", F.col("reads") / F.when(F.col("covered") > 0, F.col("covered")))
-    return out.withColumn("line_pass", F.bool_and("contig_pass").over(Window.partitionBy("line")))
+    out = out.withColumn("contig_pass", (F.col("covered") >= F.col("floor")) & (F.col("markers") > 0)).withColumn("mean_depth", F.col("reads") / F.when(F.col("covered") > 0, F.col("covered")))
+    reason = F.when(F.col("markers") == 0, "no_markers").when(~F.col("contig_pass"), "below_marker_floor").otherwise(".")
+    return out.withColumn("reason", reason).withColumn("line_pass", F.bool_and("contig_pass").over(Window.partitionBy("line")))
+
+
+def line_observations(counts: DataFrame, markers: DataFrame, line_qc: DataFrame, drop_invariant: bool = True) -> DataFrame:
+    """Counts of passing lines at kept markers, without empty ones: (line, contig, pos, ref, alt), what ancestry inference starts from."""
+    good = line_qc.where("line_pass").select("line").distinct()
+    held = counts.where(F.col("ref") + F.col("alt") > 0).join(kept_markers(counts, markers, drop_invariant), ["contig", "pos"], "left_semi")
+    return held.join(sized(good), "line", "left_semi").select("line", "contig", "pos", "ref", "alt")
 
 
 def sample_decision(samples: DataFrame, coverage: DataFrame, tables: dict[str, DataFrame | None], fail_on: Sequence[str] = ("relatedness", "donor_content")) -> DataFrame:
@@ -171,7 +202,7 @@ def exclusions(decisions: DataFrame, line_qc: DataFrame) -> DataFrame:
 def role_groups(samples: DataFrame, regions: DataFrame, excluded: DataFrame) -> DataFrame:
     """Samples of each donor, role and region in order; excluded ones never return and an empty group vanishes."""
     kept = samples.join(excluded.select("sample").distinct(), "sample", "left_anti")
-    return kept.groupBy("donor", "role").agg(F.array_sort(F.collect_list("sample")).alias("samples")).crossJoin(F.broadcast(regions))
+    return kept.groupBy("donor", "role").agg(F.array_sort(F.collect_list("sample")).alias("samples")).crossJoin(sized(regions))
 
 
 def duplicates(df: DataFrame, key: Sequence[str], order: str, policy: str = "last") -> DataFrame:
@@ -180,9 +211,3 @@ def duplicates(df: DataFrame, key: Sequence[str], order: str, policy: str = "las
     pick = F.max_by if policy == "last" else F.min_by
     return df.groupBy(*key).agg(pick(F.struct(*rest), F.col(order)).alias("__r")).select(*key, "__r.*")
 
-
-def genomic_control(p_median_chi2: float) -> float:
-    """Inflation factor from the median of one-degree chi-squares."""
-    return p_median_chi2 / 0.4549364231195724
-
-

@@ -8,27 +8,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedwork.functions.stats import chi_square_2
-from seedwork.operators.intervals import state_at
+from seedwork.operators.intervals import state_at, state_in
+from seedwork.session import sized
 
 #: Expected shares of 0, 1 and 2 donor copies after backcrossing twice and selfing twice or three times. Fixed values.
 EXPECT = {"bc2s2": (27 / 32, 1 / 16, 3 / 32), "bc2s3": (55 / 64, 1 / 32, 7 / 64)}
 
 
-def raster(alleles: DataFrame, segments: DataFrame, failed: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
+def raster(alleles: DataFrame, segments: DataFrame, failed: DataFrame | None = None, lines: DataFrame | None = None, bound: int = 500_000) -> DataFrame:
     """Every line x bi-allelic site: ancestry x, genotype gt and expected dosage.
 
     ``alleles``: chrom, pos, allele (ALT, REF or null), p_alt. ``segments``: line, chrom, start, end, state. Lines come from segments,
     ``failed`` and ``lines``; a failed line is unknown everywhere. The product of lines and sites is the result itself. gt = x at ALT, 0 at REF,
-    0 where x is 0, else unknown; dosage = 0 where x is 0, else x * p_alt.
+    0 where x is 0, else unknown; dosage = 0 where x is 0, else x * p_alt. Up to ``bound`` segments (counted) are looked up within the row, more by a
+    shuffled lookup with the same result. Sites of null chromosome have no segments.
     """
     names = segments.select("line").distinct()
     for more in (failed, lines):
         names = names if more is None else names.union(more.select("line")).distinct()
-    cells = alleles.crossJoin(F.broadcast(names))  # one small column of line names
-    cells = state_at(cells, segments, ["line", "chrom"], "pos", "start", "end", "state", "x")
     if failed is not None:
-        out = F.broadcast(failed.select("line").distinct().withColumn("__failed", F.lit(True)))
-        cells = cells.join(out, "line", "left").withColumn("x", F.when(F.col("__failed").isNull(), F.col("x"))).drop("__failed")
+        segments = segments.join(sized(failed.select("line").distinct()), "line", "left_anti")
+    if segments.limit(bound + 1).count() <= bound:
+        # A line's segments on a chromosome are few: they travel as one array with the line, and cells are never shuffled.
+        held = segments.groupBy("line", "chrom").agg(F.array_sort(F.collect_list(F.struct("start", "end", "state"))).alias("__segs"))
+        chroms = alleles.select("chrom").distinct()
+        grid = names.crossJoin(sized(chroms)).join(held, ["line", "chrom"], "left")
+        cells = alleles.join(sized(grid), "chrom").withColumn("x", state_in("__segs", F.col("pos"))).drop("__segs")
+    else:
+        cells = state_at(alleles.crossJoin(sized(names)), segments, ["line", "chrom"], "pos", "start", "end", "state", "x")
     x = F.col("x")
     gt = F.when(F.col("allele") == "ALT", x).when(F.col("allele") == "REF", F.when(x.isNotNull(), 0)).when(x == 0, 0)
     return cells.withColumn("gt", gt).withColumn("dosage", F.when(x == 0, F.lit(0.0)).otherwise(x * F.col("p_alt")))
@@ -40,17 +47,25 @@ def matrix(cells: DataFrame, site: Sequence[str], lines: Sequence, value: str =
     return got
 
 
-def line_summary(segments: DataFrame, failed: DataFrame, expect: Sequence[float] = EXPECT["bc2s2"]) -> DataFrame:
-    """Length in each state per line, and a total (line null) that leaves out failed lines."""
+def line_summary(segments: DataFrame, failed: DataFrame, expect: Sequence[float] = EXPECT["bc2s2"], cells: DataFrame | None = None) -> DataFrame:
+    """Length in each state per line, and a total (line null) that leaves out failed lines. With ``cells`` (of :func:`raster`) also the
+    sites of each genotype, sites without one and their share; lines come from both."""
     size = F.col("end") - F.col("start") + 1
+    names = [f"length_x{v}" for v in (0, 1, 2)]
     rows = segments.groupBy("line").agg(*[F.sum(F.when(F.col("state") == v, size).otherwise(0)).alias(f"length_x{v}") for v in (0, 1, 2)])
-    rows = rows.join(F.broadcast(failed.select("line").distinct().withColumn("excluded", F.lit(True))), "line", "left").withColumn("excluded", F.coalesce("excluded", F.lit(False)))
-    total = rows.where(~F.col("excluded")).agg(*[F.sum(f"length_x{v}").alias(f"length_x{v}") for v in (0, 1, 2)]).withColumn("line", F.lit(None).cast(rows.schema["line"].dataType)).withColumn("excluded", F.lit(False))
+    if cells is not None:
+        counts = [*[F.count_if(F.col("gt") == v).alias(f"sites_gt{v}") for v in (0, 1, 2)], F.count_if(F.col("gt").isNull()).alias("sites_na")]
+        names += ["sites_gt0", "sites_gt1", "sites_gt2", "sites_na"]
+        rows = rows.join(cells.groupBy("line").agg(*counts), "line", "full").fillna(0, names)
+    rows = rows.join(sized(failed.select("line").distinct().withColumn("excluded", F.lit(True))), "line", "left").withColumn("excluded", F.coalesce("excluded", F.lit(False)))
+    total = rows.where(~F.col("excluded")).agg(*[F.sum(c).alias(c) for c in names]).withColumn("line", F.lit(None).cast(rows.schema["line"].dataType)).withColumn("excluded", F.lit(False))
     both = rows.unionByName(total.select(*rows.columns))
-    called = F.col("length_x0") + F.col("length_x1") + F.col("length_x2")
-    both = both.withColumn("called", called)
+    both = both.withColumn("called", F.col("length_x0") + F.col("length_x1") + F.col("length_x2"))
     for v in (0, 1, 2):
         both = both.withColumn(f"share_x{v}", F.col(f"length_x{v}") / F.when(F.col("called") > 0, F.col("called"))).withColumn(f"expect_x{v}", F.lit(float(expect[v])))
+    if cells is not None:
+        both = both.withColumn("sites", sum((F.col(c) for c in names[4:]), F.col("sites_gt0")))
+        both = both.withColumn("no_call_share", F.col("sites_na") / F.when(F.col("sites") > 0, F.col("sites")))
     return both
 
 
@@ -71,7 +86,7 @@ def painting(segments: DataFrame, failed: DataFrame | None = None) -> DataFrame:
         return rects
     out = failed.select("line").distinct()
     grey = out.select("line", frame["a"].alias("start"), frame["b"].alias("end"), F.lit("excluded").alias("fill"))
-    return rects.join(F.broadcast(out), "line", "left_anti").unionByName(grey)
+    return rects.join(sized(out), "line", "left_anti").unionByName(grey)
 
 
 def family_regression(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
@@ -95,3 +110,19 @@ def permutation_threshold(tests: DataFrame, permutation: str, score: str, share:
 def store_rollup(files: DataFrame) -> DataFrame:
     """Files, bytes and whether all are complete, per library."""
     return files.groupBy("library").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.bool_and("complete").alias("complete"))
+
+
+def qq_points(tests: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
+    """Observed and expected -log10 of p-values for a QQ plot; the expectation of rank i of n is (i - a) / (n + 1 - 2a), a = 3/8 up to ten values, else 1/2.
+
+    Equal p-values share one row with their ranks' mean, so a hot value is no hot task; nulls are left out.
+    """
+    from pyspark.sql import Window
+
+    counted = tests.where(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count(F.lit(1)).alias("k"))
+    group = Window.partitionBy(*by)
+    n = F.sum("k").over(group)
+    rank = F.sum("k").over(group.orderBy(p).rowsBetween(Window.unboundedPreceding, 0)) - (F.col("k") - 1) / 2
+    a = F.when(F.col("n") <= 10, 0.375).otherwise(0.5)
+    held = counted.withColumn("n", n).withColumn("rank", rank)
+    return held.select(*by, p, "k", (-F.log10(F.when(F.col(p) > 0, F.col(p)))).alias("observed"), (-F.log10((F.col("rank") - a) / (F.col("n") + 1 - 2 * a))).alias("expected"))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seedwork.plans import assay_queries, cohort_queries, data_queries
+from seedwork.plans import assay_queries, cohort_queries, data_queries, table_queries
 
-_PARTS = (data_queries, assay_queries, cohort_queries)
+_PARTS = (data_queries, assay_queries, cohort_queries, table_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", app: str = "seedwork", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -17,6 +18,7 @@ def local_session(cores: int | str = "*", app: str = "seedwork", partitions: int
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -26,15 +28,23 @@ def local_session(cores: int | str = "*", app: str = "seedwork", partitions: int
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the folder all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary folder of this process is used.
+    The folder is the session's ``spark.checkpoint.dir``. Only a session on one machine (``local``) may do without; there a temporary folder
+    of this process is used. On a cluster a missing folder is an error, since executors would write where nobody else can read.
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="seedwork-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
+def sized(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """The table with a broadcast hint if it has at most ``rows`` rows, counted no further than that; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))

@@ -53,7 +53,7 @@ def as_text(df: DataFrame, null: str = "NA", empty: str = ".") -> DataFrame:
 
 
 def export_tsv(df: DataFrame, path: str, order: Sequence[str], header: bool = True, gzip: bool = False) -> None:
-    """One ordered tab-separated file for people; the order is made on the typed columns."""
+    """One ordered tab-separated file for people; the order is made on the typed columns. Bytes depend on the rows alone (gzip headers hold no time)."""
     text = as_text(df.orderBy(*order)).coalesce(1)
     text.write.mode("errorifexists").option("header", header).option("sep", "\t").option("quote", "").option("compression", "gzip" if gzip else "none").csv(path)
 
@@ -100,3 +100,95 @@ def register_all(rows: DataFrame, expected: DataFrame, present: DataFrame, path:
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """Check mode: rows of either side that the other lacks, multiplicity counted, with the side."""
     return a.exceptAll(b).withColumn("side", F.lit("made")).unionByName(b.exceptAll(a).withColumn("side", F.lit("stored")))
+
+
+def write_provenance(spark: SparkSession, path: str, record: dict[str, object]) -> None:
+    """One JSON document with sorted keys, created exclusively: an existing one is never replaced."""
+    fs, p = _fs(spark, path)
+    body = json.dumps(record, sort_keys=True, indent=1) + "\n"
+    try:
+        stream = fs.create(p, False)
+    except Exception as e:  # Hadoop's FileAlreadyExistsException comes as a Py4J error
+        if fs.exists(p):
+            raise GuardError(f"{path} is there already") from e
+        raise
+    stream.write(bytearray(body.encode()))
+    stream.close()
+
+
+def swap(tables: dict[str, DataFrame]) -> None:
+    """Several tables replaced together: all are written beside their places first, then moved; if one cannot be written, none is touched.
+
+    The moves are renames; what was there is kept as ``.before`` until all are done, and put back if a move fails.
+    """
+    if not tables:
+        return
+    for path, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}.staged")
+    spark = next(iter(tables.values())).sparkSession
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    done: list[str] = []
+    try:
+        for path in tables:
+            at = path.rstrip("/")
+            fs, p = _fs(spark, at)
+            before = path_of(f"{at}.before")
+            fs.delete(before, True)
+            if fs.exists(p) and not fs.rename(p, before):
+                raise GuardError(f"{path} could not be put aside")
+            done.append(at)
+            if not fs.rename(path_of(f"{at}.staged"), p):
+                raise GuardError(f"{path} could not be put in place")
+    except Exception:
+        for at in done:
+            fs, p = _fs(spark, at)
+            before = path_of(f"{at}.before")
+            if fs.exists(before):
+                fs.delete(p, True)
+                fs.rename(before, p)
+        raise
+    for at in done:
+        fs, _ = _fs(spark, at)
+        fs.delete(path_of(f"{at}.before"), True)
+
+
+def checkpoint_step(df: DataFrame, folder: str, step: str) -> DataFrame:
+    """The result of a step, kept once under ``<folder>/<step>`` and read from there from then on; a half-written one does not count."""
+    return stored_or(df.sparkSession, f"{folder.rstrip('/')}/{step}", lambda: df)
+
+
+def run_info(spark: SparkSession, unit: str, options: object, **more: object) -> DataFrame:
+    """The manifest of a run: every field of its options (a dataclass) and whatever else is given."""
+    from dataclasses import asdict
+
+    return manifest(spark, unit, {**asdict(options), **more})
+
+
+def collect_file(parts: Sequence[DataFrame], path: str, order: Sequence[str]) -> None:
+    """Tables of one shape in one ordered text file."""
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    export_tsv(whole, path, order)
+
+
+def pairs_text(pairs: str) -> object:
+    """Counts of pools (array of pool, a, n) as ``pool:a/n;...``, a dot where there are none."""
+    one = F.transform(pairs, lambda x: F.concat_ws("", x["pool"].cast("string"), F.lit(":"), x["a"].cast("string"), F.lit("/"), x["n"].cast("string")))
+    return F.when(F.size(pairs) > 0, F.array_join(one, ";")).otherwise(".")
+
+
+def contig_order(df: DataFrame, contig: str, at: str) -> DataFrame:
+    """Adds ``contig_rank``: contigs in the order in which they first appear by ``at``, of one place by name. One row a contig is joined back."""
+    from pyspark.sql import Window
+
+    first = df.groupBy(contig).agg(F.min(at).alias("__first"))
+    ranked = first.withColumn("contig_rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("__first", contig))).drop("__first")  # contigs are few
+    on = df[contig].eqNullSafe(ranked[contig])
+    return df.join(ranked, on, "left").drop(ranked[contig])
+
+
+def formatted(df: DataFrame, rules: dict[str, str], null: str = "NA") -> DataFrame:
+    """Columns as text by rules such as ``%.6f``; others as :func:`as_text` writes them."""
+    cols = [F.coalesce(F.when(F.col(c).isNotNull(), F.format_string(rules[c], F.col(c))), F.lit(null)).alias(c) if c in rules else F.col(c) for c in df.columns]
+    return as_text(df.select(*cols), null)
