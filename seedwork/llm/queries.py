@@ -39,6 +39,17 @@ def p2_runs(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles(obs, parts, ("run_id",), _METRICS)
 
 
+def p2_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """By sample, run and day: values, quantiles answered, and how many of them are certified to be within the bound."""
+    obs, parts = _loads(spark, sf)
+    out = None
+    for group in ("sample", "run_id", "day"):
+        got = percentiles(obs, parts, (group,), _METRICS).groupBy(group, "metric", "n").agg(F.count(F.lit(1)).cast("int").alias("quantiles"), F.count_if(F.col("rank_error") <= F.col("error_bound")).cast("int").alias("within"))
+        got = got.select(F.lit(group).alias("grouping"), F.col(group).cast("string").alias("key"), "metric", "n", "quantiles", "within")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 def p3_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Every piece of every oversized track, positions left out."""
     return split_tracks(table(spark, sf, "ancestry_obs")).drop("positions")
@@ -92,9 +103,23 @@ def p9_rates(spark: SparkSession, sf: str) -> DataFrame:
     return rates(p9_scores(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p2_percentiles, p2_days, p2_runs, p3_found, p3_pieces, p7_ids, p8_mix, p8_shares, p8_bounds, p9_found, p9_scores, p9_rates)}
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_days, p2_runs, p2_bounds, p3_found, p3_pieces, p7_ids, p8_mix, p8_shares, p8_bounds, p9_found, p9_scores, p9_rates)}
+
+
+
+def _p2_sql(group: str) -> str:
+    """Exact percentiles. Digests keep equal values together, so on counts of one sample their certified error is 0 and the values are these."""
+    values = " UNION ALL ".join(f"SELECT {group}, '{m}' AS metric, CAST({m} AS DOUBLE) AS v FROM ancestry_obs WHERE {m} >= 0" for m in _METRICS)
+    return f"""WITH v AS ({values}), s AS (SELECT {group}, metric, list_sort(list(v)) AS a, count(*) AS n FROM v GROUP BY {group}, metric), q AS (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]::DOUBLE[]) AS q)
+ SELECT {group}, metric, n, q, a[CAST(greatest(1, ceil(n * q - 1e-9)) AS BIGINT)] AS estimate, CAST(0 AS DOUBLE) AS rank_error, CAST(0.01 AS DOUBLE) AS error_bound FROM s CROSS JOIN q"""
+
 
 ORACLES = {
+    "p2_percentiles": _p2_sql("sample"),
+    "p2_bounds": "WITH r AS (SELECT *, CAST(loaded_at AS DATE) AS day FROM ancestry_obs), "
+    + "c AS ("
+    + " UNION ALL ".join(f"SELECT '{g}' AS grouping, CAST({g} AS VARCHAR) AS key, '{m}' AS metric, count(*) AS n FROM r WHERE {m} >= 0 GROUP BY {g}" for g in ("sample", "run_id", "day") for m in _METRICS)
+    + ") SELECT grouping, key, metric, n, 5 AS quantiles, 5 AS within FROM c",
     "p8_bounds": """WITH t AS (SELECT source, greatest(coalesce(max(target_share), 0), 0) AS share, coalesce(min(max_repeats), 1) AS cap FROM source_targets WHERE source IS NOT NULL GROUP BY source),
  d AS (SELECT source, count(*) AS n_docs, count_if(text <> '') AS live FROM documents GROUP BY source),
  a AS (SELECT t.source, share, CASE WHEN share > 0 AND cap > 0 AND coalesce(live, 0) > 0 THEN share / sum(CASE WHEN share > 0 AND cap > 0 AND coalesce(live, 0) > 0 THEN share END) OVER () ELSE 0 END AS aim FROM t LEFT JOIN d ON t.source = d.source)
