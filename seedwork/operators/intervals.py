@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from seedwork.operators.labels import GuardError
 
 
-def merge_intervals(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", touch: int = 0) -> DataFrame:
-    """Overlapping or touching intervals become one. ``touch`` is the distance still counted as touching (0 for half-open ends, 1 for
-    inclusive integers). Running maximum of the ends, then islands; one shuffle."""
+#: Bases of one part of a group in windows along a line: a chromosome is no single task.
+PART = 1 << 22
+
+
+def _islands(df: DataFrame, by: Sequence[str], start: str, end: str, touch: int) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(start, end)
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     rows = df.withColumn("__new", F.when(before.isNull() | (F.col(start) > before + touch), 1).otherwise(0))
@@ -23,6 +25,18 @@ def merge_intervals(df: DataFrame, by: Sequence[str], start: str = "start", end:
     return rows.groupBy(*by, "__run").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__run")
 
 
+def merge_intervals(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", touch: int = 0, part: int = PART) -> DataFrame:
+    """Overlapping or touching intervals become one. ``touch`` is the distance still counted as touching (0 for half-open ends, 1 for
+    inclusive integers). Running maximum of the ends, then islands.
+
+    Intervals are merged first within parts of ``part`` bases by their start, which spreads a large group, then the islands of all parts; repeated
+    intervals collapse before the shuffle. Null starts and ends form no interval.
+    """
+    rows = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).groupBy(*by, start, end).agg(F.first(F.lit(1)).alias("__one")).drop("__one")
+    cut = rows.withColumn("__part", F.floor(F.col(start) / part))
+    return _islands(_islands(cut, [*by, "__part"], start, end, touch).drop("__part"), by, start, end, touch)
+
+
 def clip_intervals(df: DataFrame, low: int, high: int, start: str = "start", end: str = "end") -> DataFrame:
     """Half-open intervals cut to [low, high); empty ones go."""
     cut = df.withColumn(start, F.greatest(F.col(start), F.lit(low))).withColumn(end, F.least(F.col(end), F.lit(high)))
@@ -84,13 +98,34 @@ def breakpoints(segments: DataFrame, line: str = "line", start: str = "start", e
     return rows.where(F.col("__v") != F.col("__v2")).select(line, ((F.col("__e") + F.col("__s2")) / 2.0).alias("breakpoint"))
 
 
-def marker_ranks(points: DataFrame, markers: DataFrame, by: Sequence[str], position: str = "pos") -> DataFrame:
+def running_counts(points: DataFrame, items: DataFrame, by: Sequence[str], position: str, values: Sequence[str], include: bool, part: int = PART) -> DataFrame:
+    """Adds to the points, for each of ``values``, its sum over the items of the group below each point (``include``: up to each point).
+
+    ``items``: by..., ``position``, values. Groups are cut in parts along the line: parts' totals, summed up, give what lies before a part, and a
+    window runs within each part only.
+    """
+    keys = list(by)
+    at = lambda df: df.withColumn("__p", F.col(position).cast("double")).withColumn("__part", F.floor(F.col("__p") / part))
+    held = at(items).groupBy(*keys, "__part", "__p").agg(*[F.sum(v).alias(f"__v_{v}") for v in values])
+    totals = held.groupBy(*keys, "__part").agg(*[F.sum(f"__v_{v}").alias(f"__t_{v}") for v in values])
+    # Totals of all parts that points or items lie in, and what lies before each.
+    pts = at(points)
+    every = pts.select(*keys, "__part").distinct().withColumn("__asked", F.lit(1)).unionByName(totals, allowMissingColumns=True)
+    line = Window.partitionBy(*keys).orderBy("__part")
+    per = every.groupBy(*keys, "__part").agg(*[F.coalesce(F.sum(f"__t_{v}"), F.lit(0)).alias(f"__t_{v}") for v in values], F.max("__asked").alias("__asked"))
+    before = per.select(*keys, "__part", "__asked", *[F.coalesce(F.sum(f"__t_{v}").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"__o_{v}") for v in values]).where("__asked = 1").drop("__asked")
+    # Of equal positions the points come first, so a running sum counts what is strictly below; with ``include`` they come last.
+    both = pts.withColumn("__k", F.lit(1 if include else -1)).unionByName(held.withColumn("__k", F.lit(0)), allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "__part").orderBy("__p", "__k").rowsBetween(Window.unboundedPreceding, 0)
+    own = both.select("*", *[F.coalesce(F.sum(f"__v_{v}").over(w), F.lit(0)).alias(f"__s_{v}") for v in values]).where(F.col("__k") != 0)
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, "__part")]
+    met = own.alias("a").join(before.alias("b"), on, "left")
+    return met.select(*[F.col(f"a.{c}").alias(c) for c in points.columns], *[(F.col(f"a.__s_{v}") + F.coalesce(F.col(f"b.__o_{v}"), F.lit(0))).alias(v) for v in values])
+
+
+def marker_ranks(points: DataFrame, markers: DataFrame, by: Sequence[str], position: str = "pos", part: int = PART) -> DataFrame:
     """Adds ``rank``: how many markers of the group lie strictly below each point."""
-    marks = markers.select(*by, F.col(position).cast("double").alias("__p")).groupBy(*by, "__p").agg(F.count(F.lit(1)).alias("__m"))
-    both = points.withColumn("__p", F.col(position).cast("double")).unionByName(marks, allowMissingColumns=True)
-    # Of equal positions the points come first, so a running sum counts what is strictly below.
-    w = Window.partitionBy(*by).orderBy("__p", F.col("__m").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("rank", F.coalesce(F.sum("__m").over(w), F.lit(0))).where(F.col("__m").isNull()).drop("__m", "__p")
+    return running_counts(points, markers.select(*by, position, F.lit(1).alias("rank")), by, position, ["rank"], False, part)
 
 
 def breakpoint_density(segments: DataFrame, sites: DataFrame, window: int = 500) -> DataFrame:
@@ -108,9 +143,7 @@ def breakpoint_density(segments: DataFrame, sites: DataFrame, window: int = 500)
     gaps = marker_ranks(sites.where("is_gap").select("chrom", "pos", "is_step2"), markers, ["chrom"]).groupBy("chrom", "rank").agg(F.count(F.lit(1)).alias("g"), F.count_if("is_step2").alias("g2"))
     ends = F.explode(F.array(F.struct((F.col("start") - 1).alias("rank"), F.lit(-1).alias("sign")), F.struct(F.col("end").alias("rank"), F.lit(1).alias("sign")))).alias("e")
     asked = merged.select("line", "chrom", ends).select("line", "chrom", "e.rank", "e.sign")
-    w = Window.partitionBy("chrom").orderBy("rank").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    both = asked.unionByName(gaps, allowMissingColumns=True)
-    told = both.withColumn("c", F.coalesce(F.sum("g").over(w), F.lit(0))).withColumn("c2", F.coalesce(F.sum("g2").over(w), F.lit(0))).where(F.col("sign").isNotNull())
+    told = running_counts(asked, gaps.withColumnsRenamed({"g": "c", "g2": "c2"}), ["chrom"], "rank", ["c", "c2"], True)
     near = told.groupBy("line").agg(F.sum(F.col("sign") * F.col("c")).alias("near"), F.sum(F.col("sign") * F.col("c2")).alias("near_2"))
     whole = gaps.agg(F.struct(F.coalesce(F.sum("g"), F.lit(0)).alias("g"), F.coalesce(F.sum("g2"), F.lit(0)).alias("g2"))).scalar()
     nb = breaks.groupBy("line").agg(F.count(F.lit(1)).alias("n_breakpoints"))

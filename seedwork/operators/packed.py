@@ -121,11 +121,9 @@ def split_packed(values: pa.Array, separators: str) -> pa.ListArray:
             last = np.searchsorted(start, np.arange(size), side="right") - 1
             opener = np.where(last >= 0, data[start[np.maximum(last, 0)]], 0)
         cand = np.flatnonzero(both & (opener[:-1] == data[:-1]))
-        keep = -2
-        for c in cand:  # runs of four and more quotes pair up from the left
-            if c > keep:
-                drop[c + 1] = True
-                keep = c + 1
+        # Runs of four and more quotes pair up from the left: every other one of consecutive candidates.
+        head = np.flatnonzero(np.concatenate([[True], np.diff(cand) != 1])) if len(cand) else cand
+        drop[cand[(np.arange(len(cand)) - np.repeat(head, np.diff(np.append(head, len(cand))))) % 2 == 0] + 1] = True
 
     text = (inside | ~is_sep) & ~edge
     used = text | edge  # a value is a run of text and enclosing quotes

@@ -157,3 +157,19 @@ def demux_summary(reports: DataFrame, barcodes: DataFrame) -> DataFrame:
 def unknown_adapters(reports: DataFrame, barcodes: DataFrame) -> DataFrame:
     """Adapters of the reports that the barcode table does not name."""
     return reports.select("library", F.inline("adapters")).select("library", F.col("name").alias("sample")).distinct().join(barcodes.select("library", "sample"), ["library", "sample"], "left_anti")
+
+
+def merge_lanes(lanes: dict[str, DataFrame], by: Sequence[str]) -> DataFrame:
+    """Reads of all lanes as one table with a ``lane`` column; lanes that hold the same group are told by :func:`lane_totals`."""
+    whole = None
+    for name, rows in sorted(lanes.items()):
+        part = rows.withColumn("lane", F.lit(name))
+        whole = part if whole is None else whole.unionByName(part)
+    if whole is None:
+        raise ValueError("no lanes")
+    return whole.select(*by, "lane", *[c for c in whole.columns if c not in (*by, "lane")])
+
+
+def lane_totals(merged: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Reads and lanes of each group, lanes in order."""
+    return merged.groupBy(*by).agg(F.count(F.lit(1)).alias("reads"), F.array_join(F.array_sort(F.collect_set("lane")), ",").alias("lanes"))

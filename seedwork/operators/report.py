@@ -126,3 +126,19 @@ def qq_points(tests: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
     a = F.when(F.col("n") <= 10, 0.375).otherwise(0.5)
     held = counted.withColumn("n", n).withColumn("rank", rank)
     return held.select(*by, p, "k", (-F.log10(F.when(F.col(p) > 0, F.col(p)))).alias("observed"), (-F.log10((F.col("rank") - a) / (F.col("n") + 1 - 2 * a))).alias("expected"))
+
+
+def cleanup_report(files: DataFrame) -> DataFrame:
+    """Per library: checkpoint files, their bytes, and those that may go: complete ones that nothing still needs. Nothing is deleted.
+
+    ``files``: library, path, bytes, complete, in_use.
+    """
+    goes = F.coalesce(F.col("complete") & ~F.col("in_use"), F.lit(False))
+    got = files.groupBy("library").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.count_if(goes).alias("removable"), F.coalesce(F.sum(F.when(goes, F.col("bytes"))), F.lit(0)).alias("removable_bytes"))
+    return got.withColumn("all_removable", F.when(F.col("removable") == F.col("files"), "yes").otherwise("no"))
+
+
+def cleanup_commands(files: DataFrame) -> DataFrame:
+    """One shell line a file that may go, for a person to read and run; quotes in paths are escaped."""
+    goes = F.coalesce(F.col("complete") & ~F.col("in_use"), F.lit(False))
+    return files.where(goes).select("library", F.concat(F.lit("rm -- '"), F.replace("path", F.lit("'"), F.lit("'\\''")), F.lit("'")).alias("command"))

@@ -20,36 +20,39 @@ def viterbi_rigid(ref: np.ndarray, alt: np.ndarray, rigidity: int, error: float
     n = len(ref)
     rate = np.array([error, 0.5, 1 - error])
     emit = np.log(rate)[:, None] * alt + np.log(1 - rate)[:, None] * ref
-    pre = np.concatenate([np.zeros((3, 1)), np.cumsum(emit, axis=1)], axis=1)
+    pre = np.concatenate([np.zeros((3, 1)), np.cumsum(emit, axis=1)], axis=1).T.tolist()
+    emit = emit.T.tolist()
     r = max(1, min(rigidity, n))
-    cost = np.log(switch)
-    best = np.full((n + 1, 3), -np.inf)
-    came = np.full((n + 1, 3, 2), -1, dtype=np.int64)  # start of the run, state before it
-    grow = np.zeros((n + 1, 3), dtype=bool)
+    cost, low = float(np.log(switch)), float("-inf")
+    best = [[low] * 3]  # by marker: value of each state as the end of a run that is long enough
+    came = [[None] * 3]  # where that run began and the state before it, or null where it grew by one
     for i in range(1, n + 1):
-        for s in range(3):
-            v = best[i - 1, s] + emit[s, i - 1] if i > 1 else -np.inf
-            best[i, s], grow[i, s] = v, True
-            if i == r or i < r and i == n:
-                w = pre[s, i]
-                if w > best[i, s]:
-                    best[i, s], grow[i, s], came[i, s] = w, False, (0, -1)
-            elif i > r:
-                j = i - r
-                others = [(best[j, t], t) for t in range(3) if t != s]
-                top, t = max(others)
-                w = top + cost + pre[s, i] - pre[s, j]
-                if w > best[i, s]:
-                    best[i, s], grow[i, s], came[i, s] = w, False, (j, t)
+        value, start = [v + e for v, e in zip(best[i - 1], emit[i - 1])], [None] * 3
+        if i == r:
+            for s in range(3):
+                if pre[i][s] > value[s]:
+                    value[s], start[s] = pre[i][s], (0, -1)
+        elif i > r:
+            j = i - r
+            old = best[j]
+            a = max(range(3), key=lambda t: (old[t], t))
+            b = max((t for t in range(3) if t != a), key=lambda t: (old[t], t))
+            for s in range(3):
+                t = b if s == a else a
+                w = old[t] + cost + pre[i][s] - pre[j][s]
+                if w > value[s]:
+                    value[s], start[s] = w, (j, t)
+        best.append(value)
+        came.append(start)
     out = np.empty(n, dtype=np.int64)
-    i, s = n, int(np.argmax(best[n]))
+    i, s = n, max(range(3), key=lambda t: best[n][t]) if n else 0
     while i > 0:
         k = i
-        while grow[k, s]:
+        while came[k][s] is None:
             k -= 1
-        j, t = came[k, s]
+        j, t = came[k][s]
         out[j:i] = s
-        i, s = int(j), int(t)
+        i, s = j, t
     return out
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +50,23 @@ def sized(df: DataFrame, rows: int = 200_000) -> DataFrame:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this package where they would not find it by themselves; once a session.
+
+    Nothing is done if it is installed, named in PYTHONPATH or lies in the working folder, as workers then import it like the driver.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *(p for p in sys.path if "-packages" in p)]
+    if getattr(spark, "_seedwork_shipped", False) or any(p and os.path.abspath(p) == root for p in known):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="seedwork-code-"), "seedwork.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "seedwork")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)  # Spark itself brings the file to the executors
+    spark._seedwork_shipped = True

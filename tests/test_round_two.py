@@ -253,3 +253,57 @@ def test_stamps_counts_and_quantiles(spark):
     assert [(r.p, r.k) for r in got] == [(0.01, 1), (0.5, 2)] and got[0].expected > got[1].expected
     lines = spark.createDataFrame([("f", (s, n), x) for s, n, x in ((0, 0, "@1"), (0, 1, "AC"), (0, 2, "+"), (50, 3, "II"), (50, 4, "@2"), (50, 5, "GT"), (90, 6, "+"), (90, 7, "II"))], "file string, at struct<split:long,n:long>, line string")
     assert rows(readers.fastq(lines)) == [("f", 0, "AC"), ("f", 1, "GT")] and rows(readers.fastq(lines, 1)) == [("f", 0, "AC")]
+
+
+def test_windows_along_a_line_in_parts(spark):
+    import random
+
+    rng = random.Random(9)
+    data = [(g, s, s + rng.randint(1, 30)) for g in ("a", None) for s in (rng.randint(-300, 2000) for _ in range(120))] + [("a", 5, None), ("a", None, 7)]
+    df = spark.createDataFrame(data, "g string, start long, end long")
+    for touch in (0, 1):
+        whole, parts = (rows(intervals.merge_intervals(df, ["g"], touch=touch, part=p)) for p in (1 << 22, 16))
+        assert whole == parts
+        covered = {(g, x) for g, s, e in data if s is not None and e is not None for x in range(s, e + touch)}
+        assert {(g, x) for g, s, e in whole for x in range(s, e + touch)} == covered
+    marks = spark.createDataFrame([(g, rng.randint(0, 50)) for g in ("a", "b", None) for _ in range(60)], "g string, pos long")
+    points = spark.createDataFrame([(g, i, i / 2) for i, g in enumerate(["a", "b", "z", None] * 30)], "g string, id int, pos double")
+    every = marks.collect()
+    for part in (1 << 22, 7):
+        got = intervals.marker_ranks(points, marks, ["g"], part=part).collect()
+        assert len(got) == 120 and all(r.rank == sum(m.g == r.g and m.pos < r.pos for m in every) for r in got)
+
+
+def test_cleanup_lists_and_lanes(spark):
+    f = spark.createDataFrame([("L", "/a'b", 5, True, False), ("L", "/c", 6, True, True), ("M", "/d", 1, True, False), ("N", "/e", None, None, None)], "library string, path string, bytes long, complete boolean, in_use boolean")
+    assert rows(report.cleanup_report(f)) == sorted([("L", 2, 11, 1, 5, "no"), ("M", 1, 1, 1, 1, "yes"), ("N", 1, None, 0, 0, "no")], key=repr)
+    assert rows(report.cleanup_commands(f)) == [("L", "rm -- '/a'\\''b'"), ("M", "rm -- '/d'")]
+    one = spark.createDataFrame([("s", "AC"), ("t", "GG")], "sample string, seq string")
+    merged = reads.merge_lanes({"2": one, "1": one.where("sample = 's'")}, ["sample"])
+    assert merged.columns == ["sample", "lane", "seq"] and rows(reads.lane_totals(merged, ["sample"])) == [("s", 2, "1,2"), ("t", 1, "2")]
+
+
+def test_workers_get_the_package_only_where_they_lack_it(spark, monkeypatch, tmp_path):
+    sent = []
+
+    class Session:
+        class sparkContext:
+            addPyFile = staticmethod(sent.append)
+
+    session.ship(Session())
+    assert sent == []  # the working folder or PYTHONPATH has it
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setenv("PYTHONPATH", "")
+    other = Session()
+    session.ship(other)
+    session.ship(other)
+    assert len(sent) == 1 and "seedwork/session.py" in zipfile.ZipFile(sent[0]).namelist()
+
+
+def test_quotes_in_runs_pair_up_from_the_left():
+    import pyarrow as pa
+
+    from seedwork.operators.packed import split_packed
+
+    got = split_packed(pa.array(["\"a\"\"\"\"b\" 'x'", "'it''s' \"q\"", "\"\"\"\" 'y'"]), ";").to_pylist()
+    assert got == [['a""b', "x"], ["it's", "q"], ['"', "y"]]
