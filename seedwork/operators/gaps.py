@@ -70,6 +70,11 @@ class GapOptions:
         for name, value, known in (("source", self.source, ("other_donors", "mu_only", "fixed")), ("scope", self.scope, ("all", "same_taxon"))):
             if value not in known:
                 raise ValueError(f"{name} is {value!r}, not one of {', '.join(known)}")
+        for name in ("posterior", "fixed"):
+            if not 0 < getattr(self, name) < 1:
+                raise ValueError(f"{name} must be between 0 and 1, both excluded")
+        if self.weight <= 0 or self.alpha <= 0 or self.beta <= self.alpha:
+            raise ValueError("weight and alpha must be greater than 0, and beta greater than alpha")
 
 
 def gap_rows(union: DataFrame, joint: DataFrame, donors: DataFrame) -> DataFrame:
@@ -171,8 +176,11 @@ def step1_summary(union: DataFrame, rows: DataFrame, filled: DataFrame, o: GapOp
     )
 
 
-def line_depths(observed: DataFrame) -> DataFrame:
-    """Per line: mean depth over its sites with no donor copy; null where there is none. ``observed``: line, x, n (n 0 where uncovered)."""
+def line_depths(observed: DataFrame, candidates: DataFrame | None = None, by: Sequence[str] = ("key",)) -> DataFrame:
+    """Per line: mean depth over its sites with no donor copy; null where there is none. ``observed``: by..., line, x, n (n 0 where uncovered).
+    With ``candidates`` only their sites count."""
+    if candidates is not None:
+        observed = observed.join(candidates.select(*by).distinct(), list(by), "left_semi")
     return observed.groupBy("line").agg(F.avg(F.when(F.col("x") == 0, F.col("n"))).alias("lam"), F.count_if(F.col("x") == 0).alias("sites_x0"))
 
 

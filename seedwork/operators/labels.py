@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -305,11 +306,71 @@ def check_entry(entry: str, parameters: dict[str, object]) -> None:
     """Refuse an unknown entry, and an entry without the parameters it needs."""
     if entry not in ENTRIES:
         raise GuardError(f"entry is {entry!r}, not one of {', '.join(ENTRIES)}")
+    bare = sorted(p for p, v in parameters.items() if p in ENTRIES[entry] and str(v).lower() == "true")
+    if bare:
+        raise GuardError(f"{', '.join(bare)} given without a value")
     missing = [p for p in ENTRIES[entry] if parameters.get(p) in (None, "")]
     if missing:
         raise GuardError(f"entry {entry} needs {', '.join(missing)}")
 
 
+def check_upstream(present: DataFrame, needed: DataFrame, stages: Sequence[str]) -> None:
+    """Refuse to start while inputs are missing, naming the earliest of ``stages`` that makes one. ``present``: path; ``needed``: path, stage."""
+    missing = needed.join(present.select("path").distinct(), "path", "left_anti")
+    per = {r["stage"]: (r["n"], r["one"]) for r in missing.groupBy("stage").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("one")).collect()}  # one row a stage
+    if per:
+        first = next((s for s in stages if s in per), sorted(map(str, per))[0])
+        raise GuardError(f"{sum(n for n, _ in per.values())} inputs are missing, such as {per.get(first, next(iter(per.values())))[1]}: run {first} first")
+
+
+def check_held(requested: Sequence[str], held: Sequence[str], most: int) -> None:
+    """Refuse more libraries at once than the disk is meant to hold, those that hold a checkpoint already included."""
+    every = set(requested) | set(held)
+    if len(every) > most:
+        raise GuardError(f"{len(every)} libraries are more than {most}; already held besides: {', '.join(sorted(set(held) - set(requested))) or 'none'}")
+
+
+def check_output_root(path: str, production: str, subsample: int | None = None, stub: bool = False, stub_prefix: str = "stub") -> None:
+    """Naming rules of output folders: a subsample of N goes to ``subsample_N`` and nothing else does; a stub run stays inside a folder with the stub prefix, outside production."""
+    parts = [x for x in path.rstrip("/").split("/") if x]
+    name = parts[-1] if parts else ""
+    if subsample and name != f"subsample_{subsample}":
+        raise GuardError(f"a subsample of {subsample} needs a folder named subsample_{subsample}, not {name!r}")
+    if not subsample and re.fullmatch(r"subsample_[0-9]+", name):
+        raise GuardError(f"{path} is the folder of a subsample")
+    real = production.rstrip("/")
+    if stub and (not any(x.startswith(stub_prefix) for x in parts) or path.rstrip("/") == real or path.startswith(real + "/")):
+        raise GuardError(f"a stub run must stay inside a folder named {stub_prefix}* outside {production}")
+
+
+def mask_rules(rows: DataFrame, by_sample: DataFrame, by_source: DataFrame) -> DataFrame:
+    """Read-start masks of samples: the rule of the sample, else of its source; null, with ``mask_from`` none, where neither has one.
+
+    ``by_sample``: sample, mask_r1, mask_r2, mask_source; ``by_source``: source and the same.
+    """
+    cols = ("mask_r1", "mask_r2", "mask_source")
+    one = by_sample.dropDuplicates(["sample"]).select(F.col("sample"), F.struct(*cols).alias("__a"))
+    two = by_source.dropDuplicates(["source"]).select(F.col("source"), F.struct(*cols).alias("__b"))
+    held = rows.join(one, "sample", "left").join(two, "source", "left")
+    rule = F.coalesce("__a", "__b")
+    return held.select(*rows.columns, *[rule[c].alias(c) for c in cols], F.when(F.col("__a").isNotNull(), "sample").when(F.col("__b").isNotNull(), "source").otherwise("none").alias("mask_from"))
+
+
+def sheet_errors(rows: DataFrame, roles: Sequence[str], control: str = "b73_control") -> DataFrame:
+    """(sample, error) of a genotype sheet: ids that make no name, repeated ids, unknown roles, donors and taxa that a role needs, include flags, missing masks.
+
+    ``rows``: sample, role, donor, taxon, include, mask_r1.
+    """
+    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
+    n = F.count(F.lit(1)).over(Window.partitionBy("sample"))
+    problems = F.array_compact(F.array(
+        F.when(~F.coalesce(F.col("sample").rlike(r"\A[A-Za-z0-9_-]+\z"), F.lit(False)), "sample_id"), F.when(F.col("__n") > 1, "duplicate"), F.when(~F.coalesce(F.col("role").isin(*roles), F.lit(False)), "role"),
+        F.when((F.col("role") != control) & ~some("donor"), "no_donor"), F.when(some("donor") & ~some("taxon"), "no_taxon"),
+        F.when(~F.upper(F.trim(F.coalesce("include", F.lit("")))).isin("TRUE", "FALSE"), "include"), F.when(F.col("mask_r1").isNull(), "no_mask"),
+    ))
+    return rows.withColumn("__n", n).select("sample", F.explode(problems).alias("error")).distinct()
+
+
 def utc_stamp() -> Column:
     """The current time as ``YYYY-MM-DDTHH:MM:SSZ``, whatever the session's time zone."""
     return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -307,3 +307,32 @@ def test_quotes_in_runs_pair_up_from_the_left():
 
     got = split_packed(pa.array(["\"a\"\"\"\"b\" 'x'", "'it''s' \"q\"", "\"\"\"\" 'y'"]), ";").to_pylist()
     assert got == [['a""b', "x"], ["it's", "q"], ['"', "y"]]
+
+
+def test_guards_of_stages_folders_and_sheets(spark):
+    present = spark.createDataFrame([("a",)], "path string")
+    needed = spark.createDataFrame([("a", "one"), ("b", "three"), ("c", "two")], "path string, stage string")
+    with pytest.raises(labels.GuardError, match="2 inputs.*c: run two first"):
+        labels.check_upstream(present, needed, ("one", "two", "three"))
+    labels.check_upstream(needed, needed, ("one",))
+    labels.check_held(["a", "b"], ["b"], 2)
+    with pytest.raises(labels.GuardError, match="besides: c"):
+        labels.check_held(["a", "b"], ["c"], 2)
+    labels.check_output_root("/x/subsample_5", "/p", subsample=5)
+    labels.check_output_root("/x/stub_1/out", "/p", stub=True)
+    for path, kw in (("/x/out", {"subsample": 5}), ("/x/subsample_5", {}), ("/x/out", {"stub": True}), ("/p/stub_1", {"stub": True})):
+        with pytest.raises(labels.GuardError):
+            labels.check_output_root(path, "/p", **kw)
+    with pytest.raises(labels.GuardError, match="without a value"):
+        labels.check_entry("cram", {"input": True, "outdir": "b", "fasta": "c"})
+    s = spark.createDataFrame([("s1", "x"), ("s2", "x"), ("s3", "y")], "sample string, source string")
+    a = spark.createDataFrame([("s1", 1, 2, "own")], "sample string, mask_r1 int, mask_r2 int, mask_source string")
+    b = spark.createDataFrame([("x", 12, 0, "lib")], "source string, mask_r1 int, mask_r2 int, mask_source string")
+    assert rows(labels.mask_rules(s, a, b).select("sample", "mask_r1", "mask_from")) == [("s1", 1, "sample"), ("s2", 12, "source"), ("s3", None, "none")]
+    sheet = spark.createDataFrame([("ok", "line", "d", "t", "TRUE", 1), ("a.b", "line", "d", "t", "true ", 1), ("two", "line", None, None, "no", 1), ("two", "x", "d", None, "TRUE", None), ("c", "b73_control", None, None, "FALSE", 0), (None, None, None, None, None, None)], "sample string, role string, donor string, taxon string, include string, mask_r1 int")
+    got = labels.sheet_errors(sheet, ("line", "b73_control"))
+    assert rows(got) == sorted([("a.b", "sample_id"), ("two", "duplicate"), ("two", "no_donor"), ("two", "include"), ("two", "role"), ("two", "no_taxon"), ("two", "no_mask"), (None, "sample_id"), (None, "role"), (None, "include"), (None, "no_mask")], key=repr)
+    with pytest.raises(ValueError, match="beta"):
+        gaps.GapOptions(alpha=3, beta=2)
+    obs = spark.createDataFrame([(1, 1, 0, 4), (2, 1, 0, 8), (3, 1, 1, 9)], "key int, line int, x int, n int")
+    assert gaps.line_depths(obs, obs.where("key <> 2")).first().lam == 4.0 and gaps.line_depths(obs).first().lam == 6.0
