@@ -77,6 +77,9 @@ _OTHER, _DIGIT = re.compile(r"[\W\d_]+"), re.compile(r"\d")  # what is no letter
 _FORMS, _HASHES, _BITS = itemgetter(0), itemgetter(1), itemgetter(2)
 
 
+_NOTHING: tuple[tuple[str, ...], tuple[int, ...], int] = ((), (), 0)
+
+
 def plain(word: str) -> str:
     """A word with look-alikes, case and accents undone."""
     if word.isascii():
@@ -101,6 +104,13 @@ def alternatives(item: str) -> list[str]:
     return list(dict.fromkeys(w for x in item.split("/") for w in (LISTS[x[1:]].split() if x.startswith("@") else [x])))
 
 
+def _spelt(raw: list[str], part: str) -> bool:
+    """Whether a sentence holds letters set apart: at least three words of one letter, which may bear punctuation, in a row."""
+    sizes = list(map(len, raw))
+    one = sizes.count(1)
+    return one + sizes.count(2) + sizes.count(3) >= 3 and one > 0 and bool(_SPELT.search(part))
+
+
 class _Words(dict):
     """Words already normalised, as many as are bounded; others are made when they are asked for."""
 
@@ -109,6 +119,8 @@ class _Words(dict):
         self.owner = owner
 
     def __missing__(self, raw: str) -> tuple[tuple[str, ...], tuple[int, ...], int]:
+        if raw.isascii() and raw.upper() == raw.lower() and "*" not in raw:
+            return _NOTHING  # numbers and signs
         got = self.owner._entry(self.owner._word(raw))
         if len(raw) <= 8 or len(raw) <= 40 and not _DIGIT.search(raw):  # identifiers and numbers seldom come again
             if len(self) >= _KNOWN:
@@ -195,7 +207,7 @@ class Matcher:
     def _tokens(self, part: str) -> list:
         """The entries of one sentence's words."""
         raw = part.split()
-        if not _SPELT.search(part):
+        if not _spelt(raw, part):
             return list(filter(_FORMS, map(self.known.__getitem__, raw)))
         out, i = [], 0
         while i < len(raw):
@@ -213,15 +225,30 @@ class Matcher:
 
     def parts(self, text: str) -> Iterator[list]:
         """The word entries of each sentence, long ones in windows."""
-        text = _HIDDEN.sub("", text.lower())
-        for part in _SENTENCE.split(text):
-            words = self._tokens(part)
-            if len(words) <= WINDOW + STEP:
-                if words:
-                    yield words
+        for part in _SENTENCE.split(_HIDDEN.sub("", text.lower())):
+            yield from self._windows(self._tokens(part))
+
+    @staticmethod
+    def _windows(words: list) -> list[list]:
+        if len(words) <= WINDOW + STEP:
+            return [words] if words else []
+        return [words[a : a + WINDOW] for a in range(0, len(words) - STEP, STEP)]
+
+    def masks(self, text: str) -> Iterator[int]:
+        """The votes of each sentence; where it needs no windows and nothing is spelt out, its words are not put together."""
+        bits_of = self.known.__getitem__
+        for part in _SENTENCE.split(_HIDDEN.sub("", text.lower())):
+            raw = part.split()
+            if len(raw) <= WINDOW + STEP and not _spelt(raw, part):
+                words = list(map(bits_of, raw))
+                some = list(filter(None, map(_BITS, words)))
+                if some:
+                    yield self._votes(some)[1]
+                elif any(map(_FORMS, words)):
+                    yield _QUIET
             else:
-                for a in range(0, len(words) - STEP, STEP):
-                    yield words[a : a + WINDOW]
+                for words in self._windows(self._tokens(part)):
+                    yield self.fulfilled(words)[1]
 
     def sentences(self, text: str) -> Iterator[list[str]]:
         """The letter forms of each sentence."""
@@ -231,8 +258,9 @@ class Matcher:
     def fulfilled(self, words: list) -> tuple[list[int], int]:
         """The patterns that a sentence fulfils, and its votes as a mask. Sentences with the same words of interest are looked up."""
         some = list(filter(None, map(_BITS, words)))
-        if not some:
-            return [], _QUIET
+        return self._votes(some) if some else ([], _QUIET)
+
+    def _votes(self, some: list[int]) -> tuple[list[int], int]:
         bits = reduce(or_, some)
         got = self.told.get(bits)
         if got is None:
@@ -304,8 +332,7 @@ def vote(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 if not t:
                     continue
                 held = 0
-                for words in m.parts(t):
-                    mask = m.fulfilled(words)[1]
+                for mask in m.masks(t):
                     total[mask] = total.get(mask, 0) + 1
                     held |= mask
                 if held & positive:
@@ -414,12 +441,13 @@ class Sample:
     """Sentences of the training sample: flat features with their sentence, the sentence's votes and its document."""
 
     def __init__(self, feature: np.ndarray, size: np.ndarray, mask: np.ndarray, doc: np.ndarray) -> None:
-        self.feature, self.size, self.mask, self.doc, self.n = feature.astype(np.int64), size.astype(np.int64), mask.astype(np.int64), doc, len(size)
-        self.sentence = np.repeat(np.arange(self.n), self.size)
+        self.feature, self.size, self.mask, self.doc, self.n = feature.astype(np.int32), size.astype(np.int64), mask.astype(np.int64), doc, len(size)
+        self.sentence = np.repeat(np.arange(self.n, dtype=np.int32), self.size)
 
     @cached_property
     def _batches(self) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
         used, flat = np.unique(self.feature, return_inverse=True)
+        flat = flat.astype(np.int32)
         scale = 1 / np.sqrt(np.maximum(self.size, SHORT))
         at = np.concatenate([[0], np.cumsum(self.size)])
         order = np.argsort([zlib.crc32(str(i).encode()) for i in range(self.n)])
@@ -430,7 +458,7 @@ class Sample:
             n = self.size[rows]
             inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             uniq, pos = np.unique(flat[np.repeat(at[rows], n) + inside], return_inverse=True)
-            parts.append((rows, uniq, pos, np.repeat(np.arange(len(rows)), n), scale[rows]))
+            parts.append((rows, uniq, pos.astype(np.int32), np.repeat(np.arange(len(rows), dtype=np.int32), n), scale[rows]))
         return used, parts
 
     def batches(self) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:

@@ -71,3 +71,10 @@ def test_features_follow_the_definition():
     feature, sentence = f.arrays()
     assert np.bincount(sentence).tolist() == [5, 3]  # three words and two pairs, two words and one pair
     assert (feature < abuse.DIMENSIONS).all()
+
+
+def test_votes_alone_are_the_votes_of_the_sentences():
+    m = abuse.matcher()
+    long = " ".join(["word"] * 60 + ["you", "idiot"] + ["more"] * 60)
+    for text in (UNKNOWN, SOUND, "You are an idiot. Fine!  What k i n d of w h o r e is this? (f u c k) you", long, "", " . ! ", "12 34. -- 5", "a b c", "no end", *FILLER):
+        assert list(m.masks(text)) == [m.fulfilled(words)[1] for words in m.parts(text)]
