@@ -76,11 +76,24 @@ def state_at(points: DataFrame, segments: DataFrame, by: Sequence[str], position
     return both.where(F.col("__k") == 1).select(*points.columns, F.when(F.col("__l.e") >= F.col(position), F.col("__l.v")).alias(out))
 
 
-def state_in(segments: str, position: Column) -> Column:
-    """State at a position by an ordered array of (start, end, state) in the same row: the rightmost that has begun, null if it has ended."""
-    begun = F.filter(segments, lambda s: s["start"] <= position)
-    last = F.try_element_at(begun, F.lit(-1))
-    return F.when(last["end"] >= position, last["state"])
+def segment_index(segments: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", state: str = "state", cells: int = 256) -> DataFrame:
+    """One row a group for :func:`state_in`: its segments in order, and for each of ``cells`` equal stretches of its span how many have begun before it."""
+    held = segments.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(start).cast("long").alias("start"), F.col(end).cast("long").alias("end"), F.col(state).alias("state")))).alias("segs"))
+    low, high = F.col("segs")[0]["start"], F.array_max(F.transform("segs", lambda s: s["start"]))
+    held = held.withColumn("low", low).withColumn("width", F.floor((high - low) / cells) + 1)
+    begun = F.transform(F.sequence(F.lit(0), F.lit(cells)), lambda b: F.size(F.filter("segs", lambda s: s["start"] < F.col("low") + b * F.col("width"))))
+    return held.withColumn("begun", begun)
+
+
+def state_in(index: str, position: Column) -> Column:
+    """State at a position by the struct of :func:`segment_index` in the same row: that of the rightmost segment that has begun, null if it
+    has ended. Only the segments that begin within the position's stretch, and the one before, are looked at."""
+    x = F.col(index)
+    cell = F.least(F.floor((position - x["low"]) / x["width"]), F.size(x["begun"]) - 2).cast("int")
+    first = F.greatest(F.get(x["begun"], cell), F.lit(1))
+    near = F.slice(x["segs"], first, F.greatest(F.get(x["begun"], cell + 1) - first + 1, F.lit(1)))
+    last = F.try_element_at(F.filter(near, lambda s: s["start"] <= position), F.lit(-1))
+    return F.when(position >= x["low"], F.when(last["end"] >= position, last["state"]))
 
 
 def in_ranges(points: DataFrame, ranges: DataFrame, by: Sequence[str], position: str, start: str = "start", end: str = "end", bin_width: int = 1 << 16) -> DataFrame:

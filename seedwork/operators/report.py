@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedwork.functions.stats import chi_square_2
-from seedwork.operators.intervals import state_at, state_in
+from seedwork.operators.intervals import segment_index, state_at, state_in
 from seedwork.session import sized
 
 #: Expected shares of 0, 1 and 2 donor copies after backcrossing twice and selfing twice or three times. Fixed values.
@@ -30,7 +30,7 @@ def raster(alleles: DataFrame, segments: DataFrame, failed: DataFrame | None = N
         segments = segments.join(sized(failed.select("line").distinct()), "line", "left_anti")
     if segments.limit(bound + 1).count() <= bound:
         # A line's segments on a chromosome are few: they travel as one array with the line, and cells are never shuffled.
-        held = segments.groupBy("line", "chrom").agg(F.array_sort(F.collect_list(F.struct("start", "end", "state"))).alias("__segs"))
+        held = segment_index(segments, ["line", "chrom"]).select("line", "chrom", F.struct("segs", "low", "width", "begun").alias("__segs"))
         chroms = alleles.select("chrom").distinct()
         grid = names.crossJoin(sized(chroms)).join(held, ["line", "chrom"], "left")
         cells = alleles.join(sized(grid), "chrom").withColumn("x", state_in("__segs", F.col("pos"))).drop("__segs")

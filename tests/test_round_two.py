@@ -336,3 +336,23 @@ def test_guards_of_stages_folders_and_sheets(spark):
         gaps.GapOptions(alpha=3, beta=2)
     obs = spark.createDataFrame([(1, 1, 0, 4), (2, 1, 0, 8), (3, 1, 1, 9)], "key int, line int, x int, n int")
     assert gaps.line_depths(obs, obs.where("key <> 2")).first().lam == 4.0 and gaps.line_depths(obs).first().lam == 6.0
+
+
+def test_indexed_lookup_of_segments(spark):
+    import random
+
+    rng = random.Random(4)
+    segs, at = [], -50
+    for i in range(60):
+        at += rng.choice([1, 1, 2, 40, 300])
+        end = at + rng.choice([0, 1, 5, 60])
+        segs.append((1, at, end, i % 3))
+        at = end
+    df = spark.createDataFrame(segs + [(2, 7, 7, 1)], "line int, start long, end long, state int")
+    for cells in (1, 7, 256):
+        index = intervals.segment_index(df, ["line"], cells=cells).select("line", F.struct("segs", "low", "width", "begun").alias("i"))
+        points = spark.range(-60, at + 20).withColumnRenamed("id", "pos").crossJoin(spark.createDataFrame([(1,), (2,), (3,)], "line int"))
+        got = points.join(index, "line", "left").select("line", "pos", intervals.state_in("i", F.col("pos")).alias("x")).collect()
+        for r in got:
+            begun = [s for s in (segs if r.line == 1 else [(2, 7, 7, 1)] if r.line == 2 else []) if s[1] <= r.pos]
+            assert r.x == (begun[-1][3] if begun and begun[-1][2] >= r.pos else None), (cells, r)
