@@ -8,34 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedwork.functions.stats import chi_square_2
-from seedwork.operators.intervals import segment_index, state_at, state_in
-from seedwork.session import sized
+from seedwork.operators.intervals import PART, segment_index, state_at, state_in
+from seedwork.session import durable, sized
 
 #: Expected shares of 0, 1 and 2 donor copies after backcrossing twice and selfing twice or three times. Fixed values.
 EXPECT = {"bc2s2": (27 / 32, 1 / 16, 3 / 32), "bc2s3": (55 / 64, 1 / 32, 7 / 64)}
 
 
-def raster(alleles: DataFrame, segments: DataFrame, failed: DataFrame | None = None, lines: DataFrame | None = None, bound: int = 500_000) -> DataFrame:
+def raster(alleles: DataFrame, segments: DataFrame, failed: DataFrame | None = None, lines: DataFrame | None = None, bound: int = 1 << 26) -> DataFrame:
     """Every line x bi-allelic site: ancestry x, genotype gt and expected dosage.
 
     ``alleles``: chrom, pos, allele (ALT, REF or null), p_alt. ``segments``: line, chrom, start, end, state. Lines come from segments,
     ``failed`` and ``lines``; a failed line is unknown everywhere. The product of lines and sites is the result itself. gt = x at ALT, 0 at REF,
-    0 where x is 0, else unknown; dosage = 0 where x is 0, else x * p_alt. Up to ``bound`` segments (counted) are looked up within the row, more by a
-    shuffled lookup with the same result. Sites of null chromosome have no segments.
+    0 where x is 0, else unknown; dosage = 0 where x is 0, else x * p_alt. Segments of up to ``bound`` bytes (by their count) are looked up within the row, more by a
+    shuffled lookup with the same result. Sites of null chromosome have no segments, so their x is unknown.
     """
-    names = segments.select("line").distinct()
-    for more in (failed, lines):
-        names = names if more is None else names.union(more.select("line")).distinct()
     if failed is not None:
         segments = segments.join(sized(failed.select("line").distinct()), "line", "left_anti")
-    if segments.limit(bound + 1).count() <= bound:
-        # A line's segments on a chromosome are few: they travel as one array with the line, and cells are never shuffled.
-        held = segment_index(segments, ["line", "chrom"]).select("line", "chrom", F.struct("segs", "low", "width", "begun").alias("__segs"))
+    # A line's segments on a chromosome are few: they travel as one array with the line, and cells are never shuffled. They are read for their size and for the cells.
+    held = durable(segment_index(segments, ["line", "chrom"]).select("line", "chrom", F.struct("segs", "low", "width", "begun").alias("__segs")))
+    names = held.select("line").distinct()
+    for more in (failed, lines):
+        names = names if more is None else names.union(more.select("line")).distinct()
+    size = held.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("__segs.segs")), F.lit(0)).alias("segs")).first()
+    if size["rows"] * 1_200 + size["segs"] * 32 <= bound:
         chroms = alleles.select("chrom").distinct()
-        grid = names.crossJoin(sized(chroms)).join(held, ["line", "chrom"], "left")
-        cells = alleles.join(sized(grid), "chrom").withColumn("x", state_in("__segs", F.col("pos"))).drop("__segs")
+        grid = names.crossJoin(sized(chroms)).join(held, ["line", "chrom"], "left").withColumnRenamed("chrom", "__chrom")
+        cells = alleles.join(sized(grid), F.col("chrom").eqNullSafe(F.col("__chrom"))).withColumn("x", state_in("__segs", F.col("pos"))).drop("__segs", "__chrom")
     else:
-        cells = state_at(alleles.crossJoin(sized(names)), segments, ["line", "chrom"], "pos", "start", "end", "state", "x")
+        cells = state_at(alleles.crossJoin(sized(names)), segments, ["line", "chrom"], "pos", "start", "end", "state", "x", bin_width=PART)
     x = F.col("x")
     gt = F.when(F.col("allele") == "ALT", x).when(F.col("allele") == "REF", F.when(x.isNotNull(), 0)).when(x == 0, 0)
     return cells.withColumn("gt", gt).withColumn("dosage", F.when(x == 0, F.lit(0.0)).otherwise(x * F.col("p_alt")))

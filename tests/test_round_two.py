@@ -108,11 +108,11 @@ def test_same_taxon_scope_by_direct_count(spark):
 
 
 def test_raster_lookups_agree_and_markerless_lines_fail(spark):
-    alleles = spark.createDataFrame([("c", i * 7, "ALT", 0.5) for i in range(40)] + [("other", 5, "REF", 0.1)], "chrom string, pos long, allele string, p_alt double")
+    alleles = spark.createDataFrame([("c", i * 7, "ALT", 0.5) for i in range(40)] + [("other", 5, "REF", 0.1), (None, 5, "ALT", 0.1)], "chrom string, pos long, allele string, p_alt double")
     segs = spark.createDataFrame([(1, "c", 0, 100, 0), (1, "c", 120, 200, 2), (2, "c", 50, 90, 1), (3, "c", 0, 300, 1)], "line int, chrom string, start long, end long, state int")
     failed = spark.createDataFrame([(3,), (9,)], "line int")
-    one, two = (rows(report.raster(alleles, segs, failed, bound=b).select("chrom", "pos", "line", "x", "gt", "dosage")) for b in (100, 0))
-    assert one == two and len(one) == 41 * 4
+    one, two = (rows(report.raster(alleles, segs, failed, bound=b).select("chrom", "pos", "line", "x", "gt", "dosage")) for b in (1 << 20, 0))
+    assert one == two and len(one) == 42 * 4
     counts = spark.createDataFrame([("l", "c", 1, 2, 0)], "line string, contig string, pos long, ref long, alt long")
     none = qc.line_marker_qc(counts, counts.select("contig", "pos").limit(0), counts.select("line"), 5, 0).first()
     assert (none.contig, none.reason, none.line_pass) == (".", "no_markers", False)
