@@ -54,6 +54,8 @@ SAMPLE, PER_DOC, DIMENSIONS, THRESHOLD, WINDOW, STEP = 6_000, 200, 1 << 18, 0.5,
 SHORT = 8
 #: Letters set apart that are searched for words at once; longer runs go in windows that overlap by the longest word.
 RUN = 400
+#: The most that votes alone can say, in log-odds.
+SURE = 4.0
 #: With ratings: weight of a sentence of an unrated document in training (that of a rated one is 1), weight that abuse has besides, and passes over the ratings.
 UNRATED, ABUSIVE, PASSES = 0.005, 2.0, 8
 #: Steps of the label model, and the strength of its prior in sentences.
@@ -382,6 +384,11 @@ class LabelModel:
         z = log[1] - log[0] + math.log(self.share / (1 - self.share))
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
+    def odds(self) -> np.ndarray:
+        """Log-odds of abuse for every pattern, within +-``SURE``: what a sentence starts from before its words count."""
+        p = np.clip(self.posteriors(), 1e-12, 1 - 1e-12)
+        return np.clip(np.log(p / (1 - p)), -SURE, SURE)
+
     def fit(self, counts: dict[int, int]) -> LabelModel:
         """Expectation maximisation over the patterns of the corpus; Newton steps fit voters and pairs together."""
         n = np.zeros(len(self.phi))
@@ -443,6 +450,7 @@ class Sample:
     def __init__(self, feature: np.ndarray, size: np.ndarray, mask: np.ndarray, doc: np.ndarray) -> None:
         self.feature, self.size, self.mask, self.doc, self.n = feature.astype(np.int32), size.astype(np.int64), mask.astype(np.int64), doc, len(size)
         self.sentence = np.repeat(np.arange(self.n, dtype=np.int32), self.size)
+        self.offset = np.zeros(self.n)
 
     @cached_property
     def _batches(self) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
@@ -507,7 +515,8 @@ def train(feats: list[list[int]], labels: np.ndarray, epochs: int = 12) -> np.nd
 
 
 def train_sample(sample: Sample, labels: np.ndarray, weight: np.ndarray, start: np.ndarray | None = None, epochs: int = 10, rate: float = 0.5, penalty: float = 1e-6) -> np.ndarray:
-    """Logistic regression on soft labels (AdaGrad); the last weight is the bias. A sentence's features share one unit of length."""
+    """Logistic regression on soft labels (AdaGrad); the last weight is the bias. A sentence's features share one unit of length, and
+    it starts from its votes' log-odds (``sample.offset``)."""
     w = np.zeros(DIMENSIONS + 1) if start is None else start.copy()
     if not sample.n:
         w[-1] = -4.0
@@ -517,7 +526,7 @@ def train_sample(sample: Sample, labels: np.ndarray, weight: np.ndarray, start:
     grad2, bias2 = np.full(len(used), 1e-8), 1e-8
     for _ in range(epochs):
         for rows, uniq, pos, which, s in parts:
-            z = bias + np.bincount(which, v[uniq][pos], len(rows)) * s
+            z = bias + sample.offset[rows] + np.bincount(which, v[uniq][pos], len(rows)) * s
             g = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - labels[rows]) * weight[rows] / max(1e-9, weight[rows].sum())
             d = np.bincount(pos, (g * s)[which], len(uniq)) + penalty * v[uniq]
             grad2[uniq] += d * d
@@ -530,7 +539,7 @@ def train_sample(sample: Sample, labels: np.ndarray, weight: np.ndarray, start:
 
 
 def sentence_odds(sample: Sample, w: np.ndarray) -> np.ndarray:
-    return w[-1] + np.bincount(sample.sentence, w[sample.feature], sample.n) / np.sqrt(np.maximum(sample.size, SHORT))
+    return w[-1] + sample.offset + np.bincount(sample.sentence, w[sample.feature], sample.n) / np.sqrt(np.maximum(sample.size, SHORT))
 
 
 def learn(rows: Sequence, model: LabelModel, passes: int = PASSES) -> np.ndarray:
@@ -541,6 +550,7 @@ def learn(rows: Sequence, model: LabelModel, passes: int = PASSES) -> np.ndarray
     ones are); sentences of other documents are labelled half by their votes and half by the classifier, which by then knows what raters think of such sentences.
     """
     sample = Sample.unpack(rows)
+    sample.offset = model.odds()[sample.mask]
     weak = np.clip(model.posteriors()[sample.mask], 1e-4, 1 - 1e-4)
     rated_docs = np.array([i for i, r in enumerate(rows) if r["rated"]], np.int64)
     w = train_sample(sample, weak, np.ones(sample.n))
@@ -601,24 +611,26 @@ def fit(df: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", tex
 
 def score(df: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(key, source, score) of every document."""
-    weights, _ = fit(df, labels, key, text)
-    shared = df.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # DIMENSIONS + 1 numbers, whatever the corpus
+    weights, model = fit(df, labels, key, text)
+    shared = df.sparkSession.sparkContext.broadcast((weights.astype(np.float32), model.odds()))  # DIMENSIONS + 1 and 2 ** voters numbers, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, w = matcher(), shared.value.astype(np.float64)
+        m, w, odds = matcher(), shared.value[0].astype(np.float64), shared.value[1]
         for batch in batches:
             best = np.full(len(batch), -60.0)
-            f, doc = Features(), []
+            f, doc, masks = Features(), [], []
             for r, t in enumerate(batch.column(1).to_pylist()):
                 if not t:
                     continue
                 for words in m.parts(t):
-                    f.add(words, m.fulfilled(words)[0])
+                    hits, mask = m.fulfilled(words)
+                    f.add(words, hits)
                     doc.append(r)
+                    masks.append(mask)
             if doc:
                 feature, sentence = f.arrays()
                 size = np.bincount(sentence, minlength=len(doc))
-                z = w[-1] + np.bincount(sentence, w[feature], len(doc)) / np.sqrt(np.maximum(size, SHORT))
+                z = w[-1] + odds[masks] + np.bincount(sentence, w[feature], len(doc)) / np.sqrt(np.maximum(size, SHORT))
                 np.maximum.at(best, np.array(doc), z)
             p = np.where(best > -60, 1 / (1 + np.exp(-np.clip(best, -60, 60))), 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p)], names=["k", "s", "score"])
