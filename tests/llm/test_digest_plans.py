@@ -42,4 +42,4 @@ def test_counting_continuous_values_shuffles_counts_only(spark):
     made = digest.estimate(digest.merge(digest.digests(df, ("g",), ("x",)), ("g",)))
     plan = digest.certify(df, made, ("g",), ("x",))._jdf.queryExecution().executedPlan().toString()
     before = plan[: plan.index("BroadcastHashJoin")]  # what is done with the rows after they met the estimates
-    assert "partial_count_if" in before.split("Exchange hashpartitioning")[-1]  # counted before the first shuffle
+    assert "HashAggregate(keys=[g" in before.split("Exchange hashpartitioning")[-1]  # counted before the first shuffle; long lists of functions are not printed
