@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seedwork.operators.labels import GuardError
+from seedwork.session import durable
 
 
 #: Bases of one part of a group in windows along a line: a chromosome is no single task.
@@ -149,11 +150,11 @@ def breakpoint_density(segments: DataFrame, sites: DataFrame, window: int = 500)
     are never multiplied.
     """
     line = segments.withColumn("__lc", F.struct("line", "chrom"))
-    breaks = breakpoints(line, "__lc").select("__lc.line", "__lc.chrom", F.col("breakpoint").alias("pos"))
+    breaks = durable(breakpoints(line, "__lc").select("__lc.line", "__lc.chrom", F.col("breakpoint").alias("pos")))  # few, and read twice
     markers = sites.where("is_marker").select("chrom", "pos")
     ranges = marker_ranks(breaks, markers, ["chrom"]).select("line", "chrom", (F.col("rank") - window).alias("start"), (F.col("rank") + window).alias("end"))
     merged = merge_intervals(ranges, ["line", "chrom"], touch=1)
-    gaps = marker_ranks(sites.where("is_gap").select("chrom", "pos", "is_step2"), markers, ["chrom"]).groupBy("chrom", "rank").agg(F.count(F.lit(1)).alias("g"), F.count_if("is_step2").alias("g2"))
+    gaps = durable(marker_ranks(sites.where("is_gap").select("chrom", "pos", "is_step2"), markers, ["chrom"]).groupBy("chrom", "rank").agg(F.count(F.lit(1)).alias("g"), F.count_if("is_step2").alias("g2")))  # one row a rank, read three times
     ends = F.explode(F.array(F.struct((F.col("start") - 1).alias("rank"), F.lit(-1).alias("sign")), F.struct(F.col("end").alias("rank"), F.lit(1).alias("sign")))).alias("e")
     asked = merged.select("line", "chrom", ends).select("line", "chrom", "e.rank", "e.sign")
     told = running_counts(asked, gaps.withColumnsRenamed({"g": "c", "g2": "c2"}), ["chrom"], "rank", ["c", "c2"], True)

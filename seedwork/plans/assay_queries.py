@@ -192,7 +192,9 @@ def _founder(spark: SparkSession, sf: str) -> DataFrame:
     sites = union.crossJoin(F.broadcast(donors)).select("donor", _site_number().alias("key"), "multiallelic", F.array_contains("carriers", F.col("donor")).alias("own"))  # two donors
     gap = filled.select("donor", _site_number().alias("key"), "state", "log_odds")
     step1 = sites.where(~F.col("multiallelic")).join(gap, list(_BY), "left").select(*_BY, "own", "state", "log_odds")
-    return gaps.founder_calls(sites.drop("own"), step1, _step2(spark, sf, filled)[0], _BY)
+    # Read for the guard and for the calls, so written once.
+    step2 = durable(_step2(spark, sf, filled)[0].select(*_BY, "call", "log_odds"))
+    return gaps.founder_calls(sites.drop("own"), step1, step2, _BY)
 
 
 def founder_calls(spark: SparkSession, sf: str) -> DataFrame:
