@@ -9,11 +9,10 @@ Plan
        cancel is written once.
     2. Small facts by key: rows left on each side, and on which sides the key occurs at all (a scan of the key columns).
     3. Keys with one leftover row on each side, the usual case, are paired by an equi-join: no Python.
-    4. Keys with more leftovers: up to ``limit`` distinct leftover rows a side the assignment is solved exactly (shortest paths, with
-       copies as supply and demand) in one group of bounded size. A larger key falls into components of rows that are linked by
-       agreeing in all but two groups of columns; each is solved exactly in the same way, and so is what they leave, where it is
-       little enough. Only components that are too large themselves, and many rows that agree with nobody in so much, are paired by signatures
-       and at last by rank: deterministic, but only approximately of least cost. No row is dropped in any case.
+    4. Keys with more leftovers, of any number, are solved exactly by one method (``_Pairing``), a key in one group: shortest paths over
+       integer costs, with copies as supply and demand. Rows that agree in all but one, two, ... groups of columns are linked, and what the
+       links join is solved first, up to the price at which other rows could matter; only rows that still have copies then look further.
+       Memory grows with the rows of the key, work at worst with the pairs of them. No row is dropped and nothing is paired by rank.
 
 Defined results
     * a key on one side only           -> one row ``only_left`` / ``only_right`` (names are options)
@@ -22,16 +21,18 @@ Defined results
     * ``distinct=True``: repeats of a row within one side count once, so a different number of repeats is no difference
     * columns held by one side only are not compared
     * empty tables: every row of the other side is one-sided
+    * of several pairings of least cost one is taken, by the values of the rows alone: order and partitions of the input, ``limit`` and other keys do not matter
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,48 +41,210 @@ from seedwork.session import durable
 _L, _R = "__left", "__right"
 
 
-def transport(cost: np.ndarray, supply: np.ndarray, demand: np.ndarray) -> np.ndarray:
-    """Least-cost shipment of all of ``supply`` (rows) into ``demand`` (columns), which holds at least as much: the flow matrix.
+_FAR = np.iinfo(np.int32).max // 2
+
+
+def _fill(cost: Callable[[int], np.ndarray], u: np.ndarray, v: np.ndarray, left: np.ndarray, room: np.ndarray, flow: list[dict[int, int]], cap: int | None = None) -> None:
+    """Ship ``left`` of the rows into ``room`` of the columns at least cost, on top of ``flow`` ({row: copies} by column); all are changed in place.
 
-    Successive shortest paths with potentials: each search walks from a row over tight pairs, through rows that already ship to a
-    column and could ship elsewhere, to the nearest column with room, and moves as many copies as the whole path allows.
+    Primal-dual method for integer costs: prices ``u`` of rows and ``v`` of columns never sum to more than a pair's cost, copies go over tight pairs
+    only, and columns with room have price 0; so a complete flow is of least cost. A phase searches from all rows with copies left, through
+    rows that could ship elsewhere, to columns with room, each row and column once; if it moves nothing, prices of what it reached are
+    shifted to the next tight pair. With ``cap`` the prices of rows stop there: rows may keep copies, and flow and prices can be carried on.
     """
-    n, m = cost.shape
-    left, room = supply.astype(np.int64).copy(), demand.astype(np.int64).copy()
-    flow, u, v = np.zeros((n, m), np.int64), np.zeros(n), np.zeros(m)
-    for i in range(n):
-        while left[i]:
-            reach, via = np.full(n, np.inf), np.full(n, -1)  # distance of rows, the column through which they were reached
-            reach[i] = 0.0
-            dist, source, done = cost[i] - u[i] - v, np.full(m, i), np.zeros(m, bool)
+    n, m = len(u), len(v)
+    while left.any():
+        slack, source = np.full(m, _FAR, np.int32), np.full(m, -1)  # over what a column is short of being tight, and for which reached row
+        seen, met, via = np.zeros(n, bool), np.zeros(m, bool), np.full(n, -1)
+        moved = False
+
+        def push(i: int, j: int) -> int:
+            """Move copies along the path that ends in row i and column j, as many as all of it allows."""
+            path, k = [], i
+            while via[k] >= 0:
+                path.append((k, via[k]))
+                k = source[via[k]]
+            some = int(min(left[k], room[j], *[flow[c].get(r, 0) for r, c in path]))
+            if some:
+                to = j
+                for r, c in [*path, (k, -1)]:
+                    flow[to][r] = flow[to].get(r, 0) + some
+                    if c >= 0:
+                        flow[c][r] -= some
+                        if not flow[c][r]:
+                            del flow[c][r]
+                    to = c
+                left[k] -= some
+                room[j] -= some
+            return some
+
+        def onward(i: int, tight: np.ndarray) -> Iterator[int]:
+            for j in tight:
+                if not met[j] and not room[j]:
+                    met[j], source[j] = True, i
+                    yield from others(j)
+
+        def others(j: int) -> Iterator[int]:
+            for k in sorted(flow[j]):
+                if not seen[k] and flow[j].get(k):
+                    seen[k], via[k] = True, j
+                    yield k
+
+        def search(at: int) -> bool:
+            """Depth first from a row marked as seen; true if copies moved."""
+            path, found = [], False
             while True:
-                j = int(np.argmin(np.where(done, np.inf, dist)))
-                done[j] = True
+                short = cost(at) - u[at] - v
+                short[met] = _FAR
+                closer = np.flatnonzero(short < slack)
+                slack[closer], source[closer] = short[closer], at
+                tight = np.flatnonzero(short == 0)
+                path.append((at, onward(at, tight)))
+                hit = False
+                for j in tight[room[tight] > 0]:
+                    if not push(at, j):
+                        break
+                    hit = True
+                if hit:  # what hangs on a used-up part of the path is left for the next phase
+                    found = True
+                    if via[path[0][0]] < 0 and not left[path[0][0]]:
+                        return True
+                    path = path[: next((d for d, (r, _) in enumerate(path) if via[r] >= 0 and not flow[via[r]].get(r)), len(path))]
+                at = None
+                while path and (at := next(path[-1][1], None)) is None:
+                    path.pop()
+                if at is None:
+                    return found
+
+        for i in np.flatnonzero(left):
+            seen[i] = True
+        for i in np.flatnonzero(left):
+            moved |= search(i)
+        while not moved:
+            open_ = np.flatnonzero(~met)
+            step = int(slack[open_].min()) if len(open_) else _FAR
+            if cap is not None:
+                step = min(step, cap - int(u[seen].max()))
+            if step >= _FAR // 2:
+                raise ValueError("less demand than supply")
+            u[seen] += step
+            v[met] -= step
+            slack[open_] -= step
+            near = open_[slack[open_] == 0]
+            if not len(near):
+                return
+            for j in near:
+                if met[j]:
+                    continue
                 if room[j]:
-                    break
-                for k in np.flatnonzero((flow[:, j] > 0) & np.isinf(reach)):
-                    reach[k], via[k] = dist[j], j
-                    other = dist[j] + cost[k] - u[k] - v
-                    closer = ~done & (other < dist)
-                    dist[closer], source[closer] = other[closer], k
-            seen = np.isfinite(reach)
-            u[seen] += dist[j] - reach[seen]
-            v[done] -= dist[j] - dist[done]
-            path, at = [], j
-            while True:
-                k = source[at]
-                path.append((k, at))
-                if k == i:
-                    break
-                at = via[k]
-            moved = min([left[i], room[j], *[flow[k, via[k]] for k, _ in path[:-1]]])
-            for k, c in path:
-                flow[k, c] += moved
-                if k != i:
-                    flow[k, via[k]] -= moved
-            left[i] -= moved
-            room[j] -= moved
-    return flow
+                    moved |= push(source[j], j) > 0
+                else:
+                    met[j] = True
+                    for k in others(j):
+                        moved |= search(k)
+
+
+def transport(cost: np.ndarray, supply: np.ndarray, demand: np.ndarray) -> np.ndarray:
+    """Least-cost shipment of all of ``supply`` (rows) into ``demand`` (columns), which holds at least as much: the flow matrix. Costs are whole numbers."""
+    n, m = cost.shape
+    cost, out = cost.astype(np.int32), np.zeros((n, m), np.int64)
+    flow: list[dict[int, int]] = [{} for _ in range(m)]
+    if n and m:
+        _fill(lambda i: cost[i], cost.min(axis=1), np.zeros(m, np.int32), supply.astype(np.int64), demand.astype(np.int64), flow)
+    for j, ships in enumerate(flow):
+        for i, some in ships.items():
+            out[i, j] = some
+    return out
+
+
+def _numbered(*codes: np.ndarray) -> np.ndarray:
+    """Numbers from 0 for the different combinations of codes."""
+    out = codes[0]
+    for c in codes[1:]:
+        out = np.unique(out.astype(np.int64) * (int(c.max()) + 1) + c, return_inverse=True)[1]
+    return out
+
+
+class _Pairing:
+    """Least-cost pairing of the rows of two sides, given as codes per column; cost is the number of columns that differ, at least 1."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, supply: np.ndarray, demand: np.ndarray, limit: int) -> None:
+        self.x, self.y, self.limit = x, y, limit
+        self.left, self.room = supply.astype(np.int64), demand.astype(np.int64)
+        self.u, self.v = np.ones(len(x), np.int32), np.zeros(len(y), np.int32)
+        self.flow: list[dict[int, int]] = [{} for _ in range(len(y))]
+
+    def costs(self, rows: np.ndarray, cols: np.ndarray) -> Callable[[int], np.ndarray]:
+        x, y = self.x[rows], np.ascontiguousarray(self.y[cols].T)
+
+        def one(i: int) -> np.ndarray:
+            out = np.zeros(y.shape[1], np.int16)
+            for c, value in enumerate(x[i]):
+                out += y[c] != value
+            return out.astype(np.int32)
+
+        if max(len(rows), len(cols)) > self.limit:
+            return one
+        matrix = np.stack([one(i) for i in range(len(rows))])
+        return lambda i: matrix[i]
+
+    def solve(self, groups: int = 6) -> list[dict[int, int]]:
+        """The flow, {row: copies} by column.
+
+        Rows that are not linked by agreeing in all but k groups of columns differ in k + 1 columns at least. So prices up to k + 1 hold for them too,
+        and what is linked can be filled by itself up to there.
+        """
+        d, n = self.x.shape[1], len(self.x)
+        groups = min(groups, d)
+        both = np.concatenate([self.x, self.y]).astype(np.int64)
+        parts = [_numbered(*[both[:, c] for c in range(g, d, groups)]) for g in range(groups)]
+        label = np.arange(len(both))
+        for k in range(1, groups):
+            if not self.left.any():
+                return self.flow
+            label = self.linked([_numbered(*[p for g, p in enumerate(parts) if g not in out]) for out in combinations(range(groups), k)], label)
+            order = np.argsort(label, kind="stable")  # rows of x come first within a label
+            for ids in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+                cut = np.searchsorted(ids, n)
+                if self.left[ids[:cut]].any():
+                    self.fill(ids[:cut], ids[cut:] - n, k + 1)
+        if self.left.any():
+            self.fill(np.arange(n), np.arange(len(self.y)), None)
+        return self.flow
+
+    def linked(self, signs: list[np.ndarray], label: np.ndarray) -> np.ndarray:
+        """Labels of the components that signatures held by both sides make of the ones labelled before: the lowest row's number."""
+        n = len(self.x)
+        held = []
+        for sign in signs:
+            on = np.zeros((2, int(sign.max()) + 1), bool)
+            on[0, sign[:n]], on[1, sign[n:]] = True, True
+            at = np.flatnonzero(on.all(axis=0)[sign])
+            if len(at):
+                held.append((at, sign[at], on.shape[1]))
+        while True:
+            before = label
+            for at, sign, size in held:
+                low = np.full(size, len(label))
+                np.minimum.at(low, sign, label[at])
+                label = label.copy()
+                np.minimum.at(label, label[at], low[sign])  # the component's first row carries it on
+                while (label[label] != label).any():
+                    label = label[label]
+            if (label == before).all():
+                return label
+
+    def fill(self, rows: np.ndarray, cols: np.ndarray, cap: int | None) -> None:
+        if not len(cols):
+            self.u[rows] = cap
+            return
+        at = {int(r): i for i, r in enumerate(rows)}
+        flow = [{at[r]: some for r, some in self.flow[c].items()} for c in cols]
+        u, v, left, room = self.u[rows], self.v[cols], self.left[rows], self.room[cols]
+        _fill(self.costs(rows, cols), u, v, left, room, flow, cap)
+        self.u[rows], self.v[cols], self.left[rows], self.room[cols] = u, v, left, room
+        for c, ships in zip(cols, flow):
+            self.flow[c] = {int(rows[i]): some for i, some in ships.items()}
 
 
 def assign(cost: np.ndarray) -> np.ndarray:
@@ -104,7 +267,10 @@ def leftovers(left: DataFrame, right: DataFrame, key: Sequence[str], columns: Se
 
 
 def diff_copies(left: DataFrame, right: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None, *, distinct: bool = False, only_left: str = "only_left", only_right: str = "only_right", limit: int = 1024) -> DataFrame:
-    """Report (key..., kind, n): one-sided keys, differing fields of paired rows (kind = column name, n = pairs that differ in it), extra rows."""
+    """Report (key..., kind, n): one-sided keys, differing fields of paired rows (kind = column name, n = pairs that differ in it), extra rows.
+
+    ``limit``: costs between up to so many rows a side are held as a matrix, else computed row by row. It bounds memory; the report is the same.
+    """
     key = list(key)
     if columns is None:
         there = set(right.columns)
@@ -118,7 +284,7 @@ def diff_copies(left: DataFrame, right: DataFrame, key: Sequence[str], columns:
 
     # The one wide shuffle. What is left is as large as the differences and is read several times, so it is written once.
     rest = durable(leftovers(left, right, keys, cols, distinct))
-    facts = rest.groupBy(*keys).agg(F.sum(_L).alias("__n_left"), F.sum(_R).alias("__n_right"), F.count_if(F.col(_L) > 0).alias("__d_left"), F.count_if(F.col(_R) > 0).alias("__d_right"))
+    facts = rest.groupBy(*keys).agg(F.sum(_L).alias("__n_left"), F.sum(_R).alias("__n_right"))
     # A key whose rows on one side all cancelled is there too: keys alone are scanned again, collapsed before their shuffle.
     seen = left.select(*keys).distinct().withColumn("__side", F.lit(1)).unionByName(right.select(*keys).distinct().withColumn("__side", F.lit(2)))
     sides = seen.alias("e").join(facts.select(*keys).alias("f"), on_key("e", "f"), "left_semi").groupBy(*keys).agg(F.sum("__side").alias("__sides"))
@@ -133,11 +299,9 @@ def diff_copies(left: DataFrame, right: DataFrame, key: Sequence[str], columns:
     named = F.filter(F.array(*[F.when(~_same(F.col(f"a.{c}"), F.col(f"b.{c}")), F.lit(name)) for c, name in zip(cols, columns)], F.lit(None).cast("string")), lambda x: x.isNotNull())
     fields = paired.select(*[F.col(f"s.{k}").alias(k) for k in keys], F.explode(named).alias("kind")).withColumn("n", F.lit(1).cast("long"))
 
-    hard = shared.where((F.col("__n_left") != 1) | (F.col("__n_right") != 1)).select(*keys, F.greatest("__d_left", "__d_right").alias("__d"))
-    wide = rest.alias("r").join(hard.alias("h"), on_key("r", "h")).select("r.*", "h.__d")
-    out = sided.unionByName(fields).unionByName(_assign_small(wide.where(F.col("__d") <= limit).drop("__d"), keys, cols, columns))
-    if not hard.where(F.col("__d") > limit).isEmpty():  # reads the written facts only
-        out = out.unionByName(_assign_large(wide.where(F.col("__d") > limit).drop("__d"), keys, cols, columns, limit))
+    hard = shared.where((F.col("__n_left") != 1) | (F.col("__n_right") != 1)).select(*keys)
+    wide = rest.alias("r").join(hard.alias("h"), on_key("r", "h"), "left_semi")
+    out = sided.unionByName(fields).unionByName(_assign(wide, keys, cols, columns, limit))
     return out.select(*[F.col(k).alias(c) for k, c in zip(keys, key)], "kind", "n")
 
 
@@ -161,8 +325,8 @@ def _text(df: DataFrame, name: str) -> Column:
     return (F.col(name) + F.lit(0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(name)).cast("string")
 
 
-def _assign_small(rest: DataFrame, keys: list[str], cols: list[str], columns: list[str]) -> DataFrame:
-    """Exact assignment for keys with few different leftover rows a side.
+def _assign(rest: DataFrame, keys: list[str], cols: list[str], columns: list[str], limit: int) -> DataFrame:
+    """Exact assignment within keys.
 
     Copies are not expanded: the assignment is a transport problem between different rows, with copies as supply and demand, so the
     work depends on different rows only. Values go to Python as texts and are compared as such, never as floats.
@@ -171,137 +335,35 @@ def _assign_small(rest: DataFrame, keys: list[str], cols: list[str], columns: li
     narrow = rest.select(*keys, _L, _R, *[_text(rest, c).alias(c) for c in cols])
 
     def solve(table: pa.Table) -> pa.Table:
-        found, left = _solve(table, cols, columns)
-        for side, kind in ((0, "extra_left"), (1, "extra_right")):
-            if left[side].sum():
-                found[kind] = int(left[side].sum())
+        found = _solve(table, cols, columns, limit)
         head = [table.column(k).combine_chunks().take(pa.array([0] * len(found), pa.int64())) for k in keys]
         return pa.table([*head, pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=out.names)
 
     return narrow.groupBy(*keys).applyInArrow(solve, out)
 
 
-def _solve(table: pa.Table, cols: list[str], columns: list[str]) -> tuple[dict[str, int], tuple[np.ndarray, np.ndarray]]:
-    """Differing fields of the least-cost pairs of one group, and the copies of each row that stay unpaired, left and right."""
+def _solve(table: pa.Table, cols: list[str], columns: list[str], limit: int) -> dict[str, int]:
+    """Differing fields of the least-cost pairs of one group, and how many copies stay unpaired.
+
+    Values are numbered by their order and rows are put in order, so that the pairs depend on the rows only.
+    """
     nl, nr = (table.column(c).to_numpy().astype(np.int64) for c in (_L, _R))
-    code = np.stack([table.column(c).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy() for c in cols], axis=1) if cols else np.zeros((len(table), 0), np.int64)
+    code = np.stack([pc.rank(table.column(c), null_placement="at_start", tiebreaker="dense").to_numpy() for c in cols], axis=1).astype(np.int32) if cols else np.zeros((len(table), 0), np.int32)
+    vary = np.flatnonzero((code != code[:1]).any(axis=0))
+    order = np.lexsort(code[:, vary].T[::-1]) if len(vary) else np.arange(len(code))
+    nl, nr, code = nl[order], nr[order], code[order][:, vary]
     x, y = np.flatnonzero(nl > 0), np.flatnonzero(nr > 0)
     found: dict[str, int] = {}
     if len(x) and len(y):
-        cost = np.zeros((len(x), len(y)))
-        for c in range(len(cols)):
-            cost += code[x, c, None] != code[None, y, c]
-        flow = transport(cost, nl[x], nr[y]) if nl.sum() <= nr.sum() else transport(cost.T, nr[y], nl[x]).T
-        for p, q in zip(*np.nonzero(flow)):
-            for c in np.flatnonzero(code[x[p]] != code[y[q]]):
-                found[columns[c]] = found.get(columns[c], 0) + int(flow[p, q])
-        nl, nr = nl.copy(), nr.copy()
-        nl[x] -= flow.sum(axis=1)
-        nr[y] -= flow.sum(axis=0)
-    return found, (nl, nr)
-
-
-def _assign_components(rest: DataFrame, keys: list[str], cols: list[str], columns: list[str], limit: int, groups: int) -> tuple[DataFrame, DataFrame]:
-    """The exact assignment within components of a large key, and what it leaves: (report, remaining rows in the form of ``rest``).
-
-    Rows that agree in all but two of the ``groups`` of columns share a signature; components are the rows that signatures held by both sides link,
-    found by passing on the lowest id (with hops, so in a logarithmic number of rounds). Rows of different components differ in three groups at
-    least, so pairs are sought within components first. Rows without a component, components of more than ``limit`` different rows a side, and
-    copies that find no partner within theirs remain.
-    """
-    rows = durable(rest.withColumn("__id", F.md5(F.to_json(F.struct(*keys, *cols)))))
-    without = lambda out: [c for i, c in enumerate(cols) if i % groups not in out]
-    signs = F.array(*[F.struct(F.lit(w).alias("w"), F.xxhash64(F.lit(w), *keys, *without(out)).alias("h")) for w, out in enumerate(combinations(range(groups), 2))])
-    edges = rows.select("__id", (F.col(_L) > 0).alias("__is_left"), F.explode(signs).alias("__s"))
-    linked = edges.groupBy("__s").agg(F.bool_or("__is_left").alias("a"), F.bool_or(~F.col("__is_left")).alias("b")).where("a and b").select("__s")
-    edges = durable(edges.join(linked, "__s").select("__id", "__s"))
-    labels = durable(edges.select("__id", F.col("__id").alias("__comp")).distinct())
-    while True:
-        low = edges.join(labels, "__id").groupBy("__s").agg(F.min("__comp").alias("__m"))
-        new = edges.join(low, "__s").groupBy("__id").agg(F.min("__m").alias("__comp"))
-        hop = new.select(F.col("__id").alias("__j"), F.col("__comp").alias("__k"))
-        new = durable(new.join(hop, F.col("__comp") == F.col("__j"), "left").select("__id", F.least("__comp", "__k").alias("__comp")))
-        same = new.join(labels.withColumnRenamed("__comp", "__old"), "__id").where(F.col("__comp") != F.col("__old")).isEmpty()
-        labels = new
-        if same:
-            break
-    held = rows.join(labels, "__id")
-    fit = held.groupBy("__comp").agg(F.count_if(F.col(_L) > 0).alias("a"), F.count_if(F.col(_R) > 0).alias("b")).where((F.col("a") <= limit) & (F.col("b") <= limit)).select("__comp")
-    inside = held.join(fit, "__comp")
-    out = T.StructType([*[rest.schema[k] for k in keys], T.StructField("kind", T.StringType()), T.StructField("n", T.LongType()), T.StructField("__id", T.StringType())])
-    narrow = inside.select(*keys, "__comp", "__id", _L, _R, *[_text(rest, c).alias(c) for c in cols])
-
-    def solve(table: pa.Table) -> pa.Table:
-        found, left = _solve(table, cols, columns)
-        ids = table.column("__id").to_pylist()
-        told = [(k, n, None) for k, n in found.items()] + [(name, int(side[i]), ids[i]) for name, side in ((_L, left[0]), (_R, left[1])) for i in np.flatnonzero(side)]
-        head = [table.column(k).combine_chunks().take(pa.array([0] * len(told), pa.int64())) for k in keys]
-        return pa.table([*head, *[pa.array([x[i] for x in told], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.string()))]], names=out.names)
-
-    told = durable(narrow.groupBy(*keys, "__comp").applyInArrow(solve, out))
-    over = told.where(F.col("__id").isNotNull()).select("__id", F.when(F.col("kind") == _L, F.col("n")).otherwise(0).alias("__l"), F.when(F.col("kind") == _R, F.col("n")).otherwise(0).alias("__r"))
-    more = rows.join(over, "__id").select(*keys, *cols, F.col("__l").alias(_L), F.col("__r").alias(_R))
-    rest = rows.join(inside.select("__id"), "__id", "left_anti").select(*keys, *cols, _L, _R)
-    return told.where(F.col("__id").isNull()).select(*keys, "kind", "n"), durable(rest.unionByName(more))
-
-
-def _ranked(copies: DataFrame, by: list[str], part_rows: int = 50_000) -> DataFrame:
-    """Adds ``__i``, the rank of each copy within (by, side). Large groups are ranked in hashed parts; the parts' sizes, summed up, give where each begins."""
-    parts = -(-copies.count() // part_rows)
-    if parts <= 1:
-        return copies.withColumn("__i", F.row_number().over(Window.partitionBy(*by, "__is_left").orderBy("__h", "__copy")))
-    cut = copies.withColumn("__part", F.pmod(F.xxhash64("__h", "__copy"), F.lit(parts)))
-    sizes = cut.groupBy(*by, "__is_left", "__part").agg(F.count(F.lit(1)).alias("__k"))
-    begins = sizes.withColumn("__begin", F.coalesce(F.sum("__k").over(Window.partitionBy(*by, "__is_left").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__k")
-    own = F.row_number().over(Window.partitionBy(*by, "__is_left", "__part").orderBy("__h", "__copy"))
-    on = [_same(F.col(f"r.{c}"), F.col(f"b.{c}")) for c in (*by, "__is_left", "__part")]
-    held = cut.withColumn("__own", own).alias("r").join(begins.alias("b"), on).select("r.*", "b.__begin")
-    return held.withColumn("__i", F.col("__begin") + F.col("__own")).drop("__part", "__own", "__begin")
-
-
-def _assign_large(rest: DataFrame, keys: list[str], cols: list[str], columns: list[str], limit: int, groups: int = 6) -> DataFrame:
-    """Keys with more different leftovers than one task should hold: exact within components, exactly where what remains is little, then by signature rounds and rank.
-
-    The columns are dealt into ``groups``; a signature is the row without one group or two, so a round finds pairs that differ within
-    those only, any two columns among them. Copies of both sides are numbered within (key, signature) and equal numbers are
-    paired. The signature is in the partitioning, and large groups are numbered in parts, so a hot key spreads. What still is too
-    much for one task is paired by rank within (key, one group of columns) and within the key.
-    """
-    groups = min(groups, len(cols))
-    without = lambda out: [c for i, c in enumerate(cols) if i % groups not in out]
-    reports = []
-
-    def small(rest: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The exact report of the keys that have become small, and the other keys' rows."""
-        size = rest.groupBy(*keys).agg(F.greatest(F.count_if(F.col(_L) > 0), F.count_if(F.col(_R) > 0)).alias("__d"))
-        few = durable(size.where(F.col("__d") <= limit).select(*keys))
-        on = [_same(F.col(f"r.{k}"), F.col(f"f.{k}")) for k in keys]
-        return _assign_small(rest.alias("r").join(few.alias("f"), on, "left_semi"), keys, cols, columns), rest.alias("r").join(few.alias("f"), on, "left_anti")
-
-    def pair(copies: DataFrame, signs: Sequence[Sequence[str]]) -> DataFrame:
-        for sign in signs:
-            if copies.where("__is_left").isEmpty() or copies.where(~F.col("__is_left")).isEmpty():
-                break
-            by = [*keys, *sign]
-            both = durable(_ranked(copies, by).withColumn("__both", F.count(F.lit(1)).over(Window.partitionBy(*by, "__i")) == 2))
-            met = both.where("__both").groupBy(*by, "__i").agg(F.max(F.when(F.col("__is_left"), F.struct("__h", *cols))).alias("__x"), F.max(F.when(~F.col("__is_left"), F.struct("__h", *cols))).alias("__y"))
-            names = F.filter(F.array(*[F.when(~_same(F.col(f"__x.{c}"), F.col(f"__y.{c}")), F.lit(n)) for c, n in zip(cols, columns)], F.lit(None).cast("string")), lambda x: x.isNotNull())
-            reports.append(met.select(*keys, F.explode(names).alias("kind"), F.lit(1).cast("long").alias("n")))
-            copies = both.where(~F.col("__both")).drop("__i", "__both")
-        return copies
-
-    if groups > 2:
-        report, rest = _assign_components(rest, keys, cols, columns, limit, groups)
-        reports.append(report)
-        solved, rest = small(rest)
-        reports.append(solved)
-    copies = rest.select(*keys, *cols, F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(_L, _R))).alias("__copy"), (F.col(_L) > 0).alias("__is_left")).withColumn("__h", F.xxhash64(*cols) if cols else F.lit(0).cast("long"))
-    copies = pair(copies, [without(out) for k in (1, 2) if k < groups for out in combinations(range(groups), k)])
-    solved, rest = small(copies.groupBy(*keys, *cols).agg(F.count_if("__is_left").alias(_L), F.count_if(~F.col("__is_left")).alias(_R)))
-    reports.append(solved)
-    copies = rest.select(*keys, *cols, F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(_L, _R))).alias("__copy"), (F.col(_L) > 0).alias("__is_left")).withColumn("__h", F.xxhash64(*cols) if cols else F.lit(0).cast("long"))
-    copies = pair(copies, [*[without(set(range(groups)) - {g}) for g in range(groups)], []])
-    out = copies.select(*keys, F.when(F.col("__is_left"), "extra_left").otherwise("extra_right").alias("kind"), F.lit(1).cast("long").alias("n"))
-    for r in reports:
-        out = out.unionByName(r)
-    return out.groupBy(*keys, "kind").agg(F.sum("n").alias("n"))
+        swap = nl.sum() > nr.sum()
+        a, b, supply, demand = (y, x, nr, nl) if swap else (x, y, nl, nr)
+        flow = _Pairing(code[a], code[b], supply[a], demand[b], limit).solve()
+        i, j, some = (np.array(z) for z in zip(*[(i, j, n) for j, ships in enumerate(flow) for i, n in ships.items()]))
+        for c, at in enumerate(vary):
+            differ = int(some[code[a[i], c] != code[b[j], c]].sum())
+            if differ:
+                found[columns[at]] = differ
+    for kind, more in (("extra_left", nl.sum() - nr.sum()), ("extra_right", nr.sum() - nl.sum())):
+        if more > 0:
+            found[kind] = int(more)
+    return found
